@@ -10,6 +10,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 TINY = 1e-300
 TOLERANCE = 1e-15
@@ -96,11 +97,11 @@ def _pairwise(tail, statistic: pd.Series, dof: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_pvalue(statistic: pd.Series, dof: pd.Series) -> pd.Series:
     return _pairwise(t_tail, statistic, dof)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_pvalue(statistic: pd.Series, dof: pd.Series) -> pd.Series:
     return _pairwise(chi2_tail, statistic, dof)

@@ -116,7 +116,7 @@ def fit_gbt(
         rows = rows.withColumn("_stop", F.lit(False)).unionByName(
             model_frame(validation).withColumn("_stop", F.lit(True))
         )
-        model.setValidationIndicatorCol("_stop").setValidationTol(tolerance)
+        model.setValidationIndicatorCol("_stop").set(model.validationTol, tolerance)
     return Pipeline(stages=[*feature_stages(kind), model]).fit(rows)
 
 

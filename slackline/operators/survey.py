@@ -157,7 +157,7 @@ def slack_reduction(
         .where("slack >= 0")
         .withColumn("reduction", F.col(first) - F.col(final))
         .where("reduction >= 0")
-        .withColumn("negative", -F.abs("reduction"))
+        .withColumn("negative", F.lit(0.0) - F.abs("reduction"))
     )
     if not relative:
         return rows

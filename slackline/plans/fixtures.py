@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from slackline.fixed_values import ARM_AI, ARM_NO_AI, CONSENT
+from slackline.fixed_values import ARM_AI, ARM_NO_AI, CONSENT, SENTIMENTS
 from slackline.functions.joins import lookup_join
+from slackline.schema import inline_table
+from slackline.sources.text import split_lines
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -183,6 +185,85 @@ def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every non-blank line of every document: (doc_id, line_no, text)."""
-    from slackline.sources.text import split_lines
-
     return split_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"], "text")
+
+
+def word_flags(spark: SparkSession) -> DataFrame:
+    """A small word list over frequent words, one flag per sentiment."""
+    marks = {
+        "THE": ["positive"], "OF": ["negative"], "WAS": ["uncertainty"], "TO": ["litigious"],
+        "WITH": ["strong_modal"], "FOR": ["weak_modal", "uncertainty"], "AND": ["constraining"],
+    }
+    rows = [(w, *[s in flags for s in SENTIMENTS]) for w, flags in marks.items()]
+    return inline_table(spark, rows, ["word", *SENTIMENTS])
+
+
+def word_polarity(spark: SparkSession) -> DataFrame:
+    """The same words with a polarity and a subjectivity."""
+    rows = [
+        ("THE", 0.5, 0.25), ("OF", -0.5, 0.5), ("WAS", -0.25, 0.75), ("TO", 0.125, 0.0),
+        ("WITH", 1.0, 1.0), ("FOR", 0.75, 0.5), ("AND", -1.0, 0.125),
+    ]
+    return inline_table(spark, rows, ["word", "polarity", "subjectivity"])
+
+
+def sheet_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, sheet, lines): the panel written as sheets, one per region, year and standard.
+
+    Years move to 2015-2021, so that all three layouts occur. A sheet holds one line per
+    account, of which there are at most fifty.
+    """
+    base = panel_by_standard(spark, sf_dir)
+    acc, old = F.col("acc_id"), F.col("standard") == "HRM1"
+    code = F.concat(F.lit("N"), F.char(F.regexp_extract("region", r"\d+", 0).cast("int") + 65))
+    rows = base.select(
+        code.alias("code"),
+        (F.col("year") + 20).alias("y"),
+        "standard",
+        acc.alias("acc"),
+        F.col("budget").cast("decimal(18,2)").cast("string").alias("b"),
+        F.col("realized").cast("decimal(18,2)").cast("string").alias("r"),
+    )
+    new = ~old & (F.col("y") >= 2019)
+    legacy = (
+        F.when(F.col("acc").between(34, 37), "34 - 37")
+        .when(F.col("acc").isin(41, 43), "41 / 43")
+        .otherwise(F.col("acc").cast("string"))
+    )
+    name = F.concat(F.lit('"Konto, '), F.col("acc").cast("string"), F.lit('"'))
+    reference = F.when(F.col("acc") % 9 == 0, "").otherwise(
+        F.concat(F.lit("HRM2_ER"), F.col("acc").cast("string"))
+    )
+    four = F.col("y") % 2 == 0
+    line = (
+        F.when(old, F.concat_ws(",", legacy, name, "b", "r", F.lit("x"), "r"))
+        .when(~new, F.concat_ws(",", F.col("acc").cast("string"), name, "b", "r", "r"))
+        .when(four, F.concat_ws(",", reference, F.col("acc").cast("string"), name, "b",
+                                F.lit("n/a"), F.lit("7"), "r", "r"))
+        .otherwise(F.concat_ws(",", reference, F.col("acc").cast("string"), name, "b", "r", "r"))
+    )
+    sheets = (
+        rows.withColumn("line", F.struct("acc", line.alias("text")))
+        .groupBy("code", "y", "standard")
+        .agg(F.array_sort(F.collect_list("line")).alias("data"))
+    )
+    y, y1 = F.col("y").cast("string"), (F.col("y") + 1).cast("string")
+    header = (
+        F.when(old & four, F.concat_ws(",", F.lit("0"), F.lit("0"), y, y, F.lit("diff"), y1))
+        .when(old, F.concat_ws(",", F.lit(""), F.lit(""), y, y, F.lit("diff"), y1))
+        .when(~new, F.concat_ws(",", F.lit(""), F.lit("in 1000 Franken"), y, y, y1))
+        .when(four, F.concat_ws(",", F.lit("Referenz-ID"), F.lit("HRM 2"),
+                                F.lit("in 1 000 Franken"), y, y, y, y, y1))
+        .otherwise(F.concat_ws(",", F.lit("Referenz-ID"), F.lit("HRM 2"),
+                               F.lit("en 1 000 frs."), y, y, y1))
+    )
+    above = F.when(new, F.array_repeat(F.lit("note"), 4)).otherwise(F.array(F.lit("note")))
+    lines = F.concat(
+        above, F.array(header), F.array(F.lit("units,30,30,30,30,30,30")),
+        F.transform("data", lambda d: d["text"]),
+    )
+    sheet = F.when(
+        F.col("y") % 3 == 0, F.concat("code", F.lit("_"), "standard")
+    ).otherwise(F.concat("standard", F.lit("_KT_"), "code"))
+    path = F.concat(F.lit("/ledger/"), y, F.lit("/"), sheet, F.lit(".csv"))
+    return sheets.select(path.alias("path"), sheet.alias("sheet"), lines.alias("lines"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,19 +26,28 @@ def local_session(cpus: int | str = 8, memory: str = "8g", app: str = "slackline
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a scratch folder.
+    Only a local session without that setting gets a scratch folder.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            named = tempfile.mkdtemp(prefix="slackline-checkpoint-", dir=os.environ.get("TMPDIR"))
+            named = tempfile.mkdtemp(prefix="slackline-", dir=os.environ.get("TMPDIR"))
         context.setCheckpointDir(named)
-    return df.checkpoint()
+    return context.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    For a frame that is used more than once: it is computed once, a lost executor costs a
+    read, and Catalyst knows its true size.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -80,44 +80,58 @@ def split_cells(line: Column, separator: str = ",") -> Column:
     )
 
 
-def _positions(cells: Column, label: Column) -> Column:
-    """1-based positions of the header cells equal to ``label``."""
-    return F.filter(F.sequence(F.lit(1), F.size(cells)), lambda i: F.get(cells, i - 1) == label)
-
-
-def header_positions() -> Column:
-    """Where each wanted column stands, by layout and by occurrence of a repeated label."""
-    cells, layout = F.col("header"), F.col("layout")
-    blank = lambda i: F.coalesce(F.get(cells, F.lit(i)), F.lit("")) == ""
-    this_year = _positions(cells, F.col("year").cast("string"))
-    next_year = _positions(cells, (F.col("year") + 1).cast("string"))
-    zeros = _positions(cells, F.lit(ZERO_LABEL))
-
-    def first_of(labels: list[str]) -> Column:
-        return F.coalesce(*[F.get(_positions(cells, F.lit(x)), F.lit(0)) for x in labels])
-
-    account = (
-        F.when(layout == HRM2_NEW, first_of([ACCOUNT_LABEL]))
-        .when(blank(0), F.lit(1))
-        .when(layout == HRM1, F.get(zeros, F.lit(0)))
-    )
-    name = (
-        F.when(layout == HRM2_NEW, first_of(NAME_LABELS[HRM2_NEW]))
-        .when(layout == HRM2_OLD, first_of(NAME_LABELS[HRM2_OLD]))
-        .when(blank(0), F.when(blank(1), F.lit(2)))
-        .otherwise(F.get(zeros, F.lit(1)))
-    )
-    second, fourth = F.get(this_year, F.lit(1)), F.get(this_year, F.lit(3))
-    return F.struct(
-        F.when(layout == HRM2_NEW, first_of([REF_LABEL])).alias("ref_id"),
-        account.alias("acc_id"),
-        name.alias("name"),
-        F.get(this_year, F.lit(0)).alias("budget"),
-        F.when(layout == HRM2_NEW, F.coalesce(fourth, second)).otherwise(second).alias("realized"),
-        F.get(next_year, F.lit(0)).alias("budget_next"),
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _numbered(cells: Column) -> Column:
+    """Header cells as ``label#occurrence``, so that a repeated label is told apart."""
+    earlier = lambda c, i: F.size(F.filter(F.slice(cells, F.lit(1), i), lambda x: x == c))
+    return F.transform(
+        cells, lambda c, i: F.concat(c, F.lit("#"), (earlier(c, i) + 1).cast("string"))
     )
 
 
+def header_positions(cells: Column, layout: Column, year: Column) -> Column:
+    """1-based position of each wanted column, by layout and occurrence of the label."""
+
+    def body(labels: Column) -> Column:
+        def at(label: Column | str, occurrence: int = 1) -> Column:
+            text = F.lit(label) if isinstance(label, str) else label.cast("string")
+            return F.nullif(
+                F.array_position(labels, F.concat(text, F.lit(f"#{occurrence}"))).cast("int"),
+                F.lit(0),
+            )
+
+        def name_in(which: str) -> Column:
+            return F.coalesce(*[at(x) for x in NAME_LABELS[which]])
+
+        # A blank first cell is column 1, a blank second cell its second occurrence.
+        first_blank = F.get(labels, F.lit(0)) == "#1"
+        second_blank = F.get(labels, F.lit(1)) == "#2"
+        new, older = layout == HRM2_NEW, layout == HRM2_OLD
+        account = F.when(new, at(ACCOUNT_LABEL)).when(first_blank, F.lit(1)).when(
+            ~older, at(ZERO_LABEL)
+        )
+        name = (
+            F.when(new, name_in(HRM2_NEW))
+            .when(older, name_in(HRM2_OLD))
+            .when(first_blank, F.when(second_blank, F.lit(2)))
+            .otherwise(at(ZERO_LABEL, 2))
+        )
+        return F.struct(
+            F.when(new, at(REF_LABEL)).alias("ref_id"),
+            account.alias("acc_id"),
+            name.alias("name"),
+            at(year).alias("budget"),
+            F.coalesce(F.when(new, at(year, 4)), at(year, 2)).alias("realized"),
+            at(year + 1).alias("budget_next"),
+        )
+
+    return _bind(_numbered(cells), body)
+
+
 def located_sheets(parsed: DataFrame, separator: str = ",") -> DataFrame:
     """Usable and rejected sheets with their header row resolved to column positions.
 
@@ -126,10 +140,10 @@ def located_sheets(parsed: DataFrame, separator: str = ",") -> DataFrame:
     row = F.coalesce(
         *[F.when(F.col("layout") == k, F.lit(v)) for k, v in HEADER_ROW.items()]
     )
-    header = parsed.withColumn("header_row", row).withColumn(
-        "header", split_cells(F.get("lines", F.col("header_row")), separator)
-    )
-    located = header.withColumn("at", header_positions())
+    header = split_cells(F.get("lines", row), separator)
+    at = _bind(header, lambda cells: header_positions(cells, F.col("layout"), F.col("year")))
+    # The one-element explode keeps Catalyst from evaluating the positions again per line.
+    located = parsed.select("*", row.alias("header_row"), F.explode(F.array(at)).alias("at"))
     needed = ["acc_id", "budget", "realized", "budget_next"]
     missing = F.concat_ws(", ", *[F.when(F.col(f"at.{c}").isNull(), F.lit(c)) for c in needed])
     return located.withColumn(
@@ -147,14 +161,17 @@ def sheet_rows(located: DataFrame, separator: str = ",") -> DataFrame:
     usable = located.where("reason IS NULL")
     first = F.col("header_row") + 2
     data = F.slice("lines", first + 1, F.greatest(F.size("lines") - first, F.lit(0)))
-    rows = usable.select(
-        "path", "sheet", "standard", "layout", "region", "year", "at", F.explode(data).alias("line")
-    ).withColumn("cells", split_cells(F.col("line"), separator))
     wanted = ["ref_id", "acc_id", "name", "budget", "realized", "budget_next"]
-    cell = [
-        F.nullif(F.get("cells", F.col(f"at.{c}") - 1), F.lit("")).alias(c) for c in wanted
-    ]
-    return rows.select("path", "sheet", "standard", "layout", "region", "year", *cell)
+
+    def record(cells: Column) -> Column:
+        return F.struct(
+            *[F.nullif(F.get(cells, F.col(f"at.{c}") - 1), F.lit("")).alias(c) for c in wanted]
+        )
+
+    records = F.transform(data, lambda line: _bind(split_cells(line, separator), record))
+    return usable.select(
+        "path", "sheet", "standard", "layout", "region", "year", F.inline(records)
+    )
 
 
 def rejected(located: DataFrame) -> DataFrame:
