@@ -180,17 +180,20 @@ def sql(select: str, *views: str, **extra: str) -> str:
 EPS = "CAST(2.220446049250313e-16 AS DOUBLE)"
 
 
-def _errors(y: str, f: str, digits: int = 4, mape: bool = True) -> str:
+def _errors(y: str, f: str, mape: bool = True) -> str:
     e = f"abs({y} - {f})"
     columns = [
         f"COUNT({e}) AS n",
-        f"round(AVG({e}), {digits}) AS mae",
-        f"round(AVG({e} * {e}), {digits}) AS mse",
-        f"round(sqrt(AVG({e} * {e})), {digits}) AS rmse",
+        f"round(AVG({e}), 6) AS mae",
+        f"round(AVG({e} * {e}), -2) AS mse",
+        f"round(sqrt(AVG({e} * {e})), 6) AS rmse",
     ]
     if mape:
-        columns.append(f"round(AVG({e} / greatest(abs({y}), {EPS})), {digits}) AS mape")
-    columns.append(f"round(AVG(CASE WHEN {y} <> 0 THEN {e} / abs({y}) END), {digits}) AS mape_nonzero")
+        share = f"AVG({e} / greatest(abs({y}), {EPS}))"
+        columns.append(
+            f"CASE WHEN {share} > 1e9 THEN round({share}, -10) ELSE round({share}, 6) END AS mape"
+        )
+    columns.append(f"round(AVG(CASE WHEN {y} <> 0 THEN {e} / abs({y}) END), 6) AS mape_nonzero")
     return ", ".join(columns)
 
 

@@ -41,6 +41,16 @@ def rounded(df: DataFrame, *columns: str, digits: int = DIGITS) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def rounded_errors(df: DataFrame) -> DataFrame:
+    """Errors to the digits that do not depend on the order of summation."""
+    digits = {"mae": 6, "mse": -2, "rmse": 6, "mape": 6, "mape_nonzero": 6}
+    table = df.withColumns({c: F.round(c, d) for c, d in digits.items() if c in df.columns})
+    if "mape" not in table.columns:
+        return table
+    # A zero actual makes the relative error astronomically large.
+    return table.withColumn("mape", F.when(F.col("mape") > 1e9, F.round("mape", -10)).otherwise(F.col("mape")))
+
+
 def panel(spark: SparkSession, sf: str) -> DataFrame:
     """The panel, stored: it is far smaller than its source and read several times."""
     return stored(fx.panel(spark, sf))
@@ -112,7 +122,7 @@ def tested_rows(spark, sf, category="Aufwand") -> DataFrame:
 @query
 def budget_eval(spark, sf):
     scores = metrics.compare(tested_rows(spark, sf), "realized", ["budget", "lag1"])
-    return rounded(scores, "mae", "mse", "rmse", "mape", "mape_nonzero", digits=4)
+    return rounded_errors(scores)
 
 
 @query
@@ -124,7 +134,7 @@ def budget_eval_rounded(spark, sf):
 @query
 def eval_by_slice(spark, sf):
     scores = metrics.compare_slices(tested_rows(spark, sf), "realized", ["budget", "lag1"])
-    return rounded(scores, "mae", "mse", "rmse", "mape_nonzero", digits=4).drop("mape")
+    return rounded_errors(scores.drop("mape"))
 
 
 @query
@@ -134,13 +144,13 @@ def eval_by_region_own_year(spark, sf):
     newest = frame.groupBy("region").agg(F.max("year").alias("year"))
     rows = frame.join(newest, ["region", "year"], "left_semi")
     scores = metrics.evaluate(rows, "realized", "budget", by=("region",))
-    return rounded(scores, "mae", "mse", "rmse", "mape_nonzero", digits=4).drop("mape")
+    return rounded_errors(scores.drop("mape"))
 
 
 @query
 def metrics_table(spark, sf):
     scores = metrics.compare(tested_rows(spark, sf), "realized", ["budget", "lag1"])
-    return rounded(metrics.metrics_long(scores.drop("mape"), ["forecast"]), "value", digits=4)
+    return metrics.metrics_long(rounded_errors(scores.drop("mape")), ["forecast"])
 
 
 # --- ledger -----------------------------------------------------------------------------
