@@ -28,6 +28,17 @@ def splits_skew(df: DataFrame) -> bool:
     )
 
 
+def spread_small(df: DataFrame, keys: list[str], limit: int = 1 << 30) -> DataFrame:
+    """Spread a small table over all cores.
+
+    A small file often is one row group, which one task reads however many cores there
+    are. Above ``limit`` the files already give enough tasks and nothing is shuffled.
+    """
+    if estimated_bytes(df) > limit:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,

@@ -10,7 +10,7 @@ from slackline.functions.numbers import exact_sum, scalar
 from slackline.functions.quantiles import exact_quantiles
 
 # Copies of one row are written out in blocks of this many.
-COPY_BLOCK = 4096
+COPY_BLOCK = 65536
 
 
 def sum_by(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -89,7 +89,7 @@ def seeded_sample(df: DataFrame, keys: list[str], n: int, seed: int = SEED) -> D
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """Count and share per value, most frequent first, NULL left out."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    total = scalar(df, F.count(column))
+    total = scalar(counts, F.sum("n"))
     return counts.withColumn("share", F.col("n") / total).orderBy(F.desc("n"), column)
 
 
@@ -119,7 +119,10 @@ def duplicates(df: DataFrame, expand: bool = False) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int, density: bool = False) -> DataFrame:
-    """(bin, low, high, n) of equal-width bins between min and max; the last bin is closed."""
+    """(bin, low, high, n) of equal-width bins between min and max; the last bin is closed.
+
+    ``df`` is read twice, for the bounds and for the counts.
+    """
     value = F.col(column).cast("double")
     bounds = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
     flat = bounds["lo"] == bounds["hi"]
@@ -141,6 +144,6 @@ def histogram(df: DataFrame, column: str, bins: int, density: bool = False) -> D
     )
     if not density:
         return table
-    total = scalar(df, F.count(value))
+    total = scalar(counts, F.sum("n"))
     return table.withColumn("density", F.try_divide(F.col("n"), total * width))
 

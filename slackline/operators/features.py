@@ -1,8 +1,7 @@
 """Panel features: rebased year, lags, row filters, account choice, holdout.
 
 The frames are read more than once (the oldest and the newest year are subqueries), so
-pass a stored or checkpointed panel rather than the join that builds it. A panel has one
-row per region, account and year, so a lag window holds as many rows as there are years.
+pass a stored panel rather than the join that builds it.
 """
 
 from __future__ import annotations
@@ -36,6 +35,9 @@ def add_lags(
 ) -> DataFrame:
     """Earlier values of the same region and account as ``<value>_lag<k>``.
 
+    A panel has one row per series and year, or one per standard, so a window holds some
+    dozen rows however large the tables are that the panel was summed from.
+
     ``by="row"`` takes the k-th row before, whatever its year; equal years are ordered
     by ``tie_break``. ``by="year"`` takes the value of exactly ``year - k``.
     """

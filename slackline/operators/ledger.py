@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slackline.fixed_values import DEFAULT_NAME, DEFAULT_REF_ID
+from slackline.functions.joins import lookup_join
 from slackline.functions.numbers import exact_sum, is_zero, to_number
 from slackline.schema import AMOUNTS, FINAL_COLUMNS, crosswalk_dim, require_columns
+from slackline.session import stored
 
 
 def apply_crosswalk(
@@ -113,15 +115,14 @@ def prefer_standard(
         raise ValueError(f"unknown mode: {mode}")
     is_new = F.col("standard") == "HRM2"
     state = populated(df, [*scope, "standard"])
-    # One small row per region and year; the ledger rows are never grouped.
-    chosen = state.groupBy(*scope).agg(
-        F.when(
-            F.bool_or(is_new & F.col("populated")) | ~F.bool_or(~is_new), F.lit("HRM2")
-        )
-        .otherwise(F.lit("HRM1"))
-        .alias("standard")
+    # One row per region and year. It is stored so that its size is known: the ledger
+    # rows then meet it without a shuffle, and without sorting a large region into one task.
+    use_new = F.bool_or(is_new & F.col("populated")) | ~F.bool_or(~is_new)
+    chosen = stored(
+        state.groupBy(*scope).agg(F.when(use_new, "HRM2").otherwise("HRM1").alias("standard"))
     )
-    return df.join(chosen, [*scope, "standard"], "left_semi").select(*df.columns)
+    keys = [*scope, "standard"]
+    return lookup_join(df, chosen, keys, "left_semi", spread_by=F.col("acc_id")).select(*df.columns)
 
 
 def fill_defaults(df: DataFrame) -> DataFrame:

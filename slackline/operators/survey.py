@@ -197,7 +197,7 @@ def shares_on_labels(df: DataFrame, group: Column, labels: list[str]) -> DataFra
         F.count("*").alias("n")
     )
     placed = _on_labels(counts, "label", labels, ["n"])
-    total = scalar(df, F.count(group))
+    total = scalar(counts, F.sum("n"))
     return placed.withColumn("pct", F.coalesce(percent_of(F.col("n"), total), F.lit(0.0)))
 
 

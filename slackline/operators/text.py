@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from slackline.fixed_values import SENTIMENTS
 from slackline.functions.joins import lookup_join
+from slackline.schema import inline_table
 from slackline.sources.text import SPACE, strip
 
 LABEL_LENGTH = 50
@@ -22,20 +23,39 @@ def label(text: str) -> Column:
     return F.substring(text, 1, LABEL_LENGTH)
 
 
-def _words(lines: DataFrame, keys: list[str], text: str) -> DataFrame:
-    return lines.select(*keys, label(text).alias("label"), F.explode(tokens(text)).alias("word"))
+# Every line carries this word and every list holds it without any score, so that a line
+# keeps its row in an inner join, where all other unlisted words drop out early.
+MARK = "\x00"
+
+
+def _listed_words(
+    lines: DataFrame, keys: list[str], text: str, lexicon: DataFrame, scores: list[str]
+) -> DataFrame:
+    """(keys, label, word, scores): the listed words of every line and its mark.
+
+    The word list is broadcast when it is small, which ``lookup_join`` checks.
+    """
+    words = lines.select(
+        *keys,
+        label(text).alias("label"),
+        F.explode(F.concat(F.array(F.lit(MARK)), tokens(text))).alias("word"),
+    )
+    listed = lexicon.select("word", *scores)
+    marks = inline_table(lines.sparkSession, [(MARK,)], ["word"])
+    return lookup_join(
+        words, listed.unionByName(marks, allowMissingColumns=True), ["word"],
+        spread_by=F.struct(*keys),
+    )
 
 
 def lexicon_counts(lines: DataFrame, keys: list[str], text: str, lexicon: DataFrame) -> DataFrame:
     """Words of each sentiment per line; a line without any keeps its row of zeros.
 
     All words of a line are in one task, so they are summed before the shuffle and a line
-    costs one row there. The word list is broadcast when it is small, which ``lookup_join``
-    checks.
+    costs one row there.
     """
-    words = _words(lines, keys, text)
     flags = lexicon.select("word", *[F.col(s).cast("int").alias(s) for s in SENTIMENTS])
-    hits = lookup_join(words, flags, ["word"], "left", spread_by=F.struct(*keys))
+    hits = _listed_words(lines, keys, text, flags, SENTIMENTS)
     sums = [F.sum(F.coalesce(s, F.lit(0))).alias(s) for s in SENTIMENTS]
     return hits.groupBy(*keys, "label").agg(*sums)
 
@@ -50,8 +70,7 @@ def polarity(lines: DataFrame, keys: list[str], text: str, lexicon: DataFrame) -
 
     ``lexicon`` has (word, polarity, subjectivity). A line without listed words scores 0.
     """
-    words = _words(lines, keys, text)
-    hits = lookup_join(words, lexicon, ["word"], "left", spread_by=F.struct(*keys))
+    hits = _listed_words(lines, keys, text, lexicon, ["polarity", "subjectivity"])
     scored = hits.groupBy(*keys, "label").agg(
         F.coalesce(F.avg("polarity"), F.lit(0.0)).alias("polarity"),
         F.coalesce(F.avg("subjectivity"), F.lit(0.0)).alias("subjectivity"),

@@ -6,13 +6,31 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slackline.fixed_values import ARM_AI, ARM_NO_AI, CONSENT, SENTIMENTS
-from slackline.functions.joins import lookup_join
+from slackline.functions.joins import lookup_join, spread_small
 from slackline.schema import inline_table
 from slackline.sources.text import split_lines
 
 
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cents(column: str):
@@ -183,9 +201,13 @@ def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+
+
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every non-blank line of every document: (doc_id, line_no, text)."""
-    return split_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"], "text")
+    return split_lines(documents(spark, sf_dir), ["doc_id"], "text")
 
 
 def word_flags(spark: SparkSession) -> DataFrame:

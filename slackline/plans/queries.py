@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slackline.fixed_values import (
@@ -58,10 +58,9 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
 
 def full_panel(df: DataFrame) -> DataFrame:
     """With slack and the next year's budget, zero where there is none."""
-    following = features.add_lags(df, (-1,), "budget").withColumnRenamed("budget_lag-1", "_next")
-    return ledger.with_slack(
-        following.withColumn("budget_next", F.coalesce("_next", F.lit(0.0))).drop("_next")
-    )
+    series = Window.partitionBy("region", "acc_id").orderBy("year")
+    following = F.coalesce(F.lead("budget").over(series), F.lit(0.0))
+    return ledger.with_slack(df.withColumn("budget_next", following))
 
 
 # --- panel ------------------------------------------------------------------------------
@@ -509,7 +508,8 @@ def normal_curve(spark, sf):
 
 @query
 def histogram_10(spark, sf):
-    return rounded(explore.histogram(people(spark, sf), "experience", 10), "low", "high")
+    years = stored(people(spark, sf).select("experience"))
+    return rounded(explore.histogram(years, "experience", 10), "low", "high")
 
 
 @query
@@ -560,7 +560,7 @@ def polarity_means(spark, sf):
 
 @query
 def word_frequency_top(spark, sf):
-    return text.word_frequency(fx.table(spark, sf, "documents"), "text", 50)
+    return text.word_frequency(fx.documents(spark, sf), "text", 50)
 
 
 # --- models -----------------------------------------------------------------------------

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from slackline.fixed_values import SENTIMENTS
 from slackline.schema import LEXICON_SCHEMA
 
-# White space of any script, the same set in Java and in RE2 patterns.
+# White space of any script: as a pattern, and as the characters themselves.
 SPACE = r"[\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]"
+SPACES = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(
+    map(chr, [*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
 
 
 def strip(text: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def split_lines(df: DataFrame, keys: list[str], text: str) -> DataFrame:
