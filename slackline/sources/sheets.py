@@ -21,11 +21,8 @@ HRM1, HRM2_OLD, HRM2_NEW = "HRM1", "HRM2_TO_2018", "HRM2_FROM_2019"
 
 def read_sheets(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
     """(path, sheet, lines) of every matching file below ``path``; blank lines count."""
-    files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .text(path)
+    files = spark.read.text(
+        path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern
     )
     plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return files.select(
