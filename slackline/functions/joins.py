@@ -21,11 +21,8 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 def splits_skew(df: DataFrame) -> bool:
     """True when the session splits skewed join partitions by itself."""
-    conf = df.sparkSession.conf
-    return (
-        conf.get("spark.sql.adaptive.enabled") == "true"
-        and conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
-    )
+    switches = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    return all(df.sparkSession.conf.get(s).lower() == "true" for s in switches)
 
 
 def spread_small(df: DataFrame, keys: list[str], limit: int = 1 << 30) -> DataFrame:

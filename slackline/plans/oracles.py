@@ -647,7 +647,7 @@ FROM tokens t LEFT JOIN lexicon x ON x.word = t.word GROUP BY t.conv_id, t.turn"
         "lexicon",
         tokens=f"""SELECT conv_id, turn, unnest(regexp_split_to_array(upper(
   regexp_replace(text, '^{SPACE}+|{SPACE}+$', '', 'g')), '{SPACE}+')) AS word
-FROM conversations WHERE role = 'user'""",
+FROM conversations""",
     ),
     "polarity_scores": sql(
         """SELECT doc_id, line_no, label, round(p, 9) AS polarity, round(s, 9) AS subjectivity, round(abs(p), 9) AS intensity

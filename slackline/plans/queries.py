@@ -536,9 +536,7 @@ def lexicon_totals(spark, sf):
 
 @query
 def answer_lexicon_counts(spark, sf):
-    answers = fx.table(spark, sf, "conversations").where("role = 'user'").select(
-        "conv_id", "turn", F.regexp_replace("text", "[\r\n]", " ").alias("text")
-    )
+    answers = fx.table(spark, sf, "conversations").select("conv_id", "turn", "text")
     return text.lexicon_counts(answers, ["conv_id", "turn"], "text", fx.word_flags(spark)).drop("label")
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import functools
 import tempfile
 import uuid
 
@@ -26,6 +27,13 @@ def local_session(cpus: int | str = 8, memory: str = "8g", app: str = "slackline
     return spark
 
 
+@functools.cache
+def _scratch() -> str:
+    folder = tempfile.TemporaryDirectory(prefix="slackline-", ignore_cleanup_errors=True)
+    atexit.register(folder.cleanup)
+    return folder.name
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -37,7 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
         if named is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            named = tempfile.mkdtemp(prefix="slackline-", dir=os.environ.get("TMPDIR"))
+            named = _scratch()
         context.setCheckpointDir(named)
     return context.getCheckpointDir()
 

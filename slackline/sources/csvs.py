@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from slackline.functions.joins import lookup_join
 from slackline.functions.numbers import to_number
-from slackline.operators.ledger import union_by_name
 from slackline.schema import (
+    FINAL_COLUMNS,
     LEXICON_RESULT_SCHEMA,
     PANEL_HEADERS,
     PANEL_TYPES,
     POLARITY_RESULT_SCHEMA,
 )
+from slackline.session import stored
+from slackline.sources.cells import bind, split_cells
 
 HEADER_NAMES = {name: header for header, name in PANEL_HEADERS.items()}
 
@@ -27,22 +30,27 @@ def list_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     return files.select("path", "length").withColumn("usable", F.col("path").rlike(f"{glob}$"))
 
 
+def _file_lines(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
+    lines = spark.read.text(directory, pathGlobFilter=pattern)
+    return lines.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        "value",
+    )
+
+
 def file_headers(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
-    """(path, header) of every file whose name matches; a blank first line gives ``''``.
+    """(path, header, reason) of every matching file; ``reason`` is NULL for a usable one.
 
     One text scan, the same cost as letting Spark infer the types.
     """
-    lines = (
-        spark.read.option("pathGlobFilter", pattern)
-        .text(directory)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("position"),
-            "value",
-        )
+    lines = _file_lines(spark, directory, pattern).withColumn(
+        "position", F.monotonically_increasing_id()
     )
-    return lines.where("start = 0").groupBy("path").agg(F.min_by("value", "position").alias("header"))
+    first = lines.where("start = 0").groupBy("path").agg(F.min_by("value", "position").alias("header"))
+    known = F.forall(F.split("header", ","), lambda c: F.trim(c).isin(list(PANEL_HEADERS)))
+    reason = F.when(F.trim("header") == "", "empty file").when(~known, "unknown columns")
+    return first.withColumn("reason", reason)
 
 
 def read_union_by_name(
@@ -50,34 +58,27 @@ def read_union_by_name(
 ) -> tuple[DataFrame, DataFrame]:
     """(panel, rejects): all files of one name pattern, matched by column name.
 
-    Spark would match columns of differing headers by position, so files are read in one
-    group per header, each with an explicit schema. The driver sees file names only.
+    Spark would match columns of differing headers by position. Here every line is cut
+    into cells, and each column is looked up in the header of the line's own file; a
+    column that the file lacks is NULL. No file name or row passes through the driver.
     """
-    headers = file_headers(spark, directory, pattern)
-    known = F.forall(
-        F.split("header", ","), lambda c: F.trim(c).isin(list(PANEL_HEADERS))
-    )
-    blank = F.trim("header") == ""
-    reason = F.when(blank, "empty file").when(~known, "unknown columns")
-    marked = headers.withColumn("reason", reason)
-    rejects = marked.where("reason IS NOT NULL").select("path", "reason")
-    groups = marked.where("reason IS NULL").groupBy("header").agg(F.collect_list("path").alias("paths"))
-    frames = []
-    for header, paths in groups.orderBy("header").collect():
-        names = [PANEL_HEADERS[c.strip()] for c in header.split(",")]
-        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        raw = spark.read.schema(text).option("header", True).csv(paths)
-        frames.append(
-            raw.select(
-                *[
-                    (to_number(n) if PANEL_TYPES[n] == "double" else F.col(n)).alias(n)
-                    for n in names
-                ]
-            )
-        )
-    if not frames:
-        raise ValueError(f"no readable file matches {pattern} in {directory}")
-    return union_by_name(frames), rejects
+    headers = stored(file_headers(spark, directory, pattern))
+    usable = headers.where("reason IS NULL").select("path", "header")
+    lines = lookup_join(
+        _file_lines(spark, directory, pattern), usable, ["path"], spread_by=F.col("value")
+    ).where((F.trim("value") != "") & (F.col("value") != F.col("header")))
+    labels = F.transform(F.split("header", ","), lambda c: F.trim(c))
+
+    def record(cells: Column) -> Column:
+        def cell(name: str) -> Column:
+            place = F.array_position(labels, F.lit(HEADER_NAMES[name])).cast("int")
+            text = F.nullif(F.get(cells, place - 1), F.lit(""))
+            return to_number(text) if PANEL_TYPES[name] == "double" else text
+
+        return F.struct(*[cell(n).alias(n) for n in PANEL_TYPES])
+
+    panel = lines.select(F.inline(F.array(bind(split_cells(F.col("value")), record))))
+    return panel, headers.where("reason IS NOT NULL").select("path", "reason")
 
 
 def write_panel(df: DataFrame, path: str) -> None:
@@ -89,6 +90,14 @@ def read_panel(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_panel_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A final panel in CSV with its published headers; differing headers raise."""
+    types = {"year": "int", "acc_id": "int"}
+    schema = ", ".join(f"`{HEADER_NAMES[c]}` {types.get(c, PANEL_TYPES[c])}" for c in FINAL_COLUMNS)
+    raw = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    return raw.select(*[F.col(f"`{HEADER_NAMES[c]}`").alias(c) for c in FINAL_COLUMNS])
+
+
 def write_panel_csv(df: DataFrame, path: str) -> None:
     """CSV with the headers of the yearly files."""
     named = df.select(*[F.col(c).alias(HEADER_NAMES.get(c, c)) for c in df.columns])

@@ -15,6 +15,7 @@ from slackline.fixed_values import (
     SHEET_STANDARD_FIRST,
     ZERO_LABEL,
 )
+from slackline.sources.cells import bind, split_cells
 
 HRM1, HRM2_OLD, HRM2_NEW = "HRM1", "HRM2_TO_2018", "HRM2_FROM_2019"
 
@@ -65,23 +66,6 @@ def parse_sheets(sheets: DataFrame) -> DataFrame:
     return named.withColumn("layout", layout).withColumn("reason", reason)
 
 
-def split_cells(line: Column, separator: str = ",") -> Column:
-    """Cells of one line; a separator inside double quotes does not split."""
-    mark = {"\t": r"\t", "|": r"\|"}.get(separator, separator)
-    raw = F.split(line, mark + r'(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
-    return F.transform(
-        raw,
-        lambda c: F.replace(
-            F.regexp_replace(F.trim(c), '^"(.*)"$', "$1"), F.lit('""'), F.lit('"')
-        ),
-    )
-
-
-def _bind(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` evaluated once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _numbered(cells: Column) -> Column:
     """Header cells as ``label#occurrence``, so that a repeated label is told apart."""
     earlier = lambda c, i: F.size(F.filter(F.slice(cells, F.lit(1), i), lambda x: x == c))
@@ -126,7 +110,7 @@ def header_positions(cells: Column, layout: Column, year: Column) -> Column:
             at(year + 1).alias("budget_next"),
         )
 
-    return _bind(_numbered(cells), body)
+    return bind(_numbered(cells), body)
 
 
 def located_sheets(parsed: DataFrame, separator: str = ",") -> DataFrame:
@@ -138,7 +122,7 @@ def located_sheets(parsed: DataFrame, separator: str = ",") -> DataFrame:
         *[F.when(F.col("layout") == k, F.lit(v)) for k, v in HEADER_ROW.items()]
     )
     header = split_cells(F.get("lines", row), separator)
-    at = _bind(header, lambda cells: header_positions(cells, F.col("layout"), F.col("year")))
+    at = bind(header, lambda cells: header_positions(cells, F.col("layout"), F.col("year")))
     # The one-element explode keeps Catalyst from evaluating the positions again per line.
     located = parsed.select("*", row.alias("header_row"), F.explode(F.array(at)).alias("at"))
     needed = ["acc_id", "budget", "realized", "budget_next"]
@@ -165,7 +149,7 @@ def sheet_rows(located: DataFrame, separator: str = ",") -> DataFrame:
             *[F.nullif(F.get(cells, F.col(f"at.{c}") - 1), F.lit("")).alias(c) for c in wanted]
         )
 
-    records = F.transform(data, lambda line: _bind(split_cells(line, separator), record))
+    records = F.transform(data, lambda line: bind(split_cells(line, separator), record))
     return usable.select(
         "path", "sheet", "standard", "layout", "region", "year", F.inline(records)
     )

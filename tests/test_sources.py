@@ -15,7 +15,7 @@ def yearly(tmp_path):
     folder.mkdir()
     (folder / "y_2010_single_digit.csv").write_text("\n")
     (folder / "y_2011_single_digit.csv").write_text(
-        "Acc-ID,Name,Budget y,Realized,Budget y+1,Region,Year,Slack\n3,,10.5,9.0,11.0,AG,2011,1.5\n"
+        "Acc-ID,Name,Budget y,Realized,Budget y+1,Region,Year,Slack\n3,\"a, b\",10.5,9.0,11.0,AG,2011,1.5\n4,,1,1,1,AG,2011,0\n"
     )
     (folder / "y_2012_single_digit.csv").write_text(
         "Name,Acc-ID,Budget y,Realized,Budget y+1,Region,Year,Slack\nErtrag,4,1.0,2.0,3.0,AG,2012,-1.0\n"
@@ -31,8 +31,9 @@ def yearly(tmp_path):
 def test_union_matches_columns_by_name(spark, yearly):
     panel, rejects = csvs.read_union_by_name(spark, yearly, "*_single_digit.csv")
     assert values(panel, "acc_id", "name", "budget", "region", "year", "ref_id") == [
-        ("3", None, 10.5, "AG", "2011", None),
         ("3", "Aufwand", 0.0, "ZH", "2019", "HRM2_ER3"),
+        ("3", "a, b", 10.5, "AG", "2011", None),
+        ("4", None, 1.0, "AG", "2011", None),
         ("4", "Ertrag", 1.0, "AG", "2012", None),
     ]
     assert sorted(r["reason"] for r in rejects.collect()) == ["empty file", "unknown columns"]
@@ -42,7 +43,9 @@ def test_merge_job_writes_the_final_panel_by_year(spark, yearly, tmp_path):
     out = str(tmp_path / "final")
     jobs.merge_panels(spark, yearly, "*_single_digit.csv", out)
     panel = csvs.read_panel(spark, out)
-    assert values(panel, "year", "acc_id", "slack") == [(2011, 3, 1.5), (2012, 4, -1.0), (2019, 3, 0.0)]
+    assert values(panel, "year", "acc_id", "slack") == [
+        (2011, 3, 1.5), (2011, 4, 0.0), (2012, 4, -1.0), (2019, 3, 0.0),
+    ]
     assert (tmp_path / "final" / "year=2019").is_dir()
 
 
@@ -58,6 +61,18 @@ def test_panel_csv_uses_the_published_headers(spark, tmp_path):
     assert spark.read.option("header", True).csv(out).columns == ["Acc-ID", "Budget y"]
 
 
+def test_final_panel_csv_round_trip(spark, tmp_path):
+    row = [(2015, "AG", 30, 1.5, 2.5, 3.5, 1.0)]
+    columns = "year int, region string, acc_id int, realized double, budget double, budget_next double, slack double"
+    out = str(tmp_path / "final")
+    csvs.write_panel_csv(spark.createDataFrame(row, columns).coalesce(1), out)
+    assert values(csvs.read_panel_csv(spark, out)) == row
+    other = str(tmp_path / "other")
+    csvs.write_panel_csv(spark.createDataFrame(row, columns).select("region", "year", *columns.split()[4::2]), other)
+    with pytest.raises(Exception, match="CSV header"):
+        csvs.read_panel_csv(spark, other).collect()
+
+
 def test_predictions_of_different_runs_do_not_collide(spark, tmp_path):
     rows = spark.createDataFrame(
         [("AG", 30, 5, 1.0, 2.0, 3.0)],
