@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +26,8 @@ def exact_quantiles(
     Anything larger takes two passes:
 
     1. One aggregate sketches all series (merged map-side). Around every wanted
-       quantile it gives a lower and an upper edge that are two error bounds away.
+       quantile it gives a lower and an upper edge that are two error bounds away. These
+       few numbers are fetched at once and become constants of the second pass.
     2. Rows between an edge pair are counted per value, all other rows only per gap,
        both map-side. Rows near an edge pair fall into ``PARTS`` ordered parts; running
        counts over the parts tell which one holds a rank, and only that one is sorted.
@@ -37,42 +35,64 @@ def exact_quantiles(
     A third of all rows in one value is one counted cell. The result never rests on
     the sketch: a wanted rank outside its edge pair raises instead of giving a near value.
     """
+    if probabilities != sorted(probabilities):
+        raise ValueError("probabilities must ascend")
     if fits_broadcast(df):
         return _small_quantiles(df, series, probabilities)
     step = 2.0 / accuracy
-    cuts = [
-        min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-step, step)
-    ]
+    cuts = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-step, step)]
     names = list(series)
-    sketch = df.agg(
+    numbers = df.select(*[series[name].cast("double").alias(name) for name in names])
+    sketch = numbers.agg(
         F.struct(
             *[
-                F.percentile_approx(series[name].cast("double"), cuts, accuracy).alias(f"s{i}")
+                F.get(F.percentile_approx(F.col(f"`{name}`"), cuts, accuracy), F.lit(j)).alias(f"s{i}_{j}")
                 for i, name in enumerate(names)
+                for j in range(len(cuts))
             ]
         ).alias("edges")
-    ).scalar()
-    cell = [
-        F.struct(
-            F.lit(name).alias("series"),
-            series[name].cast("double").alias("value"),
-            sketch.getField(f"s{i}").alias("edges"),
-        )
-        for i, name in enumerate(names)
-    ]
-    rows = df.select(F.explode(F.array(*cell)).alias("c")).select("c.*").where("value IS NOT NULL")
+    ).first()["edges"]
+    rows = numbers.unpivot([], [f"`{name}`" for name in names], "series", "value").where(
+        "value IS NOT NULL"
+    )
 
     value = F.col("value")
-    edge = [F.element_at("edges", i + 1) for i in range(len(cuts))]
-    place = reduce(add, [(value > e).cast("int") + (value >= e).cast("int") for e in edge])
-    part, near = F, F.lit(False)
-    for low, high in zip(edge[::2], edge[1::2]):
-        share = F.coalesce(F.try_divide(value - low, high - low), F.lit(0.0))
-        part = part.when(value.between(low, high), F.floor(share * PARTS).cast("int"))
-        near = near | value.between(low, high)
-    cells = rows.groupBy(
-        "series", place.alias("place"), part.alias("part"), F.when(near, value).alias("value")
-    ).agg(F.count("*").alias("rows"))
+
+    def by_series(pick) -> Column:
+        """One expression per series; ``pick`` gets the edges of the series."""
+        cases = F
+        for i, name in enumerate(names):
+            edges = [F.lit(sketch[f"s{i}_{j}"]).cast("double") for j in range(len(cuts))]
+            cases = cases.when(F.col("series") == name, pick(edges))
+        return cases
+
+    def place_of(edges: list[Column]) -> Column:
+        # Even places are gaps, odd places lie between the two edges of a quantile.
+        cases = F
+        for j in range(0, len(edges), 2):
+            cases = cases.when(value < edges[j], j).when(value <= edges[j + 1], j + 1)
+        return cases.otherwise(len(edges))
+
+    def edge_of(side: int):
+        def pick(edges: list[Column]) -> Column:
+            cases = F
+            for j in range(0, len(edges), 2):
+                cases = cases.when(F.col("place") == j + 1, edges[j + side])
+            return cases
+
+        return pick
+
+    placed = rows.select("series", "value", by_series(place_of).alias("place"))
+    low, high = by_series(edge_of(0)), by_series(edge_of(1))
+    near = placed.select(
+        "series", "place", F.when(F.col("place") % 2 == 1, value).alias("value"),
+        low.alias("low"), high.alias("high"),
+    )
+    share = F.coalesce(F.try_divide(value - F.col("low"), F.col("high") - F.col("low")), F.lit(0.0))
+    part = F.when(value.isNotNull(), F.floor(share * PARTS).cast("int"))
+    cells = near.groupBy("series", "place", part.alias("part"), "value").agg(
+        F.count("*").alias("rows")
+    )
 
     spot = ["series", "place", F.coalesce("part", F.lit(-1)).alias("part")]
     cells = cells.select(*spot, "value", "rows")
