@@ -16,7 +16,7 @@ from slackline.schema import (
     POLARITY_RESULT_SCHEMA,
 )
 from slackline.session import stored
-from slackline.sources.cells import bind, split_cells
+from slackline.sources.cells import bind
 
 HEADER_NAMES = {name: header for header, name in PANEL_HEADERS.items()}
 
@@ -77,7 +77,12 @@ def read_union_by_name(
 
         return F.struct(*[cell(n).alias(n) for n in PANEL_TYPES])
 
-    panel = lines.select(F.inline(F.array(bind(split_cells(F.col("value")), record))))
+    # A usable header names known columns only, so no file is wider than that list.
+    width = [f"c{i}" for i in range(len(PANEL_TYPES))]
+    parsed = F.from_csv("value", ", ".join(f"{c} string" for c in width), {"escape": '"'})
+    cut = lines.select("header", parsed.alias("csv"))
+    cells = F.array(*[F.col(f"csv.{c}") for c in width])
+    panel = cut.select(F.inline(F.array(bind(cells, record))))
     return panel, headers.where("reason IS NOT NULL").select("path", "reason")
 
 
