@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from slackline.fixed_values import BALANCE_ACCOUNTS, CATEGORIES
 from slackline.functions.numbers import is_zero, scalar
 from slackline.schema import SERIES, category_dim, require_columns
+from slackline.session import stored
 
 LEAKS = ["realized", "budget", "budget_next", "slack"]
 
@@ -36,7 +37,8 @@ def add_lags(
     """Earlier values of the same region and account as ``<value>_lag<k>``.
 
     A panel has one row per series and year, or one per standard, so a window holds some
-    dozen rows however large the tables are that the panel was summed from.
+    dozen rows however large the tables are that the panel was summed from. For rows that
+    were not summed, where one series can be too long for a task, see ``add_lags_in_chunks``.
 
     ``by="row"`` takes the k-th row before, whatever its year; equal years are ordered
     by ``tie_break``. ``by="year"`` takes the value of exactly ``year - k``.
@@ -57,6 +59,44 @@ def add_lags(
     return df
 
 
+def add_lags_in_chunks(
+    df: DataFrame,
+    chunks: int,
+    ks: tuple[int, ...] = (1, 2),
+    value: str = "realized",
+    tie_break: tuple[str, ...] = (),
+) -> DataFrame:
+    """``add_lags`` by row for series of any length.
+
+    Rows are sorted into ``chunks`` ranges of (series, year, ties), so that a long series
+    spans many chunks, and stored. Within its chunk a row finds its lags itself, unless it
+    is among the first ``max(ks)`` of its series there. Those find them in a thin table of
+    the first and last ``max(ks)`` rows of every chunk, which holds all their predecessors.
+    """
+    require_columns(df, ["year", value])
+    reach = max(ks)
+    order = ["year", *tie_break, "_tie"]
+    # Any order of rows that tie is valid; numbering them lets even equal rows be split.
+    numbered = df.withColumn("_tie", F.monotonically_increasing_id())
+    ranges = numbered.repartitionByRange(chunks, *SERIES, *order)
+    chunked = stored(ranges.withColumn("_chunk", F.spark_partition_id()))
+    part = Window.partitionBy("_chunk", *SERIES)
+    lagged = [F.lag(value, k) for k in ks]
+    names = [f"{value}_lag{k}" for k in ks]
+    here = part.orderBy(*order)
+    rows = chunked.select(
+        "*",
+        *[x.over(here).alias(n) for x, n in zip(lagged, names)],
+        F.row_number().over(here).alias("_first"),
+        (F.count("*").over(part) - F.row_number().over(here) + 1).alias("_last"),
+    )
+    thin = rows.where((F.col("_first") <= reach) | (F.col("_last") <= reach)).drop(*names)
+    series = Window.partitionBy(*SERIES).orderBy(*order)
+    across = thin.select("*", *[x.over(series).alias(n) for x, n in zip(lagged, names)])
+    whole = rows.where(F.col("_first") > reach).unionByName(across.where(F.col("_first") <= reach))
+    return whole.select(*df.columns, *names)
+
+
 def drop_zero_rows(df: DataFrame) -> DataFrame:
     """Drop rows without any amount, and balance-sheet rows without a budget.
 

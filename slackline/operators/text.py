@@ -55,6 +55,7 @@ def lexicon_counts(lines: DataFrame, keys: list[str], text: str, lexicon: DataFr
     costs one row there.
     """
     flags = lexicon.select("word", *[F.col(s).cast("int").alias(s) for s in SENTIMENTS])
+    flags = flags.where(F.greatest(*SENTIMENTS) > 0)
     hits = _listed_words(lines, keys, text, flags, SENTIMENTS)
     sums = [F.sum(F.coalesce(s, F.lit(0))).alias(s) for s in SENTIMENTS]
     return hits.groupBy(*keys, "label").agg(*sums)

@@ -120,3 +120,29 @@ def test_single_year_frame_is_all_test(series):
 def test_features_hold_no_leaks(series):
     left = features.feature_columns(series.withColumns({"slack": F.lit(1), "budget_next": F.lit(1)}))
     assert left.columns == ["region", "acc_id", "year"]
+
+
+@pytest.mark.parametrize("chunks", [1, 7, 40])
+def test_chunked_lags_equal_plain_lags(spark, chunks):
+    # One series holds a third of all rows; others are shorter than the lag reach.
+    hot = F.col("id") % 3 == 0
+    rows = spark.range(600).select(
+        F.when(hot, "AG").otherwise(F.concat(F.lit("R"), (F.col("id") % 120).cast("string"))).alias("region"),
+        F.lit(30).alias("acc_id"),
+        (2000 + F.col("id") % 11).cast("int").alias("year"),
+        F.when(F.col("id") % 13 > 0, F.col("id").cast("double")).alias("realized"),
+        F.col("id").alias("entry"),
+    )
+    plain = features.add_lags(rows, tie_break=("entry",))
+    chunked = features.add_lags_in_chunks(rows, chunks, tie_break=("entry",))
+    assert chunked.columns == plain.columns
+    assert values(chunked) == values(plain)
+
+
+def test_chunks_split_a_series_of_equal_rows(spark):
+    rows = spark.range(200).select(
+        F.lit("AG").alias("region"), F.lit(30).alias("acc_id"), F.lit(2011).alias("year"),
+        F.lit(1.0).alias("realized"),
+    )
+    out = features.add_lags_in_chunks(rows, 8, ks=(1,))
+    assert values(out, "realized_lag1") == [(None,)] + [(1.0,)] * 199

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from slackline import session
 from slackline.functions import joins
 from tests.conftest import values
 
@@ -62,3 +63,33 @@ def test_spread_small_keeps_large_tables_as_they_are(spark, fact):
     spread = joins.spread_small(fact, ["id"])
     assert values(spread) == values(fact)
     assert joins.spread_small(fact, ["id"], limit=0) is fact
+
+
+class Context:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class Session:
+    def __init__(self, context, named=None):
+        self.sparkContext, self.conf = context, {"spark.checkpoint.dir": named} if named else {}
+
+
+def test_shared_folder_is_the_one_the_cluster_names():
+    assert session.shared_folder(Session(Context("spark://x", "hdfs://a"))) == "hdfs://a"
+    assert session.shared_folder(Session(Context("spark://x"), "hdfs://b")) == "hdfs://b"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session(Context("spark://x")))
+    assert "slackline-" in session.shared_folder(Session(Context("local[2]")))
+
+
+def test_stored_keeps_rows_and_types(spark, fact):
+    kept = session.stored(fact)
+    assert kept.schema == fact.schema or kept.dtypes == fact.dtypes
+    assert values(kept) == values(fact)
