@@ -398,6 +398,12 @@ LEFT JOIN panel a ON a.region = p.region AND a.acc_id = p.acc_id AND a.year = p.
 LEFT JOIN panel b ON b.region = p.region AND b.acc_id = p.acc_id AND b.year = p.year - 2""",
         "panel",
     ),
+    "lag_entries": """SELECT *, LAG(realized, 1) OVER w AS realized_lag1, LAG(realized, 2) OVER w AS realized_lag2 FROM (
+  SELECT n.n_name AS region, p.p_size AS acc_id, CAST(year(l.l_shipdate) AS INT) AS year, l.l_orderkey, l.l_linenumber,
+    CAST(CASE WHEN l.l_returnflag <> 'R' THEN CAST(l.l_extendedprice AS DECIMAL(18,2)) ELSE 0 END AS DOUBLE) AS realized
+  FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey
+  JOIN nation n ON n.n_nationkey = s.s_nationkey JOIN part p ON p.p_partkey = l.l_partkey)
+WINDOW w AS (PARTITION BY region, acc_id ORDER BY year, l_orderkey, l_linenumber, realized)""",
     "zero_row_drop": sql(
         """SELECT * FROM panel WHERE NOT (realized = 0 AND budget = 0)
   AND NOT (budget = 0 AND acc_id IN (10, 14, 20, 29))""",

@@ -89,6 +89,17 @@ def lag_features_by_year(spark, sf):
     return features.add_lags(panel(spark, sf), by="year")
 
 
+@query
+def lag_entries(spark, sf):
+    """Lags over single entries, whose series are as long as the table makes them."""
+    entries = fx.ledger_lines(spark, sf, "l_orderkey", "l_linenumber").select(
+        "region", "acc_id", "year", "l_orderkey", "l_linenumber",
+        (F.col("realized_cents") / 100).alias("realized"),
+    )
+    ties = ("l_orderkey", "l_linenumber", "realized")
+    return features.add_lags_in_chunks(entries, tie_break=ties)
+
+
 @query
 def zero_row_drop(spark, sf):
     return features.drop_zero_rows(panel(spark, sf))

@@ -134,7 +134,7 @@ def test_chunked_lags_equal_plain_lags(spark, chunks):
         F.col("id").alias("entry"),
     )
     plain = features.add_lags(rows, tie_break=("entry",))
-    chunked = features.add_lags_in_chunks(rows, chunks, tie_break=("entry",))
+    chunked = features.add_lags_in_chunks(rows, tie_break=("entry",), chunks=chunks)
     assert chunked.columns == plain.columns
     assert values(chunked) == values(plain)
 
@@ -144,5 +144,5 @@ def test_chunks_split_a_series_of_equal_rows(spark):
         F.lit("AG").alias("region"), F.lit(30).alias("acc_id"), F.lit(2011).alias("year"),
         F.lit(1.0).alias("realized"),
     )
-    out = features.add_lags_in_chunks(rows, 8, ks=(1,))
+    out = features.add_lags_in_chunks(rows, ks=(1,), chunks=8)
     assert values(out, "realized_lag1") == [(None,)] + [(1.0,)] * 199
