@@ -66,18 +66,20 @@ def add_lags_in_chunks(
     tie_break: tuple[str, ...] = (),
     chunks: int | None = None,
 ) -> DataFrame:
-    """``add_lags`` by row for series of any length.
+    """``add_lags`` by row for series of any length; ``df`` must be a stored table.
 
-    Rows are sorted into ``chunks`` ranges of (series, year, ties), by default as many as
-    the session has shuffle partitions, so that a long series spans many, and stored. Within its chunk a row finds its lags itself, unless it
-    is among the first ``max(ks)`` of its series there. Those find them in a thin table of
-    the first and last ``max(ks)`` rows of every chunk, which holds all their predecessors.
+    Rows are sorted into ``chunks`` ranges of (series, year, ties) and stored; by default
+    there are as many as the session has shuffle partitions, so a long series spans many.
+    Within its chunk a row finds its lags itself, unless it is among the first ``max(ks)``
+    of its series there. Those find them in a thin table of the first and last ``max(ks)``
+    rows of every chunk, which holds all their predecessors.
     """
     require_columns(df, ["year", value])
     reach = max(ks)
     chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["year", *tie_break, "_tie"]
     # Any order of rows that tie is valid; numbering them lets even equal rows be split.
+    # A task that is run again reads the same file range and gives the same numbers.
     numbered = df.withColumn("_tie", F.monotonically_increasing_id())
     ranges = numbered.repartitionByRange(chunks, *SERIES, *order)
     chunked = stored(ranges.withColumn("_chunk", F.spark_partition_id()))

@@ -97,7 +97,7 @@ def lag_entries(spark, sf):
         (F.col("realized_cents") / 100).alias("realized"),
     )
     ties = ("l_orderkey", "l_linenumber", "realized")
-    return features.add_lags_in_chunks(entries, tie_break=ties)
+    return features.add_lags_in_chunks(stored(entries), tie_break=ties)
 
 
 @query
