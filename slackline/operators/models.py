@@ -13,7 +13,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slackline.fixed_values import SEARCH_SPACES, SEED
+from slackline.fixed_values import EARLY_STOPPING_ROUNDS, SEARCH_SPACES, SEED
 from slackline.operators.features import newest_year
 from slackline.schema import inline_table
 
@@ -101,23 +101,47 @@ def regressor(params: dict, seed: int = SEED, max_bins: int = 256) -> GBTRegress
     return model
 
 
-def fit_gbt(
+def fit_gbt(train: DataFrame, kind: str, params: dict, seed: int = SEED) -> PipelineModel:
+    """Fit the features and the trees of one parameter set."""
+    stages = [*feature_stages(kind), regressor(params, seed)]
+    return Pipeline(stages=stages).fit(model_frame(train))
+
+
+def round_errors(model: PipelineModel, df: DataFrame) -> list[float]:
+    """Mean squared error on ``df`` after each boosting round, from one pass."""
+    features = PipelineModel(model.stages[:-1]).transform(model_frame(df))
+    return model.stages[-1].evaluateEachIteration(features, "squared")
+
+
+def best_round(errors: list[float], patience: int = EARLY_STOPPING_ROUNDS) -> int:
+    """0-based round with the smallest error before ``patience`` rounds without a better one."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best
+
+
+def fit_early_stopped(
     train: DataFrame,
+    validation: DataFrame,
     kind: str,
     params: dict,
     seed: int = SEED,
-    validation: DataFrame | None = None,
-    tolerance: float = 0.01,
+    patience: int = EARLY_STOPPING_ROUNDS,
 ) -> PipelineModel:
-    """Fit features and trees; with ``validation`` the boosting stops when it gets no better."""
-    rows = model_frame(train)
-    model = regressor(params, seed)
-    if validation is not None:
-        rows = rows.withColumn("_stop", F.lit(False)).unionByName(
-            model_frame(validation).withColumn("_stop", F.lit(True))
-        )
-        model.setValidationIndicatorCol("_stop").set(model.validationTol, tolerance)
-    return Pipeline(stages=[*feature_stages(kind), model]).fit(rows)
+    """Fit, and keep the rounds up to the best one on ``validation``.
+
+    Rounds depend on the earlier ones and the seed only, so a fit of fewer rounds is the
+    beginning of the longer one.
+    """
+    model = fit_gbt(train, kind, params, seed)
+    rounds = best_round(round_errors(model, validation), patience) + 1
+    if rounds == model.stages[-1].getNumTrees:
+        return model
+    return fit_gbt(train, kind, params | {"trees": rounds}, seed)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -168,11 +192,13 @@ def search(
     seed: int = SEED,
     parallelism: int = 4,
     time_limit: float | None = None,
+    patience: int = EARLY_STOPPING_ROUNDS,
 ) -> DataFrame:
-    """(trial, parameters..., mse) of every trial, scored on the validation rows.
+    """(trial, parameters..., rounds, mse) of every trial, scored on the validation rows.
 
-    Fits run side by side as Spark jobs; the driver only keeps one number per trial.
-    Trials that have not started within ``time_limit`` seconds are left out.
+    ``mse`` is that of the best round before early stopping, ``rounds`` its number. Fits
+    run side by side as Spark jobs; the driver only keeps a few numbers per trial. Trials
+    that have not started within ``time_limit`` seconds are left out.
     """
     started = time.monotonic()
 
@@ -180,14 +206,13 @@ def search(
         number, params = numbered
         if time_limit is not None and time.monotonic() - started > time_limit:
             return None
-        fitted = fit_gbt(train, kind, params, seed)
-        gap = F.col("realized") - F.col("prediction")
-        mse = score(fitted, validation).agg(F.avg(gap * gap)).first()[0]
-        return (number, *[float(params[p[0]]) for p in SEARCH_SPACES[kind]], mse)
+        errors = round_errors(fit_gbt(train, kind, params, seed), validation)
+        best = best_round(errors, patience)
+        return (number, *[float(params[p[0]]) for p in SEARCH_SPACES[kind]], best + 1, errors[best])
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         done = [r for r in pool.map(run, enumerate(trials)) if r is not None]
-    columns = ["trial", *[p[0] for p in SEARCH_SPACES[kind]], "mse"]
+    columns = ["trial", *[p[0] for p in SEARCH_SPACES[kind]], "rounds", "mse"]
     return inline_table(train.sparkSession, done, columns)
 
 
@@ -196,7 +221,7 @@ def best_trial(trials: DataFrame) -> dict:
     row = trials.agg(
         F.min_by(F.struct(*trials.columns), F.struct("mse", "trial")).alias("best")
     ).first()["best"]
-    return {k: v for k, v in row.asDict().items() if k not in ("trial", "mse")}
+    return {k: v for k, v in row.asDict().items() if k not in ("trial", "rounds", "mse")}
 
 
 def tune_and_fit(

@@ -52,11 +52,29 @@ def test_fit_is_deterministic_and_beats_the_mean(frame, kind):
     assert all(math.isfinite(r["prediction"]) for r in scored.collect())
 
 
-def test_early_stopping_uses_fewer_trees(frame):
+def test_best_round_waits_for_its_patience():
+    errors = [5.0, 4.0, 4.5, 4.2, 3.0, 3.5]
+    assert models.best_round(errors, patience=3) == 4
+    assert models.best_round(errors, patience=2) == 1
+    assert models.best_round([1.0]) == 0
+
+
+def test_round_errors_are_the_errors_of_shorter_fits(frame):
+    train, validation, _ = models.validation_split(frame)
+    long = models.fit_gbt(train, "xgboost", PARAMS)
+    errors = models.round_errors(long, validation)
+    assert len(errors) == PARAMS["trees"]
+    short = models.score(models.fit_gbt(train, "xgboost", PARAMS | {"trees": 2}), validation)
+    assert metrics.evaluate(short, "realized", "prediction").first()["mse"] == pytest.approx(errors[1])
+
+
+def test_early_stopping_keeps_the_best_rounds(frame, monkeypatch):
     train, validation, _ = models.validation_split(frame)
-    many = PARAMS | {"trees": 30, "learning_rate": 1.0}
-    stopped = models.fit_gbt(train, "xgboost", many, validation=validation, tolerance=0.5)
-    assert stopped.stages[-1].getNumTrees < 30
+    monkeypatch.setattr(models, "round_errors", lambda model, df: [3.0, 2.0, 2.5, 2.6, 1.0])
+    stopped = models.fit_early_stopped(train, validation, "xgboost", PARAMS, patience=2)
+    assert stopped.stages[-1].getNumTrees == 2
+    patient = models.fit_early_stopped(train, validation, "xgboost", PARAMS, patience=100)
+    assert patient.stages[-1].getNumTrees == 5
 
 
 def test_unknown_level(frame):
