@@ -607,7 +607,7 @@ def split_panel(spark, sf, category="Aufwand"):
 @query
 def gbt_forecast(spark, sf):
     train, validation, test = split_panel(spark, sf)
-    model = models.fit_early_stopped(train, validation, "xgboost", FORECAST_PARAMS, patience=3)
+    model = models.fit_gbt(train.unionByName(validation), "xgboost", FORECAST_PARAMS)
     scored = models.score(model, test)
     return metrics.compare(scored, "realized", ["prediction", "budget"])
 
