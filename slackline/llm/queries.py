@@ -42,13 +42,13 @@ ORACLES["op1_quality"] = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
 ), cut AS (
-  SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-    list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM docs
 ), windows AS (
   SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS found FROM (
     SELECT rid, unnest(range(1, len(w) - 3)) AS i,
-      unnest(list_transform(range(1, len(w) - 3), j -> array_to_string(w[j:j+4], ' '))) AS win
+      unnest(list_transform(range(1, len(w) - 3), lambda j: array_to_string(w[j:j+4], ' '))) AS win
     FROM cut WHERE len(w) >= 5)
 ), repeats AS (
   SELECT rid, sum(least(5, i - before)) AS n FROM (
@@ -59,7 +59,7 @@ WITH docs AS (
     length(text) - length(regexp_replace(text, '[#*$%&|<>]+', '', 'g')) AS n_symbols,
     len(l) - len(list_distinct(l)) AS n_dup_lines, len(l) AS n_lines,
     CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
-    len(list_filter(range(2, len(w) + 1), i -> w[i] = w[i-1])) AS n_stutters,
+    len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i-1])) AS n_stutters,
     length(text) - length(regexp_replace(text, '\p{Lu}{2,}', '', 'g')) AS n_shouted,
     length(text) - length(regexp_replace(text, '\p{L}+', '', 'g')) AS n_letters
   FROM cut LEFT JOIN repeats USING (rid)

@@ -275,8 +275,8 @@ def oracle() -> str:
         size = f"length(regexp_extract(m, '{quoted(rule.pattern)}', {rule.group}))"
         parts.append(
             f"""SELECT rid, {place} AS place, '{rule.kind}' AS kind, m,
-            list_sum(list_transform(p[1:i], x -> length(x))) +
-            coalesce(list_sum(list_transform(a[1:i-1], x -> length(x))), 0) AS begins
+            list_sum(list_transform(p[1:i], lambda x: length(x))) +
+            coalesce(list_sum(list_transform(a[1:i-1], lambda x: length(x))), 0) AS begins
             FROM (SELECT rid, p, a, unnest(a) AS m, unnest(range(1, len(a) + 1)) AS i FROM (
               SELECT rid, string_split_regex(text, '{quoted(rule.pattern)}') AS p,
               regexp_extract_all(text, '{quoted(rule.pattern)}') AS a FROM docs))
