@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slackline.llm import pii, quality, secrets
+from slackline.llm import packing, pii, quality, secrets, sharding
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,11 +31,28 @@ def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest_rows(table(spark, folder, "documents"))
 
 
+def tokenizer() -> str:
+    """Path of the public vocabulary file that the packing query uses."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer())
+
+
 @query
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest_rows(table(spark, folder, "documents"))
 
 
+@query
+def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, folder, "documents"))
+
+
 ORACLES["op5_secrets"] = secrets.oracle()
 
 ORACLES["op1_quality"] = r"""
