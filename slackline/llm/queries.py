@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slackline.llm import packing, pii, quality, secrets, sharding
+from slackline.llm import language, packing, pii, quality, resampling, secrets, sharding
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,16 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest_rows(table(spark, folder, "documents"))
 
 
+@query
+def op6_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
 @query
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
