@@ -220,14 +220,17 @@ def predict(df: DataFrame, filters: Filters, text: str = "text", keep: list[str]
     nothing was learned. A text with letters but no known n-gram gets the language with the
     most training n-grams and score 0. Ties go to the first language by name.
     """
-    shared = df.sparkSession.sparkContext.broadcast(filters)
+    # A broadcast holds plain values only: executors may not know this module.
+    shared = df.sparkSession.sparkContext.broadcast(
+        (filters.languages, filters.planes, filters.false, filters.fallback)
+    )
 
     @F.pandas_udf("lang_pred string, score double")
     def decide(texts: pd.Series) -> pd.DataFrame:
-        out = []
+        known, out = Filters(*shared.value), []
         for low in range(0, len(texts), 256):
             some = [t if isinstance(t, str) else "" for t in texts.iloc[low : low + 256]]
-            names, score = shared.value.decide(some)
+            names, score = known.decide(some)
             out.append(pd.DataFrame({"lang_pred": names, "score": score}))
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"lang_pred": [], "score": []})
 
