@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from slackline.llm.common import row_key, stored, words
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 17
 SLICE = 400_000
 BINS = 1024
 
@@ -45,8 +45,9 @@ def hashed_words(text) -> object:
     return F.transform(words(F.coalesce(text, F.lit(""))), lambda w: F.xxhash64(w))
 
 
-def fit(df: DataFrame, target: str, text: str = "text", smoothing: float = 1.0) -> np.ndarray:
-    """Log ratio of target to raw probability of each bucket.
+def fit(df: DataFrame, target: str, text: str = "text", smoothing: float = 1.0, errors: float = 6.0) -> np.ndarray:
+    """Log ratio of target to raw probability of each bucket, shrunk by ``errors`` standard
+    errors towards zero.
 
     The raw model counts all rows, the target model the rows where ``target`` is true; both
     over whole texts. Each task sums its rows before anything is shuffled.
@@ -74,7 +75,13 @@ def fit(df: DataFrame, target: str, text: str = "text", smoothing: float = 1.0)
     at = table["bucket"].to_numpy(np.int64)
     raw[at] += table["raw"].to_numpy(float)
     good[at] += table["good"].to_numpy(float)
-    return np.log(good / good.sum()) - np.log(raw / raw.sum())
+    ratio = np.log(good / good.sum()) - np.log(raw / raw.sum())
+    # Bad text in the raw model lifts all ordinary words alike; the typical word gets zero.
+    order = np.argsort(ratio)
+    ratio -= ratio[order][np.searchsorted(np.cumsum(raw[order]), raw.sum() / 2)]
+    # Chance differences, up to so many standard errors, say nothing about a text.
+    noise = errors * np.sqrt(1 / good + 1 / raw)
+    return np.sign(ratio) * np.maximum(0.0, np.abs(ratio) - noise)
 
 
 def score(df: DataFrame, model: np.ndarray, text: str = "text") -> DataFrame:
@@ -144,7 +151,7 @@ def resample(
     share: float | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
-    temperature: float = 0.1,
+    temperature: float = 0.01,
     seed: int = 11,
 ) -> DataFrame:
     """(doc_id, log_weight, sample_key, kept): one row per row of ``df``.
