@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slackline.llm import language, packing, pii, quality, resampling, secrets, sharding
+from slackline.llm import html, language, packing, pii, quality, resampling, secrets, sharding
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,6 +53,11 @@ def op6_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op8_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html.main_text(table(spark, folder, "pages"))
+
+
 @query
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
