@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slackline.llm import html, language, packing, pii, quality, resampling, secrets, sharding
+from slackline.llm import decontamination, html, jaccard, language, packing, pii, quality, resampling, secrets, sharding
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,12 @@ def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest_rows(table(spark, folder, "documents"))
 
 
+@query
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("row")
+
+
 def tokenizer() -> str:
     """Path of the public vocabulary file that the packing query uses."""
     import public_tokenizers
@@ -53,6 +59,11 @@ def op6_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op7_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join_similar(table(spark, folder, "documents"))
+
+
 @query
 def op8_html(spark: SparkSession, folder: str) -> DataFrame:
     return html.main_text(table(spark, folder, "pages"))
