@@ -18,12 +18,17 @@ MANY = 48
 
 @dataclass(frozen=True)
 class Rule:
-    """A pattern of one kind. ``least`` is the length ``group`` needs for a valid match."""
+    """A pattern of one kind. ``least`` is the length ``group`` needs for a valid match.
+
+    ``search``, where given, finds exactly the valid matches of ``pattern`` and no others: for
+    a run of one class the least length can stand in the pattern itself.
+    """
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
+    search: str = ""
 
 
 def any_case(words: str) -> str:
@@ -34,8 +39,8 @@ KEYWORDS = any_case("password|passwd|secret|token|api_?key")
 
 BASE = [
     Rule("assign", rf"({KEYWORDS})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
-    Rule("hex", r"[0-9a-f]+", 0, 16),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 18, r"AKIA[A-Z0-9]{14,}+"),
+    Rule("hex", r"[0-9a-f]+", 0, 16, r"[0-9a-f]{16,}+"),
 ]
 
 MORE = [
@@ -194,13 +199,13 @@ def candidates(postings: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def verified(rule: Rule, text: Column, kinds: Column) -> Column:
     """Valid spans of ``rule``, searched only if it is among ``kinds`` or scans fully."""
-    spans = found_spans(text, rule.kind, rule.pattern)
+    spans = found_spans(text, rule.kind, rule.search or rule.pattern)
     if rule.group:
         spans = F.filter(
             spans,
             lambda s: F.length(F.regexp_extract(s["found"], rule.pattern, rule.group)) >= rule.least,
         )
-    elif rule.least > 1:
+    elif rule.least > 1 and not rule.search:
         spans = F.filter(spans, lambda s: F.length(s["found"]) >= rule.least)
     if not trigram_query(rule.pattern):
         return spans
