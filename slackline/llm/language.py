@@ -44,13 +44,15 @@ def ngrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     Other characters count as one blank, which may only stand at an n-gram's ends. Texts are
     taken in pieces of bounded size, so a very long text needs no more memory.
     """
-    group: list[tuple[int, str]] = []
+    group: list[tuple[int, str, int]] = []
     size = 0
     for number, text in enumerate(texts):
-        for low in range(0, len(text) or 1, PIECE):
-            part = text[low : low + PIECE + max(ORDERS) - 1]
-            group.append((number, part))
-            size += len(part) + 1
+        whole = f"\n{text.lower()}\n"
+        for low in range(0, len(whole), PIECE):
+            # A piece owns the n-grams that start in it, and sees where the last of them end.
+            part = whole[low : low + PIECE + max(ORDERS) - 1]
+            group.append((number, part, PIECE))
+            size += len(part)
             if size >= PIECE:
                 yield from _ngrams(group)
                 group, size = [], 0
@@ -58,19 +60,20 @@ def ngrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield from _ngrams(group)
 
 
-def _ngrams(group: list[tuple[int, str]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    lowered = [part.lower() for _, part in group]
-    whole = "\n" + "\n".join(lowered) + "\n"
+def _ngrams(group: list[tuple[int, str, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    sizes = np.array([len(part) for _, part, _ in group])
+    whole = "".join(part for _, part, _ in group)
     codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    owner = np.repeat(np.array([n for n, _, _ in group]), sizes)
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    own = place < np.repeat(np.array([o for _, _, o in group]), sizes)
     known = letters()[codes]
-    owner = np.repeat(np.array([n for n, _ in group]), [len(p) + 1 for p in lowered])
-    owner = np.concatenate([owner, owner[-1:]])
     codes = np.where(known, codes, 32).astype(np.uint64)
     for order in ORDERS:
         n = len(codes) - order + 1
         if n <= 0:
             continue
-        inner = np.ones(n, dtype=bool)
+        inner = own[:n].copy()
         value = np.full(n, order, dtype=np.uint64)
         for k in range(order):
             value = value * np.uint64(0x100000001B3) + codes[k : k + n]

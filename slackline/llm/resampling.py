@@ -79,8 +79,9 @@ def fit(df: DataFrame, target: str, text: str = "text", smoothing: float = 1.0,
     # Bad text in the raw model lifts all ordinary words alike; the typical word gets zero.
     order = np.argsort(ratio)
     ratio -= ratio[order][np.searchsorted(np.cumsum(raw[order]), raw.sum() / 2)]
-    # Chance differences, up to so many standard errors, say nothing about a text.
-    noise = errors * np.sqrt(1 / good + 1 / raw)
+    # Chance differences, up to so many standard errors of the count that the raw model
+    # expects, say nothing about a text.
+    noise = errors * np.sqrt(raw.sum() / (raw * good.sum()) + 1 / raw)
     return np.sign(ratio) * np.maximum(0.0, np.abs(ratio) - noise)
 
 

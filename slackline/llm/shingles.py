@@ -47,7 +47,7 @@ def shingles(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     value = np.zeros(len(words), dtype=np.uint64)
     for k, c in enumerate(constants(WIDTH, 5)):
         part = np.zeros(len(words), dtype=np.uint64)
-        part[: len(words) - k] = words[k:] * c
+        part[: max(0, len(words) - k)] = words[k:] * c
         value += np.where(left > k, part, np.uint64(0))
     first = np.arange(len(words)) - (ends - counts)[owner]
     own = (left >= WIDTH) | (first == 0)
