@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import sys
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -14,44 +17,98 @@ from pyspark.sql import functions as F
 from slackline.llm.common import numbered, row_key, stored
 
 CAPACITY = 2048
-CACHE = 250_000
-WORD_BYTES = 64
+CACHE = 800_000
+PART_BYTES = 64
+RUN_CHARS = 500_000
+CUT = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|\Z)")
 
 PIECES = "key binary, doc_id {id}, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
 class WordIds:
-    """Token ids of a text, as little-endian 32-bit bytes.
-
-    The tokenizer drops white space and never looks across it, so a text is cut at spaces
-    and line feeds and each part is looked up. The table only saves time: it is emptied when
-    it is full, and long parts are not kept.
+    """Token ids of texts, as little-endian 32-bit bytes.
+
+    The tokenizer drops white space, never looks across it, takes ASCII letters in lower case
+    and cuts between a letter and a full stop or comma. So a text is put in lower case as
+    far as it is ASCII, cut at those places, and each part is looked up. Unseen parts made
+    of letters are encoded together and told apart by the tokenizer's word numbers; any
+    other unseen part is encoded alone. The table only saves time: it is emptied when it is
+    full, long parts are not kept, and the tasks of a Python worker share it.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.table: dict[str, bytes] = {}
-
-    def of(self, text: str) -> bytes:
-        parts = text.replace("\n", " ").split(" ")
+        special = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [token.content.encode().lower() for token in special]
+        self.table: dict[bytes, bytes] = {}
+
+    @classmethod
+    def of_worker(cls, path: str) -> WordIds:
+        """The one of this process. Task code comes by value and has no module to keep it."""
+        held = sys.modules.setdefault("_slackline_worker", ModuleType("_slackline_worker")).__dict__
+        if held.get("path") != path:
+            held["words"], held["path"] = cls(path), path
+        return held["words"]
+
+    def cut(self, text: str) -> list[bytes]:
+        raw = text.encode()
+        low = raw.lower()
+        if any(token in low for token in self.special):
+            low = raw  # special tokens are known by their exact letters
+        return CUT.sub(rb" \1", low).replace(b"\n", b" ").split(b" ")
+
+    def encode(self, part: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def learn(self, parts: set[bytes]) -> list[bytes]:
+        """Put all ``parts`` into the table; returns the long ones."""
         table = self.table
-        new = [w for w in set(parts) if w not in table]
+        new = [part for part in parts if part not in table]
         if len(table) + len(new) > CACHE:
             table.clear()
-            new = list(set(parts))
-        for low in range(0, len(new), 4096):
-            some = new[low : low + 4096]
-            for word, code in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                table[word] = np.asarray(code.ids, dtype="<u4").tobytes()
-        ids = b"".join(map(table.__getitem__, parts))
-        for word in new:
-            if len(word) > WORD_BYTES:
-                del table[word]
+            new = list(parts)
+        together = []
+        for part in new:
+            if len(part) <= PART_BYTES and (part.isalpha() or part.decode().isalpha()):
+                together.append(part)
+            else:
+                table[part] = self.encode(part.decode())
+        for low in range(0, len(together), 512):
+            some = together[low : low + 512]
+            code = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
+            ids, numbers = np.asarray(code.ids, dtype="<u4"), np.asarray(code.word_ids)
+            ends = (np.flatnonzero(numbers[1:] != numbers[:-1]) * 4 + 4).tolist()
+            whole = ids.tobytes()
+            if len(ends) + 1 != len(some):  # the tokenizer sees other letters than Python does
+                table.update((part, self.encode(part.decode())) for part in some)
+            else:
+                table.update(zip(some, map(whole.__getitem__, map(slice, [0, *ends], [*ends, len(whole)])), strict=True))
+        return [part for part in new if len(part) > PART_BYTES]
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        cut = [self.cut(text) for text in texts]
+        long = self.learn(set().union(*cut))
+        look = self.table.__getitem__
+        ids = [b"".join(map(look, parts)) for parts in cut]
+        for part in long:
+            self.table.pop(part, None)
         return ids
 
 
+def runs(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """(first, end) of runs of texts with a bounded number of characters."""
+    low = size = 0
+    for at, text in enumerate(texts):
+        if at > low and size + len(text) > RUN_CHARS:
+            yield low, at
+            low, size = at, 0
+        size += len(text)
+    if low < len(texts):
+        yield low, len(texts)
+
+
 def cut_pieces(
     df: DataFrame,
     tokenizer: str,
@@ -71,7 +128,7 @@ def cut_pieces(
     tail = np.asarray([end], dtype="<u4").tobytes()
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordIds(tokenizer)
+        words = WordIds.of_worker(tokenizer)
         out: list[tuple] = []
         columns = ["key", "doc_id", "piece", "start", "length", "ids_crc32", "ids"]
 
@@ -81,17 +138,19 @@ def cut_pieces(
             return table
 
         for batch in batches:
-            for key, name, body in zip(batch["key"], batch["doc_id"], batch["text"], strict=True):
-                ids = (words.of(body) if body else b"") + tail
-                name = None if pd.isna(name) else name
-                for piece, low in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[low : low + 4 * capacity]
-                    out.append((
-                        bytes(key), name, piece, low // 4, len(part) // 4, zlib.crc32(part),
-                        part if with_ids else None,
-                    ))
-                if len(out) >= 4096:
-                    yield frame()
+            texts = [body or "" for body in batch["text"]]
+            for first, end in runs(texts):
+                some = batch.iloc[first:end]
+                for key, name, ids in zip(some["key"], some["doc_id"], words.of(texts[first:end]), strict=True):
+                    ids = ids + tail
+                    name = None if pd.isna(name) else name
+                    for piece, low in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[low : low + 4 * capacity]
+                        out.append((
+                            bytes(key), name, piece, low // 4, len(part) // 4, zlib.crc32(part),
+                            part if with_ids else None,
+                        ))
+                yield frame()
         yield frame()
 
     rows = df.select(
