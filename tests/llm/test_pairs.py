@@ -174,7 +174,7 @@ def encoded(text):
 def test_pieces_match_the_tokenizer(spark):
     df = edge.documents(spark)
     odd = [
-        (50, "a<|endoftext|>b <|startoftext|> c"), (51, "tab\tand wide space\x1cthere"),
+        (50, "a<|endoftext|>b <|startoftext|> C"), (54, "A<|EndOfText|>B., End. x.,\ny."), (51, "tab\tand wide space\x1cthere"),
         (52, "ΟΔΟΣ ΟΔΟΣ. é ́x it's we'll 12345"), (53, "\n\n  \n"),
     ]
     df = df.select("doc_id", "text").union(spark.createDataFrame(odd, "doc_id long, text string"))
