@@ -168,7 +168,8 @@ def resample(
         F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("_good")
     )
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    model = fit(rows.join(good, F.col("doc_id") == F.col("_id"), "left"), "_good")
+    # Labels grow with the documents, so this is a shuffle join at any size.
+    model = fit(rows.join(good.hint("merge"), F.col("doc_id") == F.col("_id"), "left"), "_good")
     if share is None:
         share = good.agg(F.avg(F.col("_good").cast("int"))).first()[0]
         share = 1.0 if share is None else float(share)
