@@ -12,13 +12,13 @@ from slackline.llm.common import row_key, stored
 
 THRESHOLD = 0.8
 HASHES = 48
-MOST_BITS = 26
+MOST_BITS = 24
 
 
 def tokens(text: Column) -> Column:
     """Lower-case runs of letters and digits; none for null."""
     split = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.filter(split, lambda w: w != "")
+    return F.array_remove(split, "")
 
 
 def shingle_at(words: Column, first: Column) -> Column:
@@ -38,22 +38,19 @@ class Filter:
     """A Bloom filter of 64-bit keys with two probes; false positives only cost time."""
 
     def __init__(self, words: np.ndarray) -> None:
-        self.words = words
-        self.mask = np.uint64(len(words) * 64 - 1)
+        self.table = np.unpackbits(words.view(np.uint8), bitorder="little").view(bool)
+        self.mask = np.uint64(len(self.table) - 1)
 
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        found = np.ones(len(keys), dtype=bool)
-        for shift in (3, 35):
-            at = (keys >> np.uint64(shift)) & self.mask
-            hit = (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
-            found &= hit.astype(bool)
-        return found
+    def hits(self, keys: np.ndarray) -> np.ndarray:
+        """Places of the keys that may be in the filter."""
+        found = np.flatnonzero(self.table[((keys >> np.uint64(3)) & self.mask).view(np.int64)])
+        return found[self.table[((keys[found] >> np.uint64(35)) & self.mask).view(np.int64)]]
 
 
 def bloom_words(keys: DataFrame, column: str, count: int) -> np.ndarray:
     """The 64-bit words of a filter with about 16 bits a key, 2^``MOST_BITS`` at most.
 
-    The words are put together by Spark; the driver gets at most 2^20 pairs of numbers.
+    The words are put together by Spark; the driver gets at most 2^18 pairs of numbers.
     """
     bits = 1 << min(MOST_BITS, max(16, (16 * max(1, count)).bit_length()))
     spots = F.array(
@@ -97,11 +94,11 @@ def window_minima(values: np.ndarray, starts: dict[int, tuple], levels: list[int
     """
     out, base = {}, values
     for level in levels:
-        index, second, third = starts[level]
+        index, last, last_two = starts[level]
         steps = np.minimum.reduceat(base, index)
         low = steps.copy()
-        low[second] = np.minimum(low[second], steps[second + 1])
-        low[third] = np.minimum(low[third], steps[third + 2])
+        low[:-1] = np.minimum(low[:-1], steps[1:] | last[:-1])
+        low[:-2] = np.minimum(low[:-2], steps[2:] | last_two[:-2])
         out[level] = low
         base = steps
     return out
@@ -109,7 +106,7 @@ def window_minima(values: np.ndarray, starts: dict[int, tuple], levels: list[int
 
 def step_starts(counts: np.ndarray, levels: list[int]) -> dict[int, tuple]:
     """For each level: where its steps begin among those of the level before (the first
-    among shingles), which have one next step in the same text, and which two."""
+    among shingles); all ones for a text's last step, and for its last two, else zero."""
     out, below, width = {}, counts, None
     for level in levels:
         size = 1 << (level if width is None else level - width)
@@ -118,7 +115,8 @@ def step_starts(counts: np.ndarray, levels: list[int]) -> dict[int, tuple]:
         first = np.repeat(begin, steps)
         place = np.arange(int(steps.sum())) - np.repeat(np.cumsum(steps) - steps, steps)
         left = np.repeat(steps, steps) - place
-        out[level] = (first + place * size, np.flatnonzero(left > 1), np.flatnonzero(left > 2))
+        marks = [np.where(left > n, np.uint64(0), sh.EMPTY) for n in (1, 2)]
+        out[level] = (first + place * size, *marks)
         below, width = steps, level
     return out
 
@@ -168,6 +166,7 @@ def find(
     def search(hashed: pd.Series) -> pd.DataFrame:
         keys_filter, hash_filter = (Filter(w) for w in shared.value)
         multipliers = sh.constants(HASHES, 21)
+        salts = {(level, k): salt(level, k) for level in levels for k in range(HASHES)}
         keys_out: list = [np.empty(0, dtype=np.int64)] * len(hashed)
         at_out: list = [np.empty(0, dtype=np.int32)] * len(hashed)
         sizes = hashed.map(len).to_numpy(np.int64)
@@ -185,8 +184,8 @@ def find(
                 hits: list[tuple[np.ndarray, np.ndarray]] = []
                 for k, c in enumerate(multipliers):
                     for level, minima in window_minima(found * c, starts, levels).items():
-                        key = minima ^ salt(level, k)
-                        hit = np.flatnonzero(keys_filter.has(key))
+                        key = minima ^ salts[level, k]
+                        hit = keys_filter.hits(key)
                         if len(hit):
                             hits.append((owners[level][hit], key[hit]))
                 if hits:
@@ -194,7 +193,7 @@ def find(
                     for row in np.unique(rows):
                         keys_out[low + row] = np.unique(keys[rows == row]).view(np.int64)
                         a, b = np.searchsorted(owner, [row, row + 1])
-                        at_out[low + row] = first[a:b][hash_filter.has(found[a:b])].astype(np.int32)
+                        at_out[low + row] = first[a:b][hash_filter.hits(found[a:b])].astype(np.int32)
             low = high
         return pd.DataFrame({"keys": keys_out, "at": at_out})
 
