@@ -74,8 +74,7 @@ NAME_LABELS = {
 ZERO_LABEL = "0"
 
 # Sheet names: standard before the region, or region before the standard.
-SHEET_STANDARD_FIRST = r"(HRM\d)[_ ]?KT_([A-Z]{2})"
-SHEET_REGION_FIRST = r"([A-Z]{2})[_ ](HRM\d)"
+SHEET_NAME = r"(HRM\d)[_ ]?KT_([A-Z]{2})|([A-Z]{2})[_ ](HRM\d)"
 
 # Defaults for columns that old files lack.
 DEFAULT_REF_ID = "HRM1"
@@ -136,5 +135,16 @@ SEARCH_SPACES = {
     ],
 }
 N_TRIALS = 100
-TIME_LIMIT_SECONDS = {"xgboost": 1200, "catboost": 1200, "hgb": 3600}
+# Names of the parameter files -> names used here.
+PARAMETER_NAMES = {
+    "n_estimators": "trees",
+    "iterations": "trees",
+    "max_iter": "trees",
+    "eta": "learning_rate",
+    "depth": "max_depth",
+    "colsample_bytree": "colsample",
+    "colsample_bylevel": "colsample",
+    "min_samples_leaf": "min_leaf",
+    "bootstrap_type": "bootstrap",
+}
 EARLY_STOPPING_ROUNDS = 100

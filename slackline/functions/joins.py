@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+PART_BYTES = 256 << 20
+MOST_SALTS = 10_000
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -25,15 +26,9 @@ def splits_skew(df: DataFrame) -> bool:
     return all(df.sparkSession.conf.get(s).lower() == "true" for s in switches)
 
 
-def spread_small(df: DataFrame, keys: list[str], limit: int = 1 << 30) -> DataFrame:
-    """Spread a small table over all cores.
-
-    A small file often is one row group, which one task reads however many cores there
-    are. Above ``limit`` the files already give enough tasks and nothing is shuffled.
-    """
-    if estimated_bytes(df) > limit:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+def salts_for(df: DataFrame, part_bytes: int = PART_BYTES) -> int:
+    """Parts a key needs if all of ``df`` had that key and a part held ``part_bytes``."""
+    return max(2, -(-estimated_bytes(df) // part_bytes))
 
 
 def lookup_join(
@@ -42,13 +37,14 @@ def lookup_join(
     on: list[str],
     how: str = "inner",
     spread_by: Column | None = None,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join ``fact`` to ``dim`` on ``on``; ``dim`` is broadcast only if it is small.
 
     Beyond the broadcast limit this is a shuffle join. A hot key is then split by
     adaptive execution; in a session without that, the rows of a key are spread over
-    ``salts`` partitions by a hash of ``spread_by`` and ``dim`` is repeated per salt.
+    ``salts`` partitions by a hash of ``spread_by`` and ``dim`` is repeated per salt. By
+    default there are as many as keep a key with every row within ``PART_BYTES`` a part.
     The salt is a hash of row values, so a recomputed task yields the same partitions.
     """
     if how not in ("inner", "left", "left_semi"):
@@ -57,6 +53,7 @@ def lookup_join(
         return fact.join(F.broadcast(dim), on, how)
     if splits_skew(fact) or spread_by is None:
         return fact.join(dim, on, how)
+    salts = min(MOST_SALTS, salts_for(fact)) if salts is None else salts
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

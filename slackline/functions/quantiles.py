@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slackline.functions.joins import fits_broadcast
-
 # The sketch places a quantile within 1 / ACCURACY of its rank. Every task sends one
 # sketch, so it is kept small; PARTS spreads the rows near a quantile over tasks.
 ACCURACY = 1000
@@ -21,9 +19,7 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row ``(series, n, quantiles)`` per named expression, nulls left out.
 
-    Quantiles interpolate linearly between the two neighbouring rows. A table within
-    the broadcast limit uses the built-in aggregate, which buffers all distinct values.
-    Anything larger takes two passes:
+    Quantiles interpolate linearly between the two neighbouring rows. Two passes:
 
     1. One aggregate sketches all series (merged map-side). Around every wanted
        quantile it gives a lower and an upper edge that are two error bounds away. These
@@ -37,8 +33,6 @@ def exact_quantiles(
     """
     if probabilities != sorted(probabilities):
         raise ValueError("probabilities must ascend")
-    if fits_broadcast(df):
-        return _small_quantiles(df, series, probabilities)
     step = 2.0 / accuracy
     cuts = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-step, step)]
     names = list(series)
@@ -150,18 +144,3 @@ def _ranks_in(ranks: Column, first: str, length: str) -> Column:
         ranks, lambda w: (w["rank"] >= start) & (w["rank"] < start + F.col(length))
     )
 
-
-def _small_quantiles(
-    df: DataFrame, series: dict[str, Column], probabilities: list[float]
-) -> DataFrame:
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-    per_series = [
-        F.struct(
-            F.lit(name).alias("series"),
-            F.count(expression).alias("n"),
-            F.percentile(expression.cast("double"), wanted).alias("quantiles"),
-        )
-        for name, expression in series.items()
-    ]
-    row = df.agg(F.array(*per_series).alias("s"))
-    return row.select(F.inline("s")).where("n > 0")

@@ -78,7 +78,13 @@ def upper_gamma(s: float, x: float) -> float:
 
 
 def t_tail(t: float, dof: float) -> float:
-    """Two-sided p-value of a t statistic."""
+    """Two-sided p-value of a t statistic.
+
+    From the smaller end where t is small: ``1 - dof / (dof + t * t)`` would lose its digits.
+    """
+    near = t * t / (dof + t * t)
+    if near < 0.5:
+        return 1.0 - incomplete_beta(0.5, dof / 2, near)
     return incomplete_beta(dof / 2, 0.5, dof / (dof + t * t))
 
 

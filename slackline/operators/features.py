@@ -10,10 +10,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slackline.fixed_values import BALANCE_ACCOUNTS, CATEGORIES
+from slackline.functions.joins import estimated_bytes
 from slackline.functions.numbers import is_zero, scalar
 from slackline.schema import SERIES, category_dim, require_columns
 from slackline.session import stored
 
+# Bytes of a stored table, by Catalyst's estimate, that one sorted chunk may hold.
+CHUNK_BYTES = 64 << 20
+
 LEAKS = ["realized", "budget", "budget_next", "slack"]
 
 
@@ -41,11 +45,12 @@ def add_lags(
     were not summed, where one series can be too long for a task, see ``add_lags_in_chunks``.
 
     ``by="row"`` takes the k-th row before, whatever its year; equal years are ordered
-    by ``tie_break``. ``by="year"`` takes the value of exactly ``year - k``.
+    by ``tie_break`` and then by every other column, so that only equal rows tie.
+    ``by="year"`` takes the value of exactly ``year - k``, of equal years the smallest.
     """
     require_columns(df, ["year", value])
     if by == "row":
-        order = Window.partitionBy(*SERIES).orderBy("year", *tie_break)
+        order = Window.partitionBy(*SERIES).orderBy("year", *_ties(df, tie_break))
         return df.select(
             "*", *[F.lag(value, k).over(order).alias(f"{value}_lag{k}") for k in ks]
         )
@@ -55,10 +60,16 @@ def add_lags(
     for k in ks:
         # In a window over the years themselves the frame holds year - k only.
         frame = order.rangeBetween(-k, -k)
-        df = df.withColumn(f"{value}_lag{k}", F.first(value).over(frame))
+        df = df.withColumn(f"{value}_lag{k}", F.min(value).over(frame))
     return df
 
 
+def _ties(df: DataFrame, tie_break: tuple[str, ...]) -> list[str]:
+    """Every column of ``df`` that can order rows of a series and year, ``tie_break`` first."""
+    rest = [c for c, kind in df.dtypes if c not in {*SERIES, "year", *tie_break} and "map<" not in kind]
+    return [*tie_break, *rest]
+
+
 def add_lags_in_chunks(
     df: DataFrame,
     ks: tuple[int, ...] = (1, 2),
@@ -69,14 +80,15 @@ def add_lags_in_chunks(
     """``add_lags`` by row for series of any length; ``df`` must be a stored table.
 
     Rows are sorted into ``chunks`` ranges of (series, year, ties) and stored; by default
-    there are as many as the session has shuffle partitions, so a long series spans many.
+    as many as keep a chunk near ``CHUNK_BYTES``, so a long series spans many.
     Within its chunk a row finds its lags itself, unless it is among the first ``max(ks)``
     of its series there. Those find them in a thin table of the first and last ``max(ks)``
     rows of every chunk, which holds all their predecessors.
     """
     require_columns(df, ["year", value])
     reach = max(ks)
-    chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks or max(least, -(-estimated_bytes(df) // CHUNK_BYTES))
     order = ["year", *tie_break, "_tie"]
     # Any order of rows that tie is valid; numbering them lets even equal rows be split.
     # A task that is run again reads the same file range and gives the same numbers.
@@ -91,9 +103,9 @@ def add_lags_in_chunks(
         "*",
         *[x.over(here).alias(n) for x, n in zip(lagged, names)],
         F.row_number().over(here).alias("_first"),
-        (F.count("*").over(part) - F.row_number().over(here) + 1).alias("_last"),
+        F.lead(F.lit(1), reach).over(here).isNull().alias("_last"),
     )
-    thin = rows.where((F.col("_first") <= reach) | (F.col("_last") <= reach)).drop(*names)
+    thin = rows.where((F.col("_first") <= reach) | F.col("_last")).drop(*names)
     series = Window.partitionBy(*SERIES).orderBy(*order)
     across = thin.select("*", *[x.over(series).alias(n) for x, n in zip(lagged, names)])
     whole = rows.where(F.col("_first") > reach).unionByName(across.where(F.col("_first") <= reach))

@@ -125,6 +125,21 @@ def prefer_standard(
     return lookup_join(df, chosen, keys, "left_semi", spread_by=F.col("acc_id")).select(*df.columns)
 
 
+def sum_collisions(df: DataFrame, keys: tuple[str, ...] = ("year", "region", "standard", "acc_id")) -> DataFrame:
+    """One row per key: amounts summed, of other columns the smallest value.
+
+    Old accounts that the crosswalk maps to the same new one collide, as do lines that a
+    sheet splits. A key present once keeps its row as it is. Slack is taken of the sums.
+    """
+    keys = [k for k in keys if k in df.columns]
+    amounts = [c for c in AMOUNTS if c in df.columns]
+    other = [c for c in df.columns if c not in {*keys, *amounts, "slack"}]
+    summed = df.groupBy(*keys).agg(
+        *[exact_sum(c).alias(c) for c in amounts], *[F.min(c).alias(c) for c in other]
+    )
+    return (with_slack(summed) if "slack" in df.columns else summed).select(*df.columns)
+
+
 def fill_defaults(df: DataFrame) -> DataFrame:
     """Defaults for the reference id and the name."""
     return df.fillna({"ref_id": DEFAULT_REF_ID, "name": DEFAULT_NAME})

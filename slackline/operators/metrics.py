@@ -72,13 +72,25 @@ def metrics_long(scores: DataFrame, keys: list[str]) -> DataFrame:
     return doubles.unpivot(keys, names, "metric", "value")
 
 
+def _once(keys: tuple[str, ...]) -> Column:
+    said = F.concat_ws(" ", F.lit("several predictions for one key:"), *[F.col(k).cast("string") for k in keys])
+    return F.when(F.col("_rows") == 1, F.lit(True)).otherwise(F.raise_error(said).cast("boolean"))
+
+
 def ensemble_mean(
     forecasts: list[DataFrame], keys: tuple[str, ...] = ("region", "acc_id", "year"),
     prediction: str = "prediction",
 ) -> DataFrame:
-    """Mean of several models' predictions, matched by key."""
+    """Mean of several models' predictions, matched by key.
+
+    A key that a model predicts twice raises: it would be multiplied, not averaged.
+    """
     named = [
-        f.select(*keys, F.col(prediction).alias(f"_p{i}")) for i, f in enumerate(forecasts)
+        f.groupBy(*keys)
+        .agg(F.count("*").alias("_rows"), F.first(prediction).alias(f"_p{i}"))
+        .where(_once(keys))
+        .drop("_rows")
+        for i, f in enumerate(forecasts)
     ]
     joined = reduce(lambda a, b: a.join(b, list(keys)), named)
     total = reduce(lambda a, b: a + b, [F.col(f"_p{i}") for i in range(len(named))])

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
-import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -13,13 +13,17 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slackline.fixed_values import EARLY_STOPPING_ROUNDS, SEARCH_SPACES, SEED
+from slackline.fixed_values import EARLY_STOPPING_ROUNDS, PARAMETER_NAMES, SEARCH_SPACES, SEED
 from slackline.operators.features import newest_year
-from slackline.schema import inline_table
+from slackline.session import stored
 
 LAGS = ["realized_lag1", "realized_lag2"]
-LEVEL_WIDTH = 10
+# Digits of the longest account number there can be.
+LEVEL_WIDTH = 19
+# Trees need a bin per level; fewer levels than this keep Spark's finer bins for the amounts.
+LEAST_BINS = 256
 KINDS = ("xgboost", "catboost", "hgb")
+BOOTSTRAPS = ("Bayesian", "MVS", "Bernoulli")
 
 
 def model_frame(df: DataFrame) -> DataFrame:
@@ -29,7 +33,9 @@ def model_frame(df: DataFrame) -> DataFrame:
     """
     filled = {f"{c}_filled": F.coalesce(c, F.lit(0.0)) for c in LAGS}
     missing = {f"{c}_missing": F.col(c).isNull().cast("double") for c in LAGS}
-    level = F.lpad(F.col("acc_id").cast("string"), LEVEL_WIDTH, "0")
+    number = F.col("acc_id").cast("string")
+    # Padded, never cut: a level longer than any number stays whole.
+    level = F.when(F.length(number) < LEVEL_WIDTH, F.lpad(number, LEVEL_WIDTH, "0")).otherwise(number)
     return df.withColumns({"acc_level": level} | filled | missing)
 
 
@@ -81,7 +87,7 @@ def feature_stages(kind: str) -> list:
     ]
 
 
-def regressor(params: dict, seed: int = SEED, max_bins: int = 256) -> GBTRegressor:
+def regressor(params: dict, seed: int = SEED, max_bins: int = LEAST_BINS) -> GBTRegressor:
     """Boosted trees on squared error; parameters without a Spark counterpart are ignored."""
     model = GBTRegressor(
         featuresCol="features",
@@ -103,8 +109,20 @@ def regressor(params: dict, seed: int = SEED, max_bins: int = 256) -> GBTRegress
 
 def fit_gbt(train: DataFrame, kind: str, params: dict, seed: int = SEED) -> PipelineModel:
     """Fit the features and the trees of one parameter set."""
-    stages = [*feature_stages(kind), regressor(params, seed)]
-    return Pipeline(stages=stages).fit(model_frame(train))
+    prepared = fit_features(train, kind)
+    return fit_trees(prepared, prepared.transform(model_frame(train)), params, seed)
+
+
+def fit_features(train: DataFrame, kind: str) -> PipelineModel:
+    """The indexers and the assembled vector, which all parameter sets share."""
+    return Pipeline(stages=feature_stages(kind)).fit(model_frame(train))
+
+
+def fit_trees(prepared: PipelineModel, vectors: DataFrame, params: dict, seed: int = SEED) -> PipelineModel:
+    """The trees of one parameter set on assembled vectors; a bin for every level."""
+    levels = max(len(labels) for labels in prepared.stages[0].labelsArray) + 1
+    model = regressor(params, seed, max(LEAST_BINS, levels)).fit(vectors.select("features", "realized"))
+    return PipelineModel([*prepared.stages, model])
 
 
 def round_errors(model: PipelineModel, df: DataFrame) -> list[float]:
@@ -174,6 +192,11 @@ def draw_trials(kind: str, n: int, seed: int = SEED) -> list[dict]:
     for _ in range(n):
         params = {}
         for name, how, low, high in SEARCH_SPACES[kind]:
+            if name == "subsample" and kind == "catboost":
+                # Only one of the bootstrap kinds draws a share of the rows.
+                params["bootstrap"] = source.choice(BOOTSTRAPS)
+                if params["bootstrap"] != BOOTSTRAPS[-1]:
+                    continue
             if how == "int":
                 params[name] = source.randint(low, high)
             elif how == "log":
@@ -191,37 +214,59 @@ def search(
     trials: list[dict],
     seed: int = SEED,
     parallelism: int = 4,
-    time_limit: float | None = None,
     patience: int = EARLY_STOPPING_ROUNDS,
 ) -> DataFrame:
     """(trial, parameters..., rounds, mse) of every trial, scored on the validation rows.
 
-    ``mse`` is that of the best round before early stopping, ``rounds`` its number. Fits
-    run side by side as Spark jobs; the driver only keeps a few numbers per trial. Trials
-    that have not started within ``time_limit`` seconds are left out.
+    ``mse`` is that of the best round before early stopping, ``rounds`` its number. A
+    parameter that a trial does not have is NULL. The features are prepared once; the fits
+    run side by side as Spark jobs and the driver only keeps a few numbers per trial.
     """
-    started = time.monotonic()
+    prepared = fit_features(train, kind)
+    vectors = stored(prepared.transform(model_frame(train)).select("features", "realized"))
+    names = [p[0] for p in SEARCH_SPACES[kind]]
 
     def run(numbered: tuple[int, dict]):
         number, params = numbered
-        if time_limit is not None and time.monotonic() - started > time_limit:
-            return None
-        errors = round_errors(fit_gbt(train, kind, params, seed), validation)
+        errors = round_errors(fit_trees(prepared, vectors, params, seed), validation)
         best = best_round(errors, patience)
-        return (number, *[float(params[p[0]]) for p in SEARCH_SPACES[kind]], best + 1, errors[best])
+        values = [None if params.get(p) is None else float(params[p]) for p in names]
+        return (number, *values, best + 1, errors[best])
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        done = [r for r in pool.map(run, enumerate(trials)) if r is not None]
-    columns = ["trial", *[p[0] for p in SEARCH_SPACES[kind]], "rounds", "mse"]
-    return inline_table(train.sparkSession, done, columns)
+        done = list(pool.map(run, enumerate(trials)))
+    numbers = ", ".join(f"{p} double" for p in names)
+    return train.sparkSession.createDataFrame(done, f"trial int, {numbers}, rounds int, mse double")
 
 
 def best_trial(trials: DataFrame) -> dict:
-    """Parameters of the trial with the smallest error; the earlier trial wins a tie."""
+    """Parameters of the trial with the smallest error; the earlier trial wins a tie.
+
+    ``trees`` is the round that had that error, so that the refitted model is the one that
+    was judged. Parameters the trial did not have are left out.
+    """
     row = trials.agg(
         F.min_by(F.struct(*trials.columns), F.struct("mse", "trial")).alias("best")
     ).first()["best"]
-    return {k: v for k, v in row.asDict().items() if k not in ("trial", "rounds", "mse")}
+    if row is None:
+        raise ValueError("no trials")
+    given = row.asDict()
+    params = {k: v for k, v in given.items() if k not in ("trial", "rounds", "mse") and v is not None}
+    return params | {"trees": given.get("rounds", given.get("trees"))}
+
+
+def write_params(params: dict, path: str) -> None:
+    """One parameter set as a JSON object, whole numbers without a fraction."""
+    plain = {k: int(v) if isinstance(v, float) and v.is_integer() else v for k, v in params.items()}
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(plain, file, indent=2, sort_keys=True)
+
+
+def read_params(path: str) -> dict:
+    """A JSON parameter file; the names of other libraries become the names used here."""
+    with open(path, encoding="utf-8") as file:
+        given = json.load(file)
+    return {PARAMETER_NAMES.get(k, k): v for k, v in given.items()}
 
 
 def tune_and_fit(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slackline.fixed_values import (
@@ -196,9 +196,11 @@ def shares_on_labels(df: DataFrame, group: Column, labels: list[str]) -> DataFra
     counts = df.select(group.alias("label")).where("label IS NOT NULL").groupBy("label").agg(
         F.count("*").alias("n")
     )
-    placed = _on_labels(counts, "label", labels, ["n"])
-    total = scalar(counts, F.sum("n"))
-    return placed.withColumn("pct", F.coalesce(percent_of(F.col("n"), total), F.lit(0.0)))
+    # The total stands beside the few counted labels, so the rows are read once.
+    counts = counts.withColumn("_total", F.sum("n").over(Window.partitionBy(F.lit(0))))
+    placed = _on_labels(counts, "label", labels, ["n", "_total"])
+    total = F.max("_total").over(Window.partitionBy(F.lit(0)))
+    return placed.withColumn("pct", F.coalesce(percent_of(F.col("n"), total), F.lit(0.0))).drop("_total")
 
 
 def sex_shares(df: DataFrame, column: str = "sex") -> DataFrame:

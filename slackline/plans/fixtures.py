@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slackline.fixed_values import ARM_AI, ARM_NO_AI, CONSENT, SENTIMENTS
-from slackline.functions.joins import lookup_join, spread_small
+from slackline.functions.joins import lookup_join
 from slackline.schema import inline_table
 from slackline.sources.text import split_lines
 
@@ -202,7 +202,7 @@ def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slackline.fixed_values import N_TRIALS, SEED, TIME_LIMIT_SECONDS
+from slackline.fixed_values import N_TRIALS, SEED
 from slackline.operators import features, ledger, metrics, models, text
 from slackline.session import stored
 from slackline.sources import csvs, sheets
@@ -23,7 +23,7 @@ def build_panels(
     rows = stored(ledger.clean_rows(sheets.sheet_rows(located, separator)))
     chosen = ledger.prefer_standard(rows, mode)
     for level, name in ((1, "single_digit"), (2, "double_digit")):
-        panel = ledger.finalize(chosen.where(F.col("level") == level))
+        panel = ledger.finalize(ledger.sum_collisions(chosen.where(F.col("level") == level)))
         csvs.write_panel(panel, f"{out_dir}/{name}")
     sheets.rejected(located).write.mode("overwrite").parquet(f"{out_dir}/rejects")
 
@@ -63,7 +63,7 @@ def train(
         known, judged, _ = models.validation_split(frame)
     table = models.search(
         known, judged, kind, models.draw_trials(kind, n_trials, seed), seed=seed,
-        parallelism=parallelism, time_limit=TIME_LIMIT_SECONDS[kind],
+        parallelism=parallelism,
     )
     csvs.write_trials(table, trials_path)
     best = models.best_trial(csvs.read_trials(spark, trials_path))
@@ -97,26 +97,46 @@ def evaluate_model(
 
 
 def evaluate_all_slices(
-    spark: SparkSession, panel_path: str, model_path: str, category: str | None = "Alle"
+    spark: SparkSession, panel_path: str, model_path: str, category: str | None = "Alle",
+    out_dir: str | None = None, kind: str = "model",
 ) -> DataFrame:
-    """Errors for all rows, every account, every region and every pair from one scoring."""
+    """Errors for all rows, every account, every region and every pair from one scoring.
+
+    With ``out_dir`` they are also written, as (forecast, region, acc_id, metric, value).
+    """
     frame = _frame(spark, panel_path, category)
     _, test = features.holdout(frame)
     scored = models.score(models.load_model(model_path), test)
-    return metrics.compare_slices(scored, "realized", ["prediction", "budget"])
+    errors = metrics.compare_slices(scored, "realized", ["prediction", "budget"])
+    if out_dir is None:
+        return errors
+    errors = stored(errors)
+    table = metrics.metrics_long(errors, ["forecast", "region", "acc_id"])
+    csvs.write_metrics(table, f"{out_dir}/slice_metrics", kind, category)
+    return errors
 
 
 def evaluate_ensemble(
-    spark: SparkSession, panel_path: str, model_paths: list[str], category: str | None = "Alle"
+    spark: SparkSession, panel_path: str, model_paths: list[str], category: str | None = "Alle",
+    out_dir: str | None = None,
 ) -> DataFrame:
-    """Errors of the mean of several models next to the official budget."""
+    """Errors of the mean of several models next to the official budget.
+
+    With ``out_dir`` predictions and errors are also written, as for a single model.
+    """
     frame = _frame(spark, panel_path, category)
     _, test = features.holdout(frame)
     scored = [models.score(models.load_model(p), test) for p in model_paths]
     keys = ["region", "acc_id", "year"]
     mean = metrics.ensemble_mean(scored, tuple(keys))
     both = mean.join(test.select(*keys, "realized", "budget"), keys)
-    return metrics.compare(both, "realized", ["prediction", "budget"])
+    if out_dir is None:
+        return metrics.compare(both, "realized", ["prediction", "budget"])
+    both = stored(both)
+    errors = stored(metrics.compare(both, "realized", ["prediction", "budget"]))
+    csvs.write_predictions(both, f"{out_dir}/predictions", "ensemble", category)
+    csvs.write_metrics(metrics.metrics_long(errors, ["forecast"]), f"{out_dir}/metrics", "ensemble", category)
+    return errors
 
 
 def score_answers(
@@ -126,4 +146,5 @@ def score_answers(
     lines = read_lines(spark, path, header).withColumn("line", F.monotonically_increasing_id())
     score = text.polarity if polar else text.lexicon_counts
     scored = score(lines, ["path", "line"], "text", lexicon)
-    csvs.write_result(scored.drop("path", "line").withColumnRenamed("label", "Text"), out)
+    in_order = scored.orderBy("path", "line").drop("path", "line")
+    csvs.write_result(in_order.withColumnRenamed("label", "Text"), out)

@@ -70,7 +70,7 @@ FROM survey WHERE manip_check = 'ok'"""
 REDUCED = f"""
 SELECT pid, arm, initial, final, final - {FORECAST} AS slack, initial - final AS reduction,
   0 - abs(initial - final) AS negative, (initial - final) / NULLIF(initial, 0) AS relative_reduction
-FROM (SELECT *, COALESCE(resub, initial) AS final FROM survey)
+FROM answered
 WHERE final - {FORECAST} >= 0 AND initial - final >= 0"""
 
 PEOPLE = """
@@ -151,7 +151,7 @@ NEEDS = {
     "panel_full": ["panel"], "aufwand": ["panel"], "aufwand_full": ["panel_full"],
     "alle_full": ["panel_full"], "ertrag": ["panel"], "tested": ["aufwand"],
     "forecasts": ["tested"], "diffs": ["ertrag"], "clipped": ["diffs"], "legacy": ["panel"],
-    "survey": ["numbered"], "answered": ["survey"], "reduced": ["survey"],
+    "survey": ["numbered"], "answered": ["survey"], "reduced": ["answered"],
     "participants": ["people", "answered"],
 }
 
@@ -180,7 +180,7 @@ def sql(select: str, *views: str, **extra: str) -> str:
 EPS = "CAST(2.220446049250313e-16 AS DOUBLE)"
 
 
-def _errors(y: str, f: str, mape: bool = True) -> str:
+def _errors(y: str, f: str) -> str:
     e = f"abs({y} - {f})"
     columns = [
         f"COUNT({e}) AS n",
@@ -188,11 +188,8 @@ def _errors(y: str, f: str, mape: bool = True) -> str:
         f"round(AVG({e} * {e}), -2) AS mse",
         f"round(sqrt(AVG({e} * {e})), 6) AS rmse",
     ]
-    if mape:
-        share = f"AVG({e} / greatest(abs({y}), {EPS}))"
-        columns.append(
-            f"CASE WHEN {share} > 1e9 THEN round({share}, -10) ELSE round({share}, 6) END AS mape"
-        )
+    share = f"AVG({e} / greatest(abs({y}), {EPS}))"
+    columns.append(f"CASE WHEN {share} > 1e9 THEN round({share}, -10) ELSE round({share}, 6) END AS mape")
     columns.append(f"round(AVG(CASE WHEN {y} <> 0 THEN {e} / abs({y}) END), 6) AS mape_nonzero")
     return ", ".join(columns)
 
@@ -429,20 +426,20 @@ WINDOW w AS (PARTITION BY region, acc_id ORDER BY year, l_orderkey, l_linenumber
         "tested",
     ),
     "eval_by_slice": sql(
-        f"""SELECT forecast, region, acc_id, {_errors('y', 'f', mape=False)} FROM forecasts
+        f"""SELECT forecast, region, acc_id, {_errors('y', 'f')} FROM forecasts
 GROUP BY GROUPING SETS ((forecast), (forecast, acc_id), (forecast, region), (forecast, region, acc_id))""",
         "forecasts",
     ),
     "eval_by_region_own_year": sql(
-        f"""SELECT region, {_errors('realized', 'budget', mape=False)} FROM aufwand a
+        f"""SELECT region, {_errors('realized', 'budget')} FROM aufwand a
 WHERE year = (SELECT MAX(year) FROM aufwand b WHERE b.region = a.region) GROUP BY region""",
         "aufwand",
     ),
     "metrics_table": sql(
         f"""SELECT forecast, metric, value FROM (
-  SELECT forecast, CAST(n AS DOUBLE) AS n, mae, mse, rmse, mape_nonzero
+  SELECT forecast, CAST(n AS DOUBLE) AS n, mae, mse, rmse, mape, mape_nonzero
   FROM (SELECT forecast, {_errors('y', 'f')} FROM forecasts GROUP BY forecast))
-UNPIVOT (value FOR metric IN (n, mae, mse, rmse, mape_nonzero))""",
+UNPIVOT (value FOR metric IN (n, mae, mse, rmse, mape, mape_nonzero))""",
         "forecasts",
     ),
     "crosswalk_split": sql(
@@ -473,10 +470,7 @@ FROM panel_std GROUP BY year, region, standard""",
   FROM (SELECT year, region, standard, SUM(realized) <> 0 OR SUM(budget) <> 0 AS filled
     FROM started GROUP BY year, region, standard) GROUP BY year, region) USING (year, region, standard)""",
         "panel_std",
-        started="""SELECT region, CAST(acc_id AS VARCHAR) AS acc_id, year, standard,
-  CASE WHEN blank THEN 0 ELSE budget END AS budget, CASE WHEN blank THEN 0 ELSE realized END AS realized
-FROM (SELECT *, standard = 'HRM2' AND year = 1998 AND CAST(regexp_extract(region, '\\d+') AS INT) % 2 = 1 AS blank
-  FROM panel_std) WHERE standard = 'HRM1' OR year >= 1998""",
+        started="SELECT region, CAST(acc_id AS VARCHAR) AS acc_id, year, standard, budget, realized FROM panel_std",
     ),
     "numeric_clean_slack": sql(
         """SELECT region, year, acc_id, COALESCE(b, 0) AS budget, COALESCE(r, 0) AS realized, COALESCE(x, 0) AS budget_next,
@@ -672,6 +666,38 @@ FROM (SELECT COALESCE(AVG(x.polarity), 0) AS p, COALESCE(AVG(x.subjectivity), 0)
   FROM documents WHERE text IS NOT NULL)
 WHERE length(word) > 0 GROUP BY word ORDER BY n DESC, word LIMIT 50""",
     "scaled_features": sql(f"SELECT region, acc_id, year, {_scaled(1)}, {_scaled(2)} FROM aufwand", "aufwand"),
+    "model_split": sql(
+        """SELECT region, acc_id, year, CASE WHEN year = newest THEN 'test' WHEN year = newest - 1 THEN 'validation'
+    ELSE 'train' END AS part FROM aufwand, (SELECT MAX(year) AS newest FROM aufwand)""",
+        "aufwand",
+    ),
+    "onehot_vectors": sql(
+        """SELECT region, acc_id, year,
+    CAST((SELECT COUNT(DISTINCT region) FROM alle_full) AS INT) AS region_hot_size,
+    CAST((SELECT COUNT(DISTINCT acc_id) FROM alle_full) AS INT) AS acc_hot_size,
+    CAST(dense_rank() OVER (ORDER BY region) AS INT) AS region_hot_place,
+    CAST(dense_rank() OVER (ORDER BY acc_id) AS INT) AS acc_hot_place,
+    1.0::DOUBLE AS region_hot_sum, 1.0::DOUBLE AS acc_hot_sum FROM alle_full""",
+        "alle_full",
+    ),
+    "mean_of_forecasts": sql(
+        f"""SELECT forecast, {_errors('y', 'f')} FROM (
+    SELECT 'prediction' AS forecast, realized AS y, (realized_lag1 + realized_lag2) / 2 AS f FROM known
+    UNION ALL SELECT 'budget', realized, budget FROM known) GROUP BY forecast""",
+        "tested",
+        known="SELECT * FROM tested WHERE realized_lag1 IS NOT NULL AND realized_lag2 IS NOT NULL",
+    ),
+    "best_of_trials": sql(
+        """SELECT CAST(regexp_extract(region, '\\d+') AS INT) AS trial, CAST(COUNT(*) AS INT) AS rounds,
+    round(AVG(abs(realized - realized_lag1) * abs(realized - realized_lag1)), -2) AS mse
+    FROM tested WHERE realized_lag1 IS NOT NULL GROUP BY region ORDER BY mse, trial LIMIT 1""",
+        "tested",
+    ),
+    "lag_ties": sql(
+        """SELECT *, LAG(realized, 1) OVER w AS realized_lag1, LAG(realized, 2) OVER w AS realized_lag2
+    FROM panel_std WINDOW w AS (PARTITION BY region, acc_id ORDER BY year, standard)""",
+        "panel_std",
+    ),
     "onehot_features": sql(
         """SELECT region, acc_id, year,
   CAST(dense_rank() OVER (ORDER BY region) - 1 AS INT) AS region_index,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +15,6 @@ from slackline.fixed_values import (
     EXPERIENCE_LABELS,
     PERSONNEL_ACCOUNT,
     SENTIMENTS,
-    TIME_LIMIT_SECONDS,
 )
 from slackline.functions.numbers import to_number
 from slackline.operators import explore, features, ledger, metrics, models, stats, text
@@ -144,7 +144,7 @@ def budget_eval_rounded(spark, sf):
 @query
 def eval_by_slice(spark, sf):
     scores = metrics.compare_slices(tested_rows(spark, sf), "realized", ["budget", "lag1"])
-    return rounded_errors(scores.drop("mape"))
+    return rounded_errors(scores)
 
 
 @query
@@ -154,13 +154,13 @@ def eval_by_region_own_year(spark, sf):
     newest = frame.groupBy("region").agg(F.max("year").alias("year"))
     rows = frame.join(newest, ["region", "year"], "left_semi")
     scores = metrics.evaluate(rows, "realized", "budget", by=("region",))
-    return rounded_errors(scores.drop("mape"))
+    return rounded_errors(scores)
 
 
 @query
 def metrics_table(spark, sf):
     scores = metrics.compare(tested_rows(spark, sf), "realized", ["budget", "lag1"])
-    return metrics.metrics_long(rounded_errors(scores.drop("mape")), ["forecast"])
+    return metrics.metrics_long(rounded_errors(scores), ["forecast"])
 
 
 # --- ledger -----------------------------------------------------------------------------
@@ -187,15 +187,7 @@ def standard_preference(spark, sf):
     rows = stored(fx.panel_by_standard(spark, sf)).withColumn(
         "acc_id", F.col("acc_id").cast("string")
     )
-    # A new standard that starts in 1998 and is still empty in odd regions that year.
-    even = F.regexp_extract("region", r"\d+", 0).cast("int") % 2 == 0
-    new = F.col("standard") == "HRM2"
-    emptied = {
-        c: F.when(new & (F.col("year") == 1998) & ~even, 0.0).otherwise(F.col(c))
-        for c in ("budget", "realized")
-    }
-    started = rows.where(~new | (F.col("year") >= 1998)).withColumns(emptied)
-    return ledger.prefer_standard(started)
+    return ledger.prefer_standard(rows)
 
 
 @query
@@ -344,7 +336,8 @@ def answered(spark, sf) -> DataFrame:
 
 
 def reduced(spark, sf, relative=False) -> DataFrame:
-    rows = fx.survey(spark, sf).withColumn("final", sv.final_answer(["resub"], "initial"))
+    """Slack reduction of the completed answers that passed the check."""
+    rows = answered(spark, sf).drop("again")
     return sv.slack_reduction(rows, "initial", "final", relative=relative)
 
 
@@ -596,7 +589,66 @@ def onehot_features(spark, sf):
     )
 
 
-FORECAST_PARAMS = {"trees": 8, "max_depth": 4, "learning_rate": 0.3}
+# The smallest number of trees and the smallest depth of the search space.
+FORECAST_PARAMS = {"trees": 100, "max_depth": 3, "learning_rate": 0.1}
+
+
+# How many parameter sets the query tries; each is drawn from the whole space and fitted in full.
+SEARCH_TRIALS = 2
+
+
+@query
+def model_split(spark, sf):
+    """Which rows train, validate and test a model."""
+    frame = stored(features.engineer(panel(spark, sf), "Aufwand"))
+    parts = zip(("train", "validation", "test"), models.validation_split(frame), strict=True)
+    named = [rows.select("region", "acc_id", "year", F.lit(name).alias("part")) for name, rows in parts]
+    return ledger.union_by_name(named)
+
+
+@query
+def onehot_vectors(spark, sf):
+    """The set positions of the one-hot vectors of region and account."""
+    frame = models.model_frame(features.engineer(panel(spark, sf), "Alle"))
+    indexed = models.level_indexer().fit(frame).transform(frame)
+    hot = models.one_hot().fit(indexed).transform(indexed)
+    dense = {c: vector_to_array(F.col(c)) for c in ("region_hot", "acc_hot")}
+    place = lambda v: F.array_position(v, F.lit(1.0)).cast("int")
+    return hot.select(
+        "region", "acc_id", "year",
+        *[F.size(v).alias(f"{c}_size") for c, v in dense.items()],
+        *[place(v).alias(f"{c}_place") for c, v in dense.items()],
+        *[F.aggregate(v, F.lit(0.0), lambda a, x: a + x).alias(f"{c}_sum") for c, v in dense.items()],
+    )
+
+
+@query
+def mean_of_forecasts(spark, sf):
+    """Errors of the mean of two given forecasts next to the official budget."""
+    rows = tested_rows(spark, sf).where("lag1 IS NOT NULL AND realized_lag2 IS NOT NULL")
+    given = [rows.withColumn("prediction", F.col(c)) for c in ("lag1", "realized_lag2")]
+    mean = metrics.ensemble_mean(given)
+    both = mean.join(rows.select("region", "acc_id", "year", "realized", "budget"), ["region", "acc_id", "year"])
+    return rounded_errors(metrics.compare(both, "realized", ["prediction", "budget"]))
+
+
+@query
+def best_of_trials(spark, sf):
+    """The best of a table of trials: per region a trial, its error that of last year's value."""
+    rows = tested_rows(spark, sf).where("lag1 IS NOT NULL")
+    trials = metrics.evaluate(rows, "realized", "lag1", by=("region",)).select(
+        F.regexp_extract("region", r"\d+", 0).cast("int").alias("trial"), F.col("n").cast("int").alias("rounds"),
+        F.round("mse", -2).alias("mse"),
+    )
+    best = F.min_by(F.struct("trial", "rounds", "mse"), F.struct("mse", "trial")).alias("best")
+    return trials.agg(best).select("best.trial", "best.rounds", "best.mse")
+
+
+@query
+def lag_ties(spark, sf):
+    """Lags of rows that share region, account and year: the order of ties is fixed."""
+    rows = fx.panel_by_standard(spark, sf)
+    return features.add_lags(rows, tie_break=("standard",))
 
 
 def split_panel(spark, sf, category="Aufwand"):
@@ -615,8 +667,8 @@ def gbt_forecast(spark, sf):
 @query
 def random_search(spark, sf):
     train, validation, _ = split_panel(spark, sf)
-    trials = [t | {"trees": 4, "max_depth": min(t["max_depth"], 4)} for t in models.draw_trials("hgb", 3)]
-    return models.search(train, validation, "hgb", trials, time_limit=TIME_LIMIT_SECONDS["hgb"])
+    trials = models.draw_trials("hgb", SEARCH_TRIALS)
+    return models.search(train, validation, "hgb", trials)
 
 
 @query

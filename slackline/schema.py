@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slackline.fixed_values import CATEGORIES, CROSSWALK
@@ -83,11 +84,14 @@ def sql_literal(value) -> str:
         return f"CAST('{value!r}' AS DOUBLE)"
     if isinstance(value, int):
         return str(value)
-    return "'" + str(value).replace("'", "''") + "'"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def inline_table(spark: SparkSession, rows: list[tuple], columns: list[str]) -> DataFrame:
-    """A table of constants that Catalyst sees with its true size."""
+    """A table of constants that Catalyst sees with its true size. Without rows its columns
+    have no type."""
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).alias(c) for c in columns])
     values = ", ".join("(" + ", ".join(sql_literal(v) for v in row) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
 

@@ -50,12 +50,32 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_cleared: set[str] = set()
+
+
+def _own_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder. It is removed when Python ends."""
+    context = spark.sparkContext
+    folder = f"{shared_folder(spark)}/stored-{context.applicationId}"
+    if folder not in _cleared:
+        _cleared.add(folder)
+        atexit.register(_remove, context, folder)
+    return folder
+
+
+def _remove(context, folder: str) -> None:
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     For a frame that is used more than once: it is computed once, a lost executor costs a
-    read, and Catalyst knows its true size.
+    read, and Catalyst knows its true size. What an application stores goes when it ends.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{_own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,6 +11,44 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def split_records(text: Column) -> Column:
+    """Lines of a whole text; a line break inside double quotes does not end a line.
+
+    Lines with an odd number of quotes take turns opening and closing a quoted part. The
+    lines from an opening one to the closing one are one record, joined by a line feed. A
+    quote that nothing closes leaves the lines after it as they are.
+    """
+    lines = F.split(text, "\r\n|\n|\r")
+
+    def odd(line: Column) -> Column:
+        return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+
+    def joined(cut: Column) -> Column:
+        odds = F.filter(F.sequence(F.lit(0), F.size(cut) - 1), lambda i: odd(F.get(cut, i)))
+        pairs = F.floor(F.size(odds) / 2).cast("int")
+        # From each opening line to its closing one; other lines stand alone.
+        spans = F.transform(
+            F.sequence(F.lit(0), pairs - 1),
+            lambda k: F.struct(F.get(odds, 2 * k).alias("a"), F.get(odds, 2 * k + 1).alias("b")),
+        )
+        none = F.array().cast("array<struct<a:int,b:int>>")
+
+        def records(found: Column) -> Column:
+            def record(i: Column) -> Column:
+                own = F.get(F.filter(found, lambda s: s["a"] == i), F.lit(0))
+                inner = F.exists(found, lambda s: (s["a"] < i) & (i <= s["b"]))
+                whole = F.array_join(F.slice(cut, i + 1, own["b"] - own["a"] + 1), "\n")
+                return F.when(inner, F.lit(None).cast("string")).otherwise(
+                    F.when(own.isNotNull(), whole).otherwise(F.get(cut, i))
+                )
+
+            return F.array_compact(F.transform(F.sequence(F.lit(0), F.size(cut) - 1), record))
+
+        return bind(F.when(pairs > 0, spans).otherwise(none), lambda s: F.when(F.size(s) == 0, cut).otherwise(records(s)))
+
+    return bind(lines, joined)
+
+
 def split_cells(line: Column, separator: str = ",") -> Column:
     """Cells of one line; a separator inside double quotes does not split."""
     mark = {"\t": r"\t", "|": r"\|"}.get(separator, separator)
@@ -18,6 +56,6 @@ def split_cells(line: Column, separator: str = ",") -> Column:
     return F.transform(
         raw,
         lambda c: F.replace(
-            F.regexp_replace(F.trim(c), '^"(.*)"$', "$1"), F.lit('""'), F.lit('"')
+            F.regexp_replace(F.trim(c), '(?s)^"(.*)"$', "$1"), F.lit('""'), F.lit('"')
         ),
     )

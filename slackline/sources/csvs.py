@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slackline.functions.joins import lookup_join
 from slackline.functions.numbers import to_number
+from slackline.operators import ledger
 from slackline.schema import (
     FINAL_COLUMNS,
     LEXICON_RESULT_SCHEMA,
@@ -16,7 +16,7 @@ from slackline.schema import (
     POLARITY_RESULT_SCHEMA,
 )
 from slackline.session import stored
-from slackline.sources.cells import bind
+from slackline.sources.cells import split_cells
 
 HEADER_NAMES = {name: header for header, name in PANEL_HEADERS.items()}
 
@@ -30,27 +30,21 @@ def list_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     return files.select("path", "length").withColumn("usable", F.col("path").rlike(f"{glob}$"))
 
 
-def _file_lines(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
-    lines = spark.read.text(directory, pathGlobFilter=pattern)
-    return lines.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
-        "value",
-    )
-
-
 def file_headers(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     """(path, header, reason) of every matching file; ``reason`` is NULL for a usable one.
 
-    One text scan, the same cost as letting Spark infer the types.
+    ``header`` holds the labels of the first row, quotes taken off. A file is usable if it
+    has a known label; columns with other labels are ignored, as by name they match nothing.
     """
-    lines = _file_lines(spark, directory, pattern).withColumn(
-        "position", F.monotonically_increasing_id()
-    )
-    first = lines.where("start = 0").groupBy("path").agg(F.min_by("value", "position").alias("header"))
-    known = F.forall(F.split("header", ","), lambda c: F.trim(c).isin(list(PANEL_HEADERS)))
-    reason = F.when(F.trim("header") == "", "empty file").when(~known, "unknown columns")
-    return first.withColumn("reason", reason)
+    rows = spark.read.text(directory, pathGlobFilter=pattern).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        "value", F.monotonically_increasing_id().alias("position"),
+    )
+    first = rows.where("start = 0").groupBy("path").agg(F.min_by("value", "position").alias("line"))
+    labels = F.transform(split_cells(F.regexp_replace("line", "^\ufeff", "")), lambda c: F.trim(c))
+    known = F.exists("header", lambda c: c.isin(list(PANEL_HEADERS)))
+    reason = F.when(F.trim("line") == "", "empty file").when(~known, "unknown columns")
+    return first.select("path", "line", labels.alias("header")).select("path", "header", reason.alias("reason"))
 
 
 def read_union_by_name(
@@ -58,34 +52,42 @@ def read_union_by_name(
 ) -> tuple[DataFrame, DataFrame]:
     """(panel, rejects): all files of one name pattern, matched by column name.
 
-    Spark would match columns of differing headers by position. Here every line is cut
-    into cells, and each column is looked up in the header of the line's own file; a
-    column that the file lacks is NULL. No file name or row passes through the driver.
+    Spark matches the columns of files with differing headers by position, so every distinct
+    header is read on its own, with line breaks inside quotes and only row 1 taken as
+    header, and the reads are united by name. A column a file lacks is NULL. The driver sees
+    the distinct headers, of which there are as many as the exports had layouts; file names
+    only reach it as paths to read, as in any listing.
     """
     headers = stored(file_headers(spark, directory, pattern))
-    usable = headers.where("reason IS NULL").select("path", "header")
-    lines = lookup_join(
-        _file_lines(spark, directory, pattern), usable, ["path"], spread_by=F.col("value")
-    ).where((F.trim("value") != "") & (F.col("value") != F.col("header")))
-    labels = F.transform(F.split("header", ","), lambda c: F.trim(c))
-
-    def record(cells: Column) -> Column:
-        def cell(name: str) -> Column:
-            place = F.array_position(labels, F.lit(HEADER_NAMES[name])).cast("int")
-            text = F.nullif(F.get(cells, place - 1), F.lit(""))
-            return to_number(text) if PANEL_TYPES[name] == "double" else text
-
-        return F.struct(*[cell(n).alias(n) for n in PANEL_TYPES])
-
-    # A usable header names known columns only, so no file is wider than that list.
-    width = [f"c{i}" for i in range(len(PANEL_TYPES))]
-    parsed = F.from_csv("value", ", ".join(f"{c} string" for c in width), {"escape": '"'})
-    cut = lines.select("header", parsed.alias("csv"))
-    cells = F.array(*[F.col(f"csv.{c}") for c in width])
-    panel = cut.select(F.inline(F.array(bind(cells, record))))
+    groups = (
+        headers.where("reason IS NULL").groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    )
+    parts = [_read_layout(spark, g["header"], sorted(g["paths"])) for g in groups]
+    panel = ledger.union_by_name(parts) if parts else spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in PANEL_TYPES.items()))
     return panel, headers.where("reason IS NOT NULL").select("path", "reason")
 
 
+def _read_layout(spark: SparkSession, header: list[str], paths: list[str]) -> DataFrame:
+    """The known columns of files that share one header."""
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
+    rows = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("enforceSchema", True)
+        .option("multiLine", True)
+        .option("escape", '"')
+        .csv(paths)
+    )
+    at = {label: i for i, label in reversed(list(enumerate(header)))}
+
+    def column(name: str) -> Column:
+        label = HEADER_NAMES[name]
+        text = F.nullif(F.col(f"c{at[label]}"), F.lit("")) if label in at else F.lit(None).cast("string")
+        return to_number(text) if PANEL_TYPES[name] == "double" else text
+
+    return rows.select(*[column(n).alias(n) for n in PANEL_TYPES])
+
+
 def write_panel(df: DataFrame, path: str) -> None:
     """Parquet, one folder per year, so that a year is read without the others."""
     df.write.mode("overwrite").partitionBy("year").parquet(path)

@@ -11,25 +11,31 @@ from slackline.fixed_values import (
     NAME_LABELS,
     NEW_LAYOUT_YEAR,
     REF_LABEL,
-    SHEET_REGION_FIRST,
-    SHEET_STANDARD_FIRST,
+    SHEET_NAME,
     ZERO_LABEL,
 )
-from slackline.sources.cells import bind, split_cells
+from slackline.sources.cells import bind, split_cells, split_records
 
 HRM1, HRM2_OLD, HRM2_NEW = "HRM1", "HRM2_TO_2018", "HRM2_FROM_2019"
 
 
 def read_sheets(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
-    """(path, sheet, lines) of every matching file below ``path``; blank lines count."""
+    """(path, sheet, lines) of every matching file below ``path``; blank lines count.
+
+    ``path`` of a row is the file's place below the input folder, so that digits above it
+    are no year. A line break inside double quotes does not end a line.
+    """
     files = spark.read.text(
         path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern
     )
     plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    root = F.lit(path.rstrip("/").split("://")[-1].removeprefix("file:"))
+    place = F.instr(plain, root)
+    below = F.when(place > 0, F.substring(plain, place + F.length(root), F.length(plain))).otherwise(plain)
     return files.select(
-        plain.alias("path"),
+        below.alias("path"),
         F.regexp_extract(plain, r"([^/]+)\.[^./]*$", 1).alias("sheet"),
-        F.split("value", "\r\n|\n|\r").alias("lines"),
+        split_records(F.col("value")).alias("lines"),
     )
 
 
@@ -40,10 +46,8 @@ def year_of_path(path: str | Column) -> Column:
 
 def parse_sheets(sheets: DataFrame) -> DataFrame:
     """Add year, standard, region, layout and ``reason`` (NULL for a usable sheet)."""
-    either = f"{SHEET_STANDARD_FIRST}|{SHEET_REGION_FIRST}"
-
     def group(i: int) -> Column:
-        return F.nullif(F.regexp_extract("sheet", either, i), F.lit(""))
+        return F.nullif(F.regexp_extract("sheet", SHEET_NAME, i), F.lit(""))
 
     named = sheets.select(
         "*",

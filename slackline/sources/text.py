@@ -29,11 +29,21 @@ def split_lines(df: DataFrame, keys: list[str], text: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str, header: str) -> DataFrame:
-    """(path, text): the non-blank lines of text files without their header line."""
+    """(path, text): the non-blank lines of text files without their header line.
+
+    Only the first line of a file can be its header; later lines equal to it are answers.
+    """
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("path"), strip(F.col("value")).alias("text")
+        F.col("_metadata.file_path").alias("path"), strip(F.col("value")).alias("text"),
+        F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_line"),
     )
-    return lines.where((F.length("text") > 0) & (F.col("text") != header))
+    # The first line of a file is the smallest number in its first block.
+    suspects = lines.where((F.col("_start") == 0) & (F.col("text") == header))
+    heads = lines.where("_start = 0").groupBy("path").agg(F.min("_line").alias("_line"))
+    heads = heads.join(suspects.select("path", "_line"), ["path", "_line"], "left_semi")
+    kept = lines.where((F.length("text") > 0) & (F.col("text") != header)).select("path", "text", "_line")
+    again = suspects.join(heads, ["path", "_line"], "left_anti").select("path", "text", "_line")
+    return kept.unionByName(again).select("path", "text")
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:

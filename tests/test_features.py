@@ -146,3 +146,16 @@ def test_chunks_split_a_series_of_equal_rows(spark):
     )
     out = features.add_lags_in_chunks(rows, ks=(1,), chunks=8)
     assert values(out, "realized_lag1") == [(None,)] + [(1.0,)] * 199
+
+
+def test_equal_years_have_one_order(spark):
+    rows = [("A", 1, 2010, float(i), f"s{i}") for i in range(6)] + [("A", 1, 2011, 9.0, "s9")]
+    columns = "region string, acc_id int, year int, realized double, standard string"
+    seen = set()
+    for parts in (1, 3, 7):
+        df = spark.createDataFrame(rows, columns).repartition(parts)
+        by_row = features.add_lags(df).collect()
+        by_year = features.add_lags(df, by="year").collect()
+        seen.add(tuple(sorted((r["standard"], r["realized_lag1"]) for r in by_row if r["realized_lag1"] is not None)))
+        assert {r["realized_lag1"] for r in by_year if r["year"] == 2011} == {0.0}
+    assert len(seen) == 1

@@ -45,7 +45,7 @@ def test_salt_spreads_a_hot_key(spark, fact, dim, conf):
     conf("spark.sql.adaptive.enabled", "false")
     conf("spark.sql.shuffle.partitions", "16")
     parts = (
-        joins.lookup_join(fact, dim, ["k"], "inner", F.col("id"))
+        joins.lookup_join(fact, dim, ["k"], "inner", F.col("id"), salts=16)
         .where("k = 0")
         .groupBy(F.spark_partition_id())
         .count()
@@ -59,10 +59,10 @@ def test_unknown_join_type(fact, dim):
         joins.lookup_join(fact, dim, ["k"], "full")
 
 
-def test_spread_small_keeps_large_tables_as_they_are(spark, fact):
-    spread = joins.spread_small(fact, ["id"])
-    assert values(spread) == values(fact)
-    assert joins.spread_small(fact, ["id"], limit=0) is fact
+def test_salts_follow_the_size(fact):
+    few = joins.salts_for(fact, part_bytes=joins.estimated_bytes(fact))
+    many = joins.salts_for(fact, part_bytes=max(1, joins.estimated_bytes(fact) // 50))
+    assert few == 2 and many >= 50
 
 
 class Context:
@@ -81,6 +81,7 @@ class Session:
         self.sparkContext, self.conf = context, {"spark.checkpoint.dir": named} if named else {}
 
 
+
 def test_shared_folder_is_the_one_the_cluster_names():
     assert session.shared_folder(Session(Context("spark://x", "hdfs://a"))) == "hdfs://a"
     assert session.shared_folder(Session(Context("spark://x"), "hdfs://b")) == "hdfs://b"

@@ -110,3 +110,43 @@ def test_build_panels_job(spark, folder, tmp_path):
 def test_missing_folder_raises(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         sheets.read_sheets(spark, str(tmp_path / "nowhere")).count()
+
+
+def test_cells_with_line_breaks(spark, tmp_path):
+    target = tmp_path / "2015" / "HRM1_KT_AG.csv"
+    target.parent.mkdir(parents=True)
+    target.write_text('note\n,,2015,2015,diff,2016\nunits,,,,,\n3,"Auf\nwand, x",100,90,1,110\n30,"a ""b""",1,2,0,3\n31,"c\n\nd",4,5,0,6\n')
+    rows = sheets.sheet_rows(located(spark, str(tmp_path)))
+    assert values(rows.where("acc_id IS NOT NULL"), "acc_id", "name", "budget") == [
+        ("3", "Auf\nwand, x", "100"), ("30", 'a "b"', "1"), ("31", "c\n\nd", "4"),
+    ]
+
+
+def test_an_unclosed_quote_takes_no_rows(spark):
+    from pyspark.sql import functions as F
+
+    from slackline.sources.cells import split_records
+
+    df = spark.createDataFrame([('a\nb "c\nd\ne',), ("",), ('"x\ny"\r\nz',)], "t string")
+    got = [r["r"] for r in df.select(split_records(F.col("t")).alias("r")).collect()]
+    assert got == [["a", 'b "c', "d", "e"], [""], ['"x\ny"', "z"]]
+
+
+def test_digits_above_the_input_folder_are_no_year(spark, tmp_path):
+    target = tmp_path / "run 2023" / "in" / "ledger_2015" / "HRM1_KT_AG.csv"
+    target.parent.mkdir(parents=True)
+    target.write_text(HRM1_BLANK)
+    rows = located(spark, str(tmp_path / "run 2023" / "in")).collect()
+    assert [r["year"] for r in rows] == [2015]
+
+
+def test_accounts_that_meet_in_the_crosswalk_are_summed(spark, tmp_path):
+    target = tmp_path / "in" / "2015" / "HRM1_KT_AG.csv"
+    target.parent.mkdir(parents=True)
+    target.write_text('note\n,,2015,2015,diff,2016\nunits,,,,,\n32,Old,10,4,0,8\n34 - 37,Div,8,4,0,12\n')
+    out = str(tmp_path / "out")
+    jobs.build_panels(spark, str(tmp_path / "in"), out)
+    two = csvs.read_panel(spark, f"{out}/double_digit")
+    assert two.groupBy("year", "region", "acc_id").count().where("count > 1").count() == 0
+    sums = two.agg({"budget": "sum", "realized": "sum", "budget_next": "sum"}).first()
+    assert sorted(sums) == [8.0, 18.0, 20.0]

@@ -39,6 +39,25 @@ def test_union_matches_columns_by_name(spark, yearly):
     assert sorted(r["reason"] for r in rejects.collect()) == ["empty file", "unknown columns"]
 
 
+def test_union_loses_no_row(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        '"Acc-ID","Name",Extra,"Budget y",Year,Region\n3,"two\nlines",x,1.5,2011,AG\n"4","a ""b""",,2,2011,AG\n'
+        "Acc-ID,Name,Extra,Budget y,Year,Region\n"
+    )
+    panel, rejects = csvs.read_union_by_name(spark, str(tmp_path), "*.csv")
+    assert values(panel, "acc_id", "name", "budget", "region", "year") == [
+        ("3", "two\nlines", 1.5, "AG", "2011"),
+        ("4", 'a "b"', 2.0, "AG", "2011"),
+        ("Acc-ID", "Name", None, "Region", "Year"),
+    ]
+    assert rejects.count() == 0
+
+
+def test_no_files_match(spark, yearly):
+    panel, rejects = csvs.read_union_by_name(spark, yearly, "*_2020_*.csv")
+    assert (panel.count(), rejects.count()) == (0, 1)
+
+
 def test_merge_job_writes_the_final_panel_by_year(spark, yearly, tmp_path):
     out = str(tmp_path / "final")
     jobs.merge_panels(spark, yearly, "*_single_digit.csv", out)
@@ -119,6 +138,25 @@ def test_lines_drop_header_and_blanks(spark, tmp_path):
     assert values(lines.read_lines(spark, str(path), "Explainer"), "text") == [("one",), ("two",)]
 
 
+def test_only_the_first_line_is_a_header(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("Explainer\none\nExplainer\n")
+    (tmp_path / "b.txt").write_text("two\nExplainer\n")
+    kept = lines.read_lines(spark, str(tmp_path), "Explainer")
+    assert values(kept, "text") == [("Explainer",), ("Explainer",), ("one",), ("two",)]
+
+
+def test_scores_keep_the_order_of_the_lines(spark, tmp_path):
+    words = spark.createDataFrame([("GOOD", *[False, True, False, False, False, False, False])], [
+        "word", "negative", "positive", "uncertainty", "litigious", "strong_modal", "weak_modal", "constraining"])
+    source = tmp_path / "answers.txt"
+    texts = [f"line {i} good" if i % 3 else f"line {i}" for i in range(50)]
+    source.write_text("\n".join(["Explainer", *texts]))
+    out = str(tmp_path / "scores")
+    jobs.score_answers(spark, str(source), "Explainer", words, out)
+    got = [r["Text"] for f in sorted((tmp_path / "scores").glob("part-*")) for r in csvs.read_lexicon_result(spark, str(f)).collect()]
+    assert [t.split()[1] for t in got] == [str(i) for i in range(50)]
+
+
 def test_lexicon_flags(spark, tmp_path):
     path = tmp_path / "lexicon.csv"
     path.write_text(
@@ -155,3 +193,11 @@ def test_result_files_round_trip(spark, tmp_path):
 def test_required_columns(spark):
     with pytest.raises(ValueError, match="Missing required columns"):
         require_columns(spark.range(1), ["id", "year"])
+
+
+def test_constants_with_quotes_and_backslashes(spark):
+    from slackline.schema import inline_table
+
+    odd = ["a\\b", "it's", 'x"y', "\\", "\\'"]
+    assert values(inline_table(spark, [(x,) for x in odd], ["v"])) == sorted((x,) for x in odd)
+    assert inline_table(spark, [], ["v", "w"]).columns == ["v", "w"]

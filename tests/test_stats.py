@@ -119,3 +119,13 @@ def test_arm_moments(spark):
     r = stats.arm_moments(arms(spark, [1.0, 3.0, None], [2.0]), "arm", "x").orderBy("arm").collect()
     assert (r[0]["n"], r[0]["mean"], r[0]["variance"]) == (2, 2.0, 2.0)
     assert r[1]["variance"] is None
+
+
+def test_t_tail_keeps_its_digits_at_large_degrees_of_freedom():
+    import pytest
+
+    from slackline.functions.special import t_tail
+
+    for dof in (1e4, 1e8, 1e10, 1e12):
+        assert t_tail(0.01, dof) == pytest.approx(0.9920213, abs=2e-6)
+        assert t_tail(1.959963985, dof) == pytest.approx(0.05, abs=2e-4 if dof < 1e6 else 2e-5)

@@ -112,3 +112,13 @@ def test_arm_tables(spark):
 def test_completed(spark):
     rows = spark.createDataFrame([("Yes",), (None,)], "Manip_Check string")
     assert survey.completed(rows).select(F.count("*")).first()[0] == 1
+
+
+def test_slack_reduction_leaves_failed_checks_out(spark):
+    from slackline.plans import queries
+
+    folder = "/root/testdata/sf0.001"
+    passed = {r["pid"] for r in queries.answered(spark, folder).collect()}
+    kept = {r["pid"] for r in queries.slack_reduction(spark, folder).collect()}
+    assert kept and kept <= passed
+    assert all(pid % 7 and pid % 5 for pid in kept)
