@@ -42,6 +42,10 @@ HEADLINE = [
     "word_frequency_top",
     "scaled_features",
     "gbt_forecast",
+    "lag_entries",
+    "duplicate_rows_expanded",
+    "random_search",
+    "ensemble_mean",
 ]
 
 
