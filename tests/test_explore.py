@@ -12,10 +12,6 @@ from tests.conftest import values
 PROBABILITIES = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
 
 
-def two_pass(monkeypatch):
-    monkeypatch.setattr(quantiles, "fits_broadcast", lambda df: False)
-
-
 def check(df, column, numbers, accuracy=quantiles.ACCURACY):
     row = exact_quantiles(df, {"x": F.col(column)}, PROBABILITIES, accuracy).first()
     assert row["n"] == len(numbers)
@@ -28,7 +24,6 @@ def test_small_path(spark):
 
 
 def test_two_passes_on_even_and_hot_values(spark, monkeypatch):
-    two_pass(monkeypatch)
     generator = np.random.default_rng(1)
     spread = generator.normal(0, 1000, 20000)
     hot = np.where(np.arange(20000) % 3 == 0, 7.5, np.round(generator.exponential(50, 20000), 2))
@@ -41,7 +36,6 @@ def test_two_passes_on_even_and_hot_values(spark, monkeypatch):
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-50, 50).map(lambda i: i / 4), min_size=1, max_size=60))
 def test_two_passes_any_list(spark, monkeypatch, numbers):
-    two_pass(monkeypatch)
     check(spark.createDataFrame([(v,) for v in numbers], "x double"), "x", numbers, accuracy=10)
 
 
@@ -51,7 +45,6 @@ def test_probabilities_must_ascend(spark):
 
 
 def test_several_series_share_the_passes(spark, monkeypatch):
-    two_pass(monkeypatch)
     df = spark.range(1000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
     series = {str(g): F.when(F.col("g") == g, F.col("v")) for g in (0, 1, 2)}
     out = {r["series"]: r["quantiles"] for r in exact_quantiles(df, series, [0.5]).collect()}
