@@ -43,7 +43,8 @@ def exact_quantiles(
                 F.get(F.percentile_approx(F.col(f"`{name}`"), cuts, accuracy), F.lit(j)).alias(f"s{i}_{j}")
                 for i, name in enumerate(names)
                 for j in range(len(cuts))
-            ]
+            ],
+            *[f(F.col(f"`{name}`")).alias(f"{f.__name__}{i}") for i, name in enumerate(names) for f in (F.count, F.min, F.max)],
         ).alias("edges")
     ).first()["edges"]
     rows = numbers.unpivot([], [f"`{name}`" for name in names], "series", "value").where(
@@ -56,7 +57,12 @@ def exact_quantiles(
         """One expression per series; ``pick`` gets the edges of the series."""
         cases = F
         for i, name in enumerate(names):
-            edges = [F.lit(sketch[f"s{i}_{j}"]).cast("double") for j in range(len(cuts))]
+            if sketch[f"count{i}"] * step < 2:
+                # So few rows that the edges may miss a neighbour: all of them are near.
+                found = [sketch[f"min{i}"], sketch[f"max{i}"]] * len(probabilities)
+            else:
+                found = [sketch[f"s{i}_{j}"] for j in range(len(cuts))]
+            edges = [F.lit(x).cast("double") for x in found]
             cases = cases.when(F.col("series") == name, pick(edges))
         return cases
 
