@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from slackline.session import stored
 
-__all__ = ["SPACE", "digest", "let", "numbered", "row_key", "spans_text", "stored", "words"]
+__all__ = ["SPACE", "digest", "let", "numbered", "row_key", "sampled", "spans_text", "stored", "words"]
 
 # White space between words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]"
@@ -39,6 +39,17 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.unhex(F.md5(F.concat_ws("\n", *parts).cast("binary")))
 
 
+def sampled(df: DataFrame, rows: int, seed: int = 3) -> DataFrame:
+    """About ``rows`` rows drawn evenly from all of ``df``, stored; all rows if it has no more.
+
+    Every task draws its own rows, so nothing but the sample leaves it; a limit would
+    shuffle up to ``rows`` rows of every task into one. The sample is dealt anew, so that it
+    does not become a small file per task.
+    """
+    total = df.count()
+    return stored(df if total <= rows else df.sample(rows / total, seed).repartition(max(8, rows // 1000)))
+
+
 def numbered(
     df: DataFrame, groups: list[str], order: list[str], name: str, chunk_rows: int = 200_000
 ) -> DataFrame:
