@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slackline.llm.common import SPACE, let, stored, words
+from slackline.llm.common import SPACE, let, sampled, words
 
 SYMBOLS = "#*$%&|<>"
 
@@ -140,10 +140,10 @@ def order_rules(
 ) -> list[tuple[Rule, float, float]]:
     """(rule, seconds per row, share rejected), most rejections per second first.
 
-    The sample is the first ``sample_rows`` rows Spark finds. It is measured rule by rule,
-    less the time of reading alone. Only the order rests on it, never a verdict.
+    The sample has about ``sample_rows`` rows. It is measured rule by rule, less the time of
+    reading alone. Only the order rests on it, never a verdict.
     """
-    sample = stored(df.select(F.col(text).alias("text")).limit(sample_rows))
+    sample = sampled(df.select(F.col(text).alias("text")), sample_rows)
     col = F.col("text")
 
     def seconds(expression: Column) -> tuple[float, int, int]:
