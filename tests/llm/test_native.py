@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slackline.llm import pii, quality, queries, secrets
-from slackline.llm.common import found_spans, numbered, spans_text
+from slackline.llm.common import found_spans, numbered, sampled, spans_text
 from tests.llm import edge
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -246,3 +246,12 @@ def test_no_python_runs_in_native_plans(spark):
 
 def test_every_operator_has_one_query():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.REGISTRY) == list(range(1, 11))
+
+
+def test_sample_is_even_and_all_of_small_tables(spark):
+    df = spark.range(0, 20_000, 1, 8).withColumnRenamed("id", "n")
+    some = [r["n"] for r in sampled(df, 2000).collect()]
+    assert 1700 < len(some) < 2300 and len(set(some)) == len(some)
+    assert 0.4 < sum(n < 10_000 for n in some) / len(some) < 0.6
+    assert sampled(df, 20_000).count() == 20_000
+    assert sampled(df.where("n < 0"), 10).count() == 0
