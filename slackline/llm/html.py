@@ -4,18 +4,25 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slackline.functions.joins import lookup_join
 from slackline.llm.common import stored
 
-SAMPLE = 12
 LEAST_PAGES = 4
-ALIKE = 0.3
+SECTION_PAGES = 20
+#: Share of a group's pages that hold a template node, and of two skeletons' nodes that align.
+NEARLY = 0.9
+SAME_LAYOUT = 0.7
+
+LANG = re.compile(r"<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z]+)", re.IGNORECASE)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -251,41 +258,35 @@ def match(a: Slot, b: Slot) -> tuple[int, list[tuple[Slot, Slot]]]:
     return score[rows][columns] + 1, aligned
 
 
-def induce(pages: list[str]) -> list[list[str]]:
-    """[path, text] of the constant nodes of a host's pages, wherever they stand in the page.
+def layouts(skeletons: list[tuple[int, int, list[str]]]) -> dict[int, int]:
+    """The layout of each skeleton (id, pages, paths): the id of its representative.
 
-    Pages whose contents share more than ``ALIKE`` of their texts tell nothing of what varies, so only
-    one of them counts. Nodes that hold the same text on all of at least ``LEAST_PAGES``
-    pages are template; a page that lacks the node speaks against it.
+    The commonest skeleton comes first; each next one joins the representative whose tree its own
+    matches best, if at least ``SAME_LAYOUT`` of their nodes align, else it is a representative itself.
     """
-    kept: list[tuple[Slot, set[str]]] = []
-    for html in pages:
-        tree = parse(html)
-        texts = {t for root in content_roots(tree) for _, t in blocks(root)}
-        if texts and all(len(texts & o) <= ALIKE * min(len(texts), len(o)) or min(len(texts), len(o)) < 3 for _, o in kept):
-            kept.append((skeleton(blocks(tree, everything=True)), texts))
-    if len(kept) < LEAST_PAGES:
-        return []
-    first = min((k[0] for k in kept), key=lambda s: len(_walk(s, "")))
-    constant = {id(slot): (path, set(slot.texts)) for path, slot in _walk(first, "")}
-    for other, _ in kept:
-        if other is first:
-            continue
-        seen = {id(a): b.texts for a, b in match(first, other)[1]}
-        for key, (_, texts) in constant.items():
-            texts &= seen.get(key, set())
-    return sorted({(path, text) for path, texts in constant.values() for text in texts})
-
-
-def _walk(slot: Slot, path: str) -> list[tuple[str, Slot]]:
-    out = []
-    for child in slot.slots:
-        below = f"{path}/{child.sign}" if path else child.sign
-        out.append((below, child))
-        out += _walk(child, below)
+    chosen: list[tuple[int, set[str], Slot, int]] = []
+    out: dict[int, int] = {}
+    for key, _, paths in sorted(skeletons, key=lambda s: (-s[1], s[0])):
+        tree, own = skeleton([(p, "") for p in paths]), set(paths)
+        nodes = _count(tree)
+        best, at = 0.0, key
+        for other, theirs, known, size in chosen:
+            if 2 * len(own & theirs) < SAME_LAYOUT * min(len(own), len(theirs)):
+                continue
+            alike = 2 * match(tree, known)[0] / (nodes + size)
+            if alike > best:
+                best, at = alike, other
+        if best < SAME_LAYOUT:
+            at = key
+            chosen.append((key, own, tree, nodes))
+        out[key] = at
     return out
 
 
+def _count(slot: Slot) -> int:
+    return 1 + sum(_count(s) for s in slot.slots)
+
+
 def extract(html: str, template: set[tuple[str, str]]) -> str:
     """The blocks of the content outside the template, joined by line feeds."""
     pairs = [p for root in content_roots(parse(html)) for p in blocks(root)]
@@ -299,28 +300,127 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(found, F.lit("")))
 
 
-def wrappers(df: DataFrame, url: str = "url", html: str = "html", sample: int = SAMPLE) -> DataFrame:
-    """(host, template): for every host, induced on up to ``sample`` pages chosen by a hash.
+def section(url: Column) -> Column:
+    """First folder of the path; empty where there is none."""
+    found = F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)/", 1)
+    return F.lower(F.coalesce(found, F.lit("")))
+
+
+def _hash(*parts: str) -> int:
+    whole = "\x00".join(parts).encode("utf-8", "surrogatepass")
+    return int.from_bytes(blake2b(whole, digest_size=8).digest(), "little", signed=True)
+
+
+PARSED = (
+    "page_id {id}, url {url}, host string, section string, lang string, page long, skeleton long, paths string, "
+    "blocks array<struct<node: long, content: boolean, path: string, text: string>>"
+)
+
 
-    Spark keeps ``sample`` pages of a host in each task before any is shuffled, so a host
-    with a third of all pages costs no more than another.
+def parsed(df: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """Every row of ``df`` parsed once: its blocks, those of the content first and in page order,
+    the paths they stand at, and a number of the page that equal pages share."""
+    rows = df.select(
+        F.col(page_id).alias("page_id"), F.col(url).alias("url"), host(F.col(url)).alias("host"),
+        section(F.col(url)).alias("section"), F.col(html).alias("html"),
+    )
+
+    def read(html: object) -> tuple:
+        if not isinstance(html, str) or not html:
+            return "", None, None, None, []
+        tree = parse(html)
+        inside = [p for root in content_roots(tree) for p in blocks(root)]
+        whole = blocks(tree, everything=True)
+        held = set(inside)
+        rest = [p for p in dict.fromkeys(whole) if p not in held]
+        names = ("node", "content", "path", "text")
+        out = [dict(zip(names, (_hash(p, t), c, p, t), strict=True)) for pairs, c in ((inside, True), (rest, False)) for p, t in pairs]
+        paths = json.dumps(list(dict.fromkeys(p for p, _ in whole)))
+        lang = LANG.search(html)
+        page = _hash(*[x for pair in [*inside, *whole] for x in pair])
+        return (lang[1].lower() if lang else ""), page, _hash(paths), paths, out
+
+    def parse_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node = pa.struct([("node", pa.int64()), ("content", pa.bool_()), ("path", pa.string()), ("text", pa.string())])
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(node)]
+        for batch in batches:
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                found = list(zip(*[read(h) for h in part.column("html").to_pylist()], strict=True))
+                kept = [part.column(c) for c in ("page_id", "url", "host", "section")]
+                yield pa.RecordBatch.from_arrays(
+                    kept + [pa.array(f, k) for f, k in zip(found, kinds, strict=True)],
+                    ["page_id", "url", "host", "section", "lang", "page", "skeleton", "paths", "blocks"],
+                )
+
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("page_id", "url")}
+    return rows.mapInArrow(parse_all, PARSED.format(id=kinds["page_id"], url=kinds["url"]))
+
+
+def templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Template nodes of ``parsed`` pages, and the layout of each skeleton of a host.
+
+    Every page counts, equal pages once. A node is template for a group of pages if it stands on
+    at least ``NEARLY`` of them. The groups are the pages of a host, those of a layout
+    and language, each from ``LEAST_PAGES`` on, and those of a layout and folder of the address from
+    ``SECTION_PAGES`` on: a small folder may hold versions of one article. The nodes are rows of
+    (host, layout, kind, key, node, page), where ``page`` is one that holds the node; tasks count
+    their own pages before anything is shuffled.
     """
-    rows = df.select(host(F.col(url)).alias("host"), F.col(html).alias("html")).where(
-        "html IS NOT NULL AND html <> '' AND host <> ''"
-    )
-    order = Window.partitionBy("host").orderBy("mark", "html")
-    chosen = (
-        rows.withColumn("mark", F.xxhash64("html"))
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= sample)
-        .select("host", "html")
+    group = ["host", "skeleton", "lang", "section"]
+    distinct = stored(
+        pages.where("host <> '' AND page IS NOT NULL")
+        .select(*group, "page", "paths", F.array_distinct("blocks.node").alias("nodes"))
+        .groupBy("host", "page")
+        .agg(F.min(F.struct("skeleton", "lang", "section", "paths", "nodes")).alias("p"))
+        .select("host", "page", "p.*")
     )
+    shapes = distinct.groupBy("host", "skeleton").agg(F.count("*").alias("n"), F.min("paths").alias("paths"))
 
-    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        template = induce(sorted(pdf["html"].unique()))
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "template": [json.dumps(template)]})
+    def align(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = layouts([(int(k), int(n), json.loads(p)) for k, n, p in zip(pdf["skeleton"], pdf["n"], pdf["paths"], strict=True)])
+        return pd.DataFrame({"host": pdf["host"].iloc[0], "skeleton": list(found), "layout": list(found.values())})
 
-    return chosen.groupBy("host").applyInPandas(learn, "host string, template string").where("template <> '[]'")
+    shape = stored(shapes.groupBy("host").applyInPandas(align, "host string, skeleton long, layout long"))
+    cells = stored(
+        distinct.select(*group, "page", F.explode("nodes").alias("node"))
+        .groupBy(*group, "node").agg(F.count("*").alias("n"), F.min("page").alias("page"))
+    )
+    sizes = lookup_join(distinct.groupBy(*group).agg(F.count("*").alias("n")), shape, ["host", "skeleton"], "inner", F.col("lang"))
+    often = stored(
+        cells.groupBy("host", "node").agg(F.sum("n").alias("all"), F.min("page").alias("one")).where(F.col("all") >= LEAST_PAGES)
+    )
+    some = lookup_join(cells, often, ["host", "node"], "inner", F.col("section"))
+    some = stored(lookup_join(some, shape, ["host", "skeleton"], "inner", F.col("node")))
+    levels = [
+        ("host", F.lit(0).cast("long"), F.lit(""), LEAST_PAGES),
+        ("lang", F.col("layout"), F.col("lang"), LEAST_PAGES),
+        ("section", F.col("layout"), F.col("section"), SECTION_PAGES),
+    ]
+    found = None
+    for kind, layout, key, least in levels:
+        by = [F.col("host"), layout.alias("layout"), key.alias("key")]
+        total = sizes.groupBy(*by).agg(F.sum("n").alias("total")).where(F.col("total") >= least)
+        seen = some.groupBy(*by, "node").agg(F.sum("n").alias("n"), F.min("page").alias("page"))
+        near = lookup_join(seen, total, ["host", "layout", "key"], "inner", F.col("node"))
+        near = near.where(F.col("n") >= F.lit(NEARLY) * F.col("total"))
+        rows = near.select("host", "layout", F.lit(kind).alias("kind"), "key", "node", "page")
+        found = rows if found is None else found.unionByName(rows)
+    return stored(found), shape
+
+
+def wrappers(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(host, template): [path, text] of all template nodes of a host, read from pages that hold them."""
+    pages = stored(parsed(df, url, url, html))
+    nodes, _ = templates(pages)
+    nodes = nodes.groupBy("host", "node").agg(F.min("page").alias("page"))
+    blocks = pages.join(nodes.select("host", "page").distinct(), ["host", "page"], "left_semi")
+    blocks = blocks.select("host", F.explode("blocks").alias("b")).select("host", "b.node", "b.path", "b.text").distinct()
+    pair = F.array("path", "text")
+    return (
+        blocks.join(nodes, ["host", "node"], "left_semi").groupBy("host")
+        .agg(F.to_json(F.sort_array(F.collect_set(pair))).alias("template"))
+    )
 
 
 def main_text(
@@ -329,35 +429,26 @@ def main_text(
     """(page_id, url, text, n_chars): one row per row of ``df``.
 
     Menus, headers, footers, sidebars, notices, adverts, forms, scripts and reader comments
-    are skipped by element, role and label; constant nodes of the host are template; the
-    varying rest of the article, else of ``main``, else of the page is the text. A null or
-    empty page gives an empty text. A page without a host, or of a host with fewer than
-    ``LEAST_PAGES`` different pages, has no template. Repeated rows give equal texts.
+    are skipped by element, role and label; nodes that stand on nearly all pages of the host, or of
+    the page's layout in its language or folder, are template (``templates``); the varying rest of the
+    article, else of ``main``, else of the page is the text. A null or empty page gives an empty
+    text. A page without a host, or of a host with fewer than ``LEAST_PAGES`` different
+    pages, has no template. Repeated rows give equal texts.
     """
-    known = stored(wrappers(df, url, html))
-    rows = df.select(
-        F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"),
-        host(F.col(url)).alias("host"),
-    )
-    joined = lookup_join(rows, known, ["host"], "left", F.col("url"))
-
-    @F.pandas_udf("string")
-    def clean(pages: pd.Series, templates: pd.Series) -> pd.Series:
-        read: dict[str, set[tuple[str, str]]] = {}
-        out = []
-        for page, template in zip(pages, templates, strict=True):
-            if not isinstance(page, str):
-                out.append("")
-                continue
-            if not isinstance(template, str):
-                out.append(extract(page, set()))
-                continue
-            if template not in read:
-                if len(read) > 1000:
-                    read.clear()
-                read[template] = {(p, t) for p, t in json.loads(template)}
-            out.append(extract(page, read[template]))
-        return pd.Series(out, dtype=object)
-
-    texts = joined.select("page_id", "url", clean("html", "template").alias("text"))
+    pages = stored(parsed(df, page_id, url, html))
+    nodes, shape = templates(pages)
+    sets = stored(nodes.groupBy("host", "layout", "kind", "key").agg(F.sort_array(F.collect_set("node")).alias("cut")))
+    kept = F.transform(F.filter("blocks", lambda b: b["content"]), lambda b: F.struct(b["node"].alias("node"), b["text"].alias("text")))
+    rows = pages.select("page_id", "url", "host", "section", "lang", "skeleton", kept.alias("blocks"))
+    rows = lookup_join(rows, shape, ["host", "skeleton"], "left", F.col("url"))
+    cuts = []
+    for kind, key in (("host", None), ("lang", "lang"), ("section", "section")):
+        part = sets.where(F.col("kind") == kind)
+        on = ["host"] if key is None else ["host", "layout", key]
+        columns = ["host"] if key is None else ["host", "layout", F.col("key").alias(key)]
+        rows = lookup_join(rows, part.select(*columns, F.col("cut").alias(f"_{kind}")), on, "left", F.col("url"))
+        cuts.append(F.coalesce(f"_{kind}", F.array().cast("array<long>")))
+    left = F.filter("blocks", lambda b: ~F.exists(F.array(*cuts), lambda c: F.array_contains(c, b["node"])))
+    text = F.coalesce(F.array_join(F.transform(left, lambda b: b["text"]), "\n"), F.lit(""))
+    texts = rows.select("page_id", "url", text.alias("text"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))

@@ -73,6 +73,30 @@ def test_copies_of_a_page_are_no_template(spark):
     assert all("Site of things" in r["text"] for r in html.main_text(df).collect())
 
 
+def test_every_layout_and_language_of_a_host_has_its_template(spark):
+    rng = np.random.default_rng(4)
+    line = lambda: " ".join(f"w{rng.integers(0, 10**6)}" for _ in range(8))
+    rows = []
+    for i in range(90):
+        body = "".join(f"<p>{line()}</p>" for _ in range(3))
+        if i % 3 == 0:
+            source = f"<html lang='de'><body><div><p>Alle Themen</p></div><div>{body}</div></body></html>"
+        elif i % 3 == 1:
+            source = f"<html lang='en'><body><div><p>All topics</p></div><div>{body}</div></body></html>"
+        else:
+            source = f"<html><body><table><tr><td>Shop home</td></tr></table><ul><li>{line()}</li><li>{line()}</li></ul></body></html>"
+        rows.append((i, f"http://h.example/{i}", source))
+    # A block on some pages of the host only is content.
+    rows += [(100 + i, f"http://h.example/n{i}", f"<html lang='en'><body><div><p>Storm warning</p></div><div><p>{line()}</p></div></body></html>") for i in range(3)]
+    rows.append((200, "http://h.example/404", "<html><body><h1>Not found</h1></body></html>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r["page_id"]: r["text"] for r in html.main_text(df).collect()}
+    assert not any(t in text for text in texts.values() for t in ("Alle Themen", "All topics", "Shop home"))
+    assert all(texts[i].count("\n") == (1 if i % 3 == 2 else 2) for i in range(90))
+    assert all("Storm warning" in texts[100 + i] for i in range(3))
+    assert texts[200] == "Not found"
+
+
 def test_tree_matching_keeps_order():
     a = html.skeleton([("x", "1"), ("y", "2"), ("z", "3")])
     b = html.skeleton([("y", "4"), ("x", "5"), ("z", "6")])
