@@ -97,6 +97,18 @@ def test_every_layout_and_language_of_a_host_has_its_template(spark):
     assert texts[200] == "Not found"
 
 
+def test_a_page_that_is_half_constant_still_tells_of_its_host(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(8):
+        body = "".join(f"<p>{' '.join(f'w{rng.integers(0, 10**6)}' for _ in range(8))}</p>" for _ in range(4))
+        constant = "<div>Home</div><div>All topics</div><div>Write to us</div><div>All rights kept</div>"
+        rows.append((i, f"http://half.example/{i}", page(f"{constant}<div>{body}</div>")))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in html.main_text(df).collect():
+        assert r["text"].count("\n") == 3 and "topics" not in r["text"]
+
+
 def test_tree_matching_keeps_order():
     a = html.skeleton([("x", "1"), ("y", "2"), ("z", "3")])
     b = html.skeleton([("y", "4"), ("x", "5"), ("z", "6")])
