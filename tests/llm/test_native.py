@@ -166,6 +166,35 @@ def test_trees_in_sql_agree_with_the_model(spark):
     assert scored.where("(base > 0) <> (p > 0.5)").count() == 0
 
 
+ADDED = [
+    ("iban DE89 3704 0044 0532 0130 00 please", "iban [ACCOUNT] please"),
+    ("to GB29NWBK60161331926819.", "to [ACCOUNT]."),
+    ("from AT61 1904 3002 3457 3201 IBM", "from [ACCOUNT] IBM"),
+    ("iban DE88 3704 0044 0532 0130 00 please", "iban DE88 3704 0044 0532 0130 00 please"),
+    ("Tel. 030 1234567 or", "Tel. [NUMBER] or"),
+    ("phone: (415) 555-2671", "phone: [NUMBER]"),
+    ("order 030 1234567 came", "order 030 1234567 came"),
+    ("call on 01.02.2024", "call on 01.02.2024"),
+    ("call 01.02.2024", "call 01.02.2024"),
+    ("card 4111.1111.1111.1111 ok", "card [NUMBER] ok"),
+    ("jane (at) mail (dot) com", "[EMAIL]"),
+    ("host 999.1.2.3 up", "host 999.1.2.3 up"),
+]
+
+
+def test_accounts_and_national_numbers_are_redacted(spark):
+    rows = [(i, t) for i, (t, _) in enumerate(ADDED)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(ADDED)}
+
+
+def test_labels_do_not_come_from_the_base(spark):
+    rows = [(f"w{i} pay DE89 3704 0044 0532 0130 00 or 2024-01-{10 + i % 20} 1234567",) for i in range(300)]
+    selector = pii.fit_selector(spark.createDataFrame(rows, "text string"))
+    assert "account" in selector.thresholds and "number" not in selector.thresholds
+
+
 def secret_spans(text):
     text, out = text or "", []
     kinds = [r.kind for r in [*secrets.BASE, *secrets.MORE]]
