@@ -86,9 +86,8 @@ def fit(df: DataFrame, target: str, text: str = "text", smoothing: float = 1.0,
 
 
 def score(df: DataFrame, model: np.ndarray, text: str = "text") -> DataFrame:
-    """``df`` with ``log_weight``: the sum of its n-grams' log ratios over the square root of
-    their number, so that neither length nor a few odd words decide alone; null without words.
-    """
+    """``df`` with ``log_weight``: the log importance ratio of its text, which is the sum of its
+    n-grams' log ratios; null without words."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -107,8 +106,7 @@ def score(df: DataFrame, model: np.ndarray, text: str = "text") -> DataFrame:
                 found, of = buckets(values, owner)
                 total = np.bincount(of, weights=ratios[found], minlength=high - low)
                 n = np.bincount(of, minlength=high - low)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    out[low:high] = np.where(n > 0, total / np.sqrt(n), np.nan)
+                out[low:high] = np.where(n > 0, total, np.nan)
             low = high
         return pd.Series(out).astype(object).where(~np.isnan(out), None)
 
@@ -152,7 +150,7 @@ def resample(
     share: float | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
-    temperature: float = 0.01,
+    temperature: float = 1.0,
     seed: int = 11,
 ) -> DataFrame:
     """(doc_id, log_weight, sample_key, kept): one row per row of ``df``.
@@ -160,7 +158,8 @@ def resample(
     ``labels`` has (doc_id, quality, toxic). Target text is what labels call good (quality 1,
     toxic 0); an id labelled twice must be good both times. Gumbel top-k: ``sample_key`` is
     the log weight plus ``temperature`` times a Gumbel number, made of a hash of the row so
-    that a repeated task gives the same; the ``share`` of rows with the largest keys is
+    that a repeated task gives the same. At 1, rows are drawn without replacement in proportion to
+    their importance ratios. The ``share`` of rows with the largest keys is
     kept, by default the good share of all labels. Rows tied at the cut are all kept. Null
     texts and texts without words have null keys and are not kept.
     """

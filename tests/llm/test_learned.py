@@ -236,6 +236,17 @@ def test_gumbel_numbers_sample_in_proportion(spark):
     assert abs(np.mean(kept) - 2000) < 100
 
 
+def test_rows_a_little_below_the_cut_are_drawn_too(spark):
+    d = spark.createDataFrame([(i, "x p" if i % 2 else "x q") for i in range(2000)], "doc_id long, text string")
+    labels = [(i, 1, 0) for i in range(1, 1200, 2)] + [(i, 1, 0) for i in range(0, 600, 2)]
+    b = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rows = resampling.resample(d, b, share=0.5).collect()
+    weights = {r["doc_id"] % 2: r["log_weight"] for r in rows}
+    assert 1.0 < weights[1] - weights[0] < 2.0
+    kept = [r["doc_id"] % 2 for r in rows if r["kept"]]
+    assert len(kept) == 1000 and 150 < kept.count(0) < 400
+
+
 def test_resampling_of_edge_rows(spark):
     df = edge.documents(spark)
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (6, 0, 0), (None, 1, 0), (4, None, None)], "doc_id long, quality int, toxic int")
