@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slackline.functions.joins import lookup_join
 from slackline.session import stored
 
-__all__ = ["SPACE", "digest", "let", "numbered", "row_key", "sampled", "spans_text", "stored", "words"]
+__all__ = [
+    "SPACE", "digest", "let", "numbered", "row_key", "running", "sampled", "spans_text", "stored", "word_count", "words",
+]
 
 # White space between words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]"
@@ -28,6 +31,11 @@ def words(text: Column) -> Column:
     return F.when(F.length(trimmed) > 0, F.split(trimmed, SPACE + "+")).otherwise(none)
 
 
+def word_count(text: Column) -> Column:
+    """The number of ``words``, without an array of them; 0 for null."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
 def digest(text: Column) -> Column:
     """16 bytes that name a text; null for null."""
     return F.unhex(F.md5(text.cast("binary")))
@@ -80,6 +88,46 @@ def numbered(
     )
 
 
+def running(
+    df: DataFrame, groups: list[str], order: list[str], sums: dict[str, str], chunk_rows: int = 500_000
+) -> DataFrame:
+    """``df`` with a column per entry of ``sums``: the sum of a long column over the rows before.
+
+    Rows are taken group by group in ascending ``order``, nulls first. All rows are dealt by
+    ranges of groups and order, so a group of any size lies in many chunks; a window sums
+    inside a chunk, and chunks that continue a group get the sum of its earlier chunks, one
+    small row each. Groups must not be null. Rows equal in ``order`` follow each other in the
+    order of their scan, which a repeated task keeps.
+    """
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // chunk_rows))
+    by = [*groups, *order, "_tie"]
+    dealt = stored(
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *[F.col(c).asc_nulls_first() for c in by])
+        .withColumn("_chunk", F.spark_partition_id())
+    )
+    earlier = Window.partitionBy(*groups).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    inside = (
+        Window.partitionBy(*groups, "_chunk")
+        .orderBy(*[F.col(c).asc_nulls_first() for c in [*order, "_tie"]])
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    carried = (
+        dealt.groupBy(*groups, "_chunk")
+        .agg(*[F.sum(value).alias(f"_of_{name}") for name, value in sums.items()])
+        .select(*groups, "_chunk", *[F.sum(f"_of_{name}").over(earlier).alias(f"_from_{name}") for name in sums])
+        .where(" OR ".join(f"_from_{name} IS NOT NULL" for name in sums))
+    )
+    here = dealt.select("*", *[F.sum(value).over(inside).alias(f"_in_{name}") for name, value in sums.items()])
+    zero = F.lit(0).cast("long")
+    both = lookup_join(here, stored(carried), [*groups, "_chunk"], "left")
+    return both.select(
+        *df.columns,
+        *[(F.coalesce(f"_from_{n}", zero) + F.coalesce(f"_in_{n}", zero)).alias(n) for n in sums],
+    )
+
+
 SPAN = "struct<kind:string,start:int,end:int,found:string>"
 BLOCK = 256
 
