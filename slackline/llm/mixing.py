@@ -90,7 +90,7 @@ def pick(candidates: DataFrame, room: DataFrame) -> DataFrame:
 def mix(
     df: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST_COPIES, seed: int = SEED
 ) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies, inclusion): one row per row of ``df``.
+    """(doc_id, size, source_size, target, taken, copies, expected): one row per row of ``df``.
 
     ``size`` is the number of words, 0 for null. A document whose text stands m times in its
     source has 1 / m of the weight of a single one. Its expected copies, at most ``most``, are
@@ -139,5 +139,5 @@ def mix(
     copies = F.coalesce("whole", F.lit(0)) + F.coalesce("picked", F.lit(0))
     return out.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"),
-        copies.cast("int").alias("copies"), F.coalesce("inclusion", F.lit(0.0)).alias("inclusion"),
+        copies.cast("int").alias("copies"), (F.coalesce("whole", F.lit(0)) + F.coalesce("inclusion", F.lit(0.0))).alias("expected"),
     )

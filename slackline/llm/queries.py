@@ -93,7 +93,7 @@ def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(table(spark, folder, "documents")).drop("inclusion")
+    return mixing.mix(table(spark, folder, "documents")).drop("expected")
 
 
 ORACLES["op5_secrets"] = secrets.oracle()
