@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from slackline.fixed_values import SEED
 from slackline.functions.numbers import exact_sum, scalar
-from slackline.functions.quantiles import exact_quantiles
+from slackline.functions.quantiles import exact_quantiles, named, quantiles_of, summaries
+from slackline.session import stored
 
 # Copies of one row are written out in blocks of this many.
 COPY_BLOCK = 65536
@@ -40,31 +41,25 @@ def mean_by_year_and_region(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def describe_series(df: DataFrame, series: dict[str, Column]) -> DataFrame:
-    """count, mean, std, min, quartiles and max per named expression, nulls left out."""
-    names = list(series)
-    row = [
-        F.struct(
-            F.lit(name).alias("series"),
-            F.count(series[name]).alias("count"),
-            F.avg(series[name]).alias("mean"),
-            F.stddev_samp(series[name]).alias("std"),
-            F.min(series[name].cast("double")).alias("min"),
-            F.max(series[name].cast("double")).alias("max"),
-        )
-        for name in names
-    ]
-    moments = df.agg(F.array(*row).alias("s")).select(F.inline("s"))
-    quartiles = exact_quantiles(df, series, [0.25, 0.5, 0.75]).select(
-        "series", *[F.get("quantiles", F.lit(i)).alias(q) for i, q in enumerate(["q25", "q50", "q75"])]
+def describe_series(df: DataFrame, series: dict[str, Column], by: tuple[str, ...] = ()) -> DataFrame:
+    """count, mean, std, min, quartiles and max per named expression, nulls left out.
+
+    With ``by`` per group of these columns, null being a group of its own. Two scans: moments and
+    sketches, then the rows around the quartiles.
+    """
+    probabilities = [0.25, 0.5, 0.75]
+    table = stored(summaries(df, series, probabilities, by))
+    found = quantiles_of(df, series, probabilities, table.where("n > 0"), by)
+    quartiles = found.select(
+        "key", *[F.get("quantiles", F.lit(i)).alias(q) for i, q in enumerate(["q25", "q50", "q75"])]
     )
-    return moments.join(quartiles, "series", "left").select(
-        "series", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
+    return named(table.withColumnRenamed("n", "count").join(quartiles, "key", "left"), by).select(
+        *by, "series", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 
 
-def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    return describe_series(df, {c: F.col(c) for c in columns})
+def describe(df: DataFrame, columns: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    return describe_series(df, {c: F.col(c) for c in columns}, by)
 
 
 def top_k(df: DataFrame, column: str, k: int, keys: list[str]) -> DataFrame:

@@ -6,14 +6,16 @@ import json
 import math
 import random
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slackline.fixed_values import EARLY_STOPPING_ROUNDS, PARAMETER_NAMES, SEARCH_SPACES, SEED
+from slackline.operators.boosting import Boosted
 from slackline.operators.features import newest_year
 from slackline.session import stored
 
@@ -23,6 +25,9 @@ LEVEL_WIDTH = 19
 # Trees need a bin per level; fewer levels than this keep Spark's finer bins for the amounts.
 LEAST_BINS = 256
 KINDS = ("xgboost", "catboost", "hgb")
+# Rounds of the first rung of a search, and what a rung's rounds and survivors differ by.
+FIRST_RUNG = 8
+RUNG_FACTOR = 3
 BOOTSTRAPS = ("Bayesian", "MVS", "Bernoulli")
 
 
@@ -131,15 +136,26 @@ def round_errors(model: PipelineModel, df: DataFrame) -> list[float]:
     return model.stages[-1].evaluateEachIteration(features, "squared")
 
 
-def best_round(errors: list[float], patience: int = EARLY_STOPPING_ROUNDS) -> int:
-    """0-based round with the smallest error before ``patience`` rounds without a better one."""
-    best = 0
-    for i, error in enumerate(errors):
-        if error < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best
+def _growing(
+    train: DataFrame, validation: DataFrame | None, kind: str
+) -> tuple[PipelineModel, DataFrame, int]:
+    """(prepared features, stored rows of both frames with ``judged``, bins): shared by all fits."""
+    prepared = fit_features(train, kind)
+    levels = max(len(labels) for labels in prepared.stages[0].labelsArray) + 1
+
+    def vectors(df: DataFrame, judged: bool) -> DataFrame:
+        return prepared.transform(model_frame(df)).select("features", "realized", F.lit(judged).alias("judged"))
+
+    rows = vectors(train, False)
+    if validation is not None:
+        rows = rows.union(vectors(validation, True))
+    return prepared, stored(rows), max(LEAST_BINS, levels)
+
+
+def fit_boosted(train: DataFrame, kind: str, params: dict, seed: int = SEED) -> PipelineModel:
+    """All rounds of one parameter set, as ``search`` and ``fit_early_stopped`` grow them."""
+    prepared, rows, bins = _growing(train, None, kind)
+    return Boosted(prepared, rows, params, bins, seed).grow().model()
 
 
 def fit_early_stopped(
@@ -149,17 +165,14 @@ def fit_early_stopped(
     params: dict,
     seed: int = SEED,
     patience: int = EARLY_STOPPING_ROUNDS,
-) -> PipelineModel:
-    """Fit, and keep the rounds up to the best one on ``validation``.
+) -> Boosted:
+    """Grow until ``patience`` rounds did not lower the error on ``validation``.
 
-    Rounds depend on the earlier ones and the seed only, so a fit of fewer rounds is the
-    beginning of the longer one.
+    No round beyond is fitted. ``.model()`` of the result has the rounds up to the best one,
+    ``.errors`` the error after each round.
     """
-    model = fit_gbt(train, kind, params, seed)
-    rounds = best_round(round_errors(model, validation), patience) + 1
-    if rounds == model.stages[-1].getNumTrees:
-        return model
-    return fit_gbt(train, kind, params | {"trees": rounds}, seed)
+    prepared, rows, bins = _growing(train, validation, kind)
+    return Boosted(prepared, rows, params, bins, seed, patience).grow()
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -167,6 +180,19 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(model_frame(df)).select(*df.columns, "prediction")
 
 
+def score_ensemble(models: list[PipelineModel], df: DataFrame) -> DataFrame:
+    """``df`` with the mean of all models' predictions as ``prediction``.
+
+    The models are applied to each row one after another: nothing is matched by key, so rows
+    that share one do no harm, and nothing is shuffled. NULL if a model gives none.
+    """
+    rows = df
+    for i, model in enumerate(models):
+        rows = score(model, rows).withColumnRenamed("prediction", f"_p{i}")
+    total = reduce(lambda a, b: a + b, [F.col(f"_p{i}") for i in range(len(models))])
+    return rows.select(*df.columns, (total / len(models)).alias("prediction"))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
@@ -215,28 +241,42 @@ def search(
     seed: int = SEED,
     parallelism: int = 4,
     patience: int = EARLY_STOPPING_ROUNDS,
+    first: int = FIRST_RUNG,
+    factor: int = RUNG_FACTOR,
 ) -> DataFrame:
-    """(trial, parameters..., rounds, mse) of every trial, scored on the validation rows.
-
-    ``mse`` is that of the best round before early stopping, ``rounds`` its number. A
-    parameter that a trial does not have is NULL. The features are prepared once; the fits
-    run side by side as Spark jobs and the driver only keeps a few numbers per trial.
+    """(trial, parameters..., rung, fitted, rounds, mse) of every trial: successive halving.
+
+    All parameter sets grow to ``first`` rounds. Those in the best 1 / ``factor`` go on from their
+    stored predictions to ``factor`` times as many, and so on; the last one grows to its own
+    number of trees or until ``patience`` rounds brought nothing. ``rung`` is the last one a set
+    took part in, ``fitted`` the rounds it grew, ``mse`` the smallest validation error of them and
+    ``rounds`` the round that had it. Ties keep the earlier trial. Parameters are used as drawn; one
+    that a trial does not have is NULL. Sets grow side by side as Spark jobs and the driver only
+    keeps their trees and a few numbers.
     """
-    prepared = fit_features(train, kind)
-    vectors = stored(prepared.transform(model_frame(train)).select("features", "realized"))
     names = [p[0] for p in SEARCH_SPACES[kind]]
-
-    def run(numbered: tuple[int, dict]):
-        number, params = numbered
-        errors = round_errors(fit_trees(prepared, vectors, params, seed), validation)
-        best = best_round(errors, patience)
-        values = [None if params.get(p) is None else float(params[p]) for p in names]
-        return (number, *values, best + 1, errors[best])
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        done = list(pool.map(run, enumerate(trials)))
     numbers = ", ".join(f"{p} double" for p in names)
-    return train.sparkSession.createDataFrame(done, f"trial int, {numbers}, rounds int, mse double")
+    schema = f"trial int, {numbers}, rung int, fitted int, rounds int, mse double"
+    if not trials:
+        return train.sparkSession.createDataFrame([], schema)
+    prepared, rows, bins = _growing(train, validation, kind)
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        grown = list(pool.map(lambda p: Boosted(prepared, rows, p, bins, seed, patience), trials))
+        rung, going, reached = 0, list(range(len(trials))), [0] * len(trials)
+        while going:
+            until = first * factor**rung if len(going) > 1 else None
+            list(pool.map(lambda i: grown[i].grow(until), going))
+            for i in going:
+                reached[i] = rung
+            if len(going) == 1:
+                break
+            going = sorted(going, key=lambda i: (grown[i].error, i))[: -(-len(going) // factor)]
+            rung += 1
+    table = [
+        (i, *[None if p.get(n) is None else float(p[n]) for n in names], reached[i], g.rounds, g.best, g.error)
+        for i, (p, g) in enumerate(zip(trials, grown, strict=True))
+    ]
+    return train.sparkSession.createDataFrame(table, schema)
 
 
 def best_trial(trials: DataFrame) -> dict:
@@ -251,28 +291,56 @@ def best_trial(trials: DataFrame) -> dict:
     if row is None:
         raise ValueError("no trials")
     given = row.asDict()
-    params = {k: v for k, v in given.items() if k not in ("trial", "rounds", "mse") and v is not None}
+    own = ("trial", "rung", "fitted", "rounds", "mse")
+    params = {k: v for k, v in given.items() if k not in own and v is not None}
     return params | {"trees": given.get("rounds", given.get("trees"))}
 
 
-def write_params(params: dict, path: str) -> None:
-    """One parameter set as a JSON object, whole numbers without a fraction."""
+def write_params(spark: SparkSession, params: dict, path: str) -> None:
+    """One parameter set as a JSON object, whole numbers without a fraction.
+
+    Written as one line by Spark, so ``path`` may be on any store the cluster knows.
+    """
     plain = {k: int(v) if isinstance(v, float) and v.is_integer() else v for k, v in params.items()}
-    with open(path, "w", encoding="utf-8") as file:
-        json.dump(plain, file, indent=2, sort_keys=True)
+    line = spark.createDataFrame([(json.dumps(plain, sort_keys=True),)], "value string")
+    line.coalesce(1).write.mode("overwrite").text(path)
 
 
-def read_params(path: str) -> dict:
-    """A JSON parameter file; the names of other libraries become the names used here."""
-    with open(path, encoding="utf-8") as file:
-        given = json.load(file)
+def _named(text: str) -> dict:
+    given = json.loads(text)
+    if not isinstance(given, dict):
+        raise ValueError("a parameter file holds one JSON object")
     return {PARAMETER_NAMES.get(k, k): v for k, v in given.items()}
 
 
+def read_params(spark: SparkSession, path: str) -> dict:
+    """A JSON parameter file, of any layout, or a folder that ``write_params`` wrote.
+
+    The names of other libraries become the names used here.
+    """
+    found = spark.read.text(path, wholetext=True).where("trim(value) <> ''").take(2)
+    if len(found) != 1:
+        raise ValueError(f"expected one parameter set in {path}, found {'several' if found else 'none'}")
+    return _named(found[0]["value"])
+
+
+def read_param_files(spark: SparkSession, directory: str, pattern: str = "hyperparams_*.json") -> dict[tuple[str, str], dict]:
+    """{(kind, category): parameters} of all files named ``hyperparams_<kind>_<category>.json``.
+
+    The files are a few hundred bytes each, one per model that was ever tuned.
+    """
+    rows = spark.read.text(directory, wholetext=True, pathGlobFilter=pattern).select(
+        F.regexp_extract("_metadata.file_name", r"^hyperparams_([^_]+)_(.+)\.json$", 1).alias("kind"),
+        F.regexp_replace(F.regexp_extract("_metadata.file_name", r"^hyperparams_([^_]+)_(.+)\.json$", 2), "_", " ").alias("category"),
+        "value",
+    )
+    return {(r["kind"], r["category"]): _named(r["value"]) for r in rows.orderBy("kind", "category").collect()}
+
+
 def tune_and_fit(
     train: DataFrame, validation: DataFrame, kind: str, trials: list[dict], **kwargs
 ) -> tuple[PipelineModel, DataFrame]:
     """Search, then fit the best parameters on all train and validation rows."""
     table = search(train, validation, kind, trials, **kwargs)
-    model = fit_gbt(train.unionByName(validation), kind, best_trial(table), kwargs.get("seed", SEED))
+    model = fit_boosted(train.unionByName(validation), kind, best_trial(table), kwargs.get("seed", SEED))
     return model, table

@@ -68,7 +68,7 @@ def train(
     csvs.write_trials(table, trials_path)
     best = models.best_trial(csvs.read_trials(spark, trials_path))
     rows = known if on_test_year else known.unionByName(judged)
-    models.save_model(models.fit_gbt(rows, kind, best, seed), model_path)
+    models.save_model(models.fit_boosted(rows, kind, best, seed), model_path)
     return best
 
 
@@ -126,10 +126,8 @@ def evaluate_ensemble(
     """
     frame = _frame(spark, panel_path, category)
     _, test = features.holdout(frame)
-    scored = [models.score(models.load_model(p), test) for p in model_paths]
-    keys = ["region", "acc_id", "year"]
-    mean = metrics.ensemble_mean(scored, tuple(keys))
-    both = mean.join(test.select(*keys, "realized", "budget"), keys)
+    scored = models.score_ensemble([models.load_model(p) for p in model_paths], test)
+    both = scored.select("region", "acc_id", "year", "prediction", "realized", "budget")
     if out_dir is None:
         return metrics.compare(both, "realized", ["prediction", "budget"])
     both = stored(both)

@@ -194,7 +194,7 @@ def _errors(y: str, f: str) -> str:
     return ", ".join(columns)
 
 
-def _describe(name: str, x: str, digits: int, all_rounded: bool = False) -> str:
+def _describe(name: str, x: str, digits: int, all_rounded: bool = False, by: str = "") -> str:
     low, high = f"CAST(MIN({x}) AS DOUBLE)", f"CAST(MAX({x}) AS DOUBLE)"
     if all_rounded:
         low, high = f"round({low}, {digits})", f"round({high}, {digits})"
@@ -203,7 +203,7 @@ def _describe(name: str, x: str, digits: int, all_rounded: bool = False) -> str:
         for p, q in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
     )
     return (
-        f"SELECT '{name}' AS series, COUNT({x}) AS count, round(AVG({x}), {digits}) AS mean, "
+        f"SELECT {by + ', ' if by else ''}'{name}' AS series, COUNT({x}) AS count, round(AVG({x}), {digits}) AS mean, "
         f"round(stddev_samp({x}), {digits}) AS std, {low} AS min, {quartiles}, {high} AS max"
     )
 
@@ -529,6 +529,16 @@ GROUP BY GROUPING SETS ((year), (region, year))""",
         "panel",
         slacked="SELECT *, CASE WHEN budget = 0 THEN 0 ELSE budget - realized END AS slack FROM panel",
     ),
+    "describe_by_region_year": sql(
+        " UNION ALL ".join(
+            _describe(n, n, 4, by="region, year") + " FROM slacked GROUP BY region, year" for n in ("budget", "realized", "slack")
+        ),
+        "panel",
+        slacked="SELECT *, CASE WHEN budget = 0 THEN 0 ELSE budget - realized END AS slack FROM panel",
+    ),
+    "describe_lines_by_flag": " UNION ALL ".join(
+        _describe(n, n, 4, by="l_returnflag") + " FROM lineitem GROUP BY l_returnflag" for n in ("l_extendedprice", "l_quantity")
+    ),
     "describe_line_amounts": " UNION ALL ".join(
         _describe(n, n, 4) + " FROM lineitem" for n in ("l_extendedprice", "l_quantity", "l_discount")
     ),
@@ -688,10 +698,25 @@ WHERE length(word) > 0 GROUP BY word ORDER BY n DESC, word LIMIT 50""",
         known="SELECT * FROM tested WHERE realized_lag1 IS NOT NULL AND realized_lag2 IS NOT NULL",
     ),
     "best_of_trials": sql(
-        """SELECT CAST(regexp_extract(region, '\\d+') AS INT) AS trial, CAST(COUNT(*) AS INT) AS rounds,
-    round(AVG(abs(realized - realized_lag1) * abs(realized - realized_lag1)), -2) AS mse
-    FROM tested WHERE realized_lag1 IS NOT NULL GROUP BY region ORDER BY mse, trial LIMIT 1""",
+        """SELECT CASE WHEN trial % 2 = 0 THEN trial / 100 END AS learning_rate, trees FROM (
+    SELECT CAST(regexp_extract(region, '\\d+') AS INT) AS trial, CAST(COUNT(*) AS INT) AS trees,
+      round(log10(AVG(abs(realized - realized_lag1) * abs(realized - realized_lag1))), 1) AS mse
+    FROM tested WHERE realized_lag1 IS NOT NULL GROUP BY region) ORDER BY mse, trial LIMIT 1""",
+        "tested",
+    ),
+    "early_stopping_picks": sql(
+        """SELECT region, best, stop, mse FROM stops JOIN kept USING (region) JOIN rounds USING (region)
+    WHERE rounds.round = best""",
         "tested",
+        rounds="""SELECT region, CAST(row_number() OVER (PARTITION BY region ORDER BY acc_id, year) AS INT) AS round,
+    abs(realized - realized_lag1) AS mse FROM tested WHERE realized_lag1 IS NOT NULL""",
+        judged="""SELECT *, coalesce(mse < min(mse) OVER (PARTITION BY region ORDER BY round
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS better FROM rounds""",
+        latest="""SELECT *, max(CASE WHEN better THEN round END) OVER (PARTITION BY region ORDER BY round) AS last
+    FROM judged""",
+        stops="""SELECT region, coalesce(min(CASE WHEN NOT better AND round - last >= 3 THEN round END), max(round)) AS stop
+    FROM latest GROUP BY region""",
+        kept="SELECT region, last AS best FROM latest JOIN stops USING (region) WHERE round = stop",
     ),
     "lag_ties": sql(
         """SELECT *, LAG(realized, 1) OVER w AS realized_lag1, LAG(realized, 2) OVER w AS realized_lag2

@@ -78,4 +78,13 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = f"{_own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._stored_at = path
+    return back
+
+
+def forget(df: DataFrame) -> None:
+    """Remove what ``stored`` wrote for ``df``; nothing for other frames."""
+    path = getattr(df, "_stored_at", None)
+    if path is not None:
+        _remove(df.sparkSession.sparkContext, path)

@@ -39,6 +39,66 @@ def test_two_passes_any_list(spark, monkeypatch, numbers):
     check(spark.createDataFrame([(v,) for v in numbers], "x double"), "x", numbers, accuracy=10)
 
 
+def by_group(rows, probabilities):
+    groups = {}
+    for g, v in rows:
+        if v is not None:
+            groups.setdefault(g, []).append(v)
+    return {g: list(np.quantile(v, probabilities)) for g, v in groups.items()}
+
+
+def test_quantiles_per_group_with_a_hot_and_a_null_group(spark):
+    generator = np.random.default_rng(4)
+    hot = [("hot", float(v)) for v in np.exp(generator.normal(0, 3, 9000))]
+    few = [(f"g{i % 40}", float(i)) for i in range(300)] + [(None, float(i % 7)) for i in range(500)] + [("none", None)]
+    df = spark.createDataFrame(hot + few, "g string, x double").repartition(4)
+    out = exact_quantiles(df, {"x": F.col("x")}, PROBABILITIES, accuracy=50, by=("g",), most=50).collect()
+    want = by_group(hot + few, PROBABILITIES)
+    assert {r["g"] for r in out} == set(want)
+    for r in out:
+        assert r["quantiles"] == pytest.approx(want[r["g"]], rel=1e-12)
+
+
+def test_heavy_tail_is_cut_into_parts_of_equal_depth(spark, monkeypatch):
+    """Nearly all values lie within a billionth of the range; no part has twice its share."""
+    generator = np.random.default_rng(5)
+    numbers = np.exp(generator.normal(0, 8, 20000))
+    df = spark.createDataFrame([(float(v),) for v in numbers], "x double").repartition(4)
+    parts, narrowed = [], quantiles._narrowed
+
+    def watched(cells, spots, large):
+        large_cells = cells.join(large, ["key", "place"], "left_semi")
+        sizes = large_cells.groupBy("key", "place").count().collect()
+        before = {r["place"]: r["count"] for r in sizes}
+        cells, spots = narrowed(cells, spots, large)
+        for r in cells.groupBy("place").count().collect():
+            whole = (r["place"] - quantiles.PARTS) // (quantiles.PARTS + 1)
+            if whole in before:
+                parts.append(r["count"] / (before[whole] / quantiles.PARTS))
+        return cells, spots
+
+    monkeypatch.setattr(quantiles, "_narrowed", watched)
+    row = exact_quantiles(df, {"x": F.col("x")}, PROBABILITIES, accuracy=20, most=40).first()
+    assert row["quantiles"] == pytest.approx(np.quantile(numbers, PROBABILITIES), rel=1e-12)
+    assert parts and max(parts) < 2
+
+
+def test_ranks_beyond_their_edges_are_read_again(spark, monkeypatch):
+    numbers = [float(v) ** 3 for v in range(5000)]
+    df = spark.createDataFrame([(v,) for v in numbers], "x double").repartition(3)
+    series, probabilities = {"x": F.col("x")}, [0.25, 0.5, 0.9]
+    table = quantiles.summaries(df, series, probabilities)
+    wrong = table.withColumn("edges", F.array(*[F.lit(float(e)) for e in (-2, -1, 8e9, 9e9, 1e12, 2e12)]))
+    row = quantiles.quantiles_of(df, series, probabilities, wrong, most=100).first()
+    assert row["quantiles"] == pytest.approx(np.quantile(numbers, probabilities), rel=1e-12)
+
+
+def test_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([(None, "a")], "x double, g string")
+    assert exact_quantiles(df, {"x": F.col("x")}, [0.5]).collect() == []
+    assert exact_quantiles(df.limit(0), {"x": F.col("x")}, [0.5], by=("g",)).collect() == []
+
+
 def test_probabilities_must_ascend(spark):
     with pytest.raises(ValueError, match="ascend"):
         exact_quantiles(spark.range(3), {"x": F.col("id")}, [0.5, 0.25])
@@ -60,6 +120,37 @@ def test_describe(spark):
     assert r["std"] == pytest.approx(np.std([1, 2, 3, 4], ddof=1))
 
 
+def test_describe_by_group(spark):
+    rows = [("a", 1, 4.0), ("a", 1, 6.0), ("a", 2, 1.0), (None, 1, 3.0), (None, 1, 5.0), ("b", 1, None)]
+    df = spark.createDataFrame(rows, "g string, y int, x double")
+    out = explore.describe(df, ["x"], by=("g", "y"))
+    assert out.columns[:4] == ["g", "y", "series", "count"]
+    assert values(out, "g", "y", "count", "mean", "min", "q25", "q50", "q75", "max") == [
+        (None, 1, 2, 4.0, 3.0, 3.5, 4.0, 4.5, 5.0),
+        ("a", 1, 2, 5.0, 4.0, 4.5, 5.0, 5.5, 6.0),
+        ("a", 2, 1, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0),
+        ("b", 1, 0, None, None, None, None, None, None),
+    ]
+
+
+def test_describe_scans_twice(spark, tmp_path):
+    path = str(tmp_path / "scanned_source")
+    spark.range(5000).selectExpr("id % 3 AS g", "id * id AS x").write.parquet(path)
+    scans = []
+    original = explore.stored
+
+    def counted(df):
+        scans.append(df._jdf.queryExecution().executedPlan().toString().count(path.rsplit("/", 1)[-1]))
+        return original(df)
+
+    explore.stored, quantiles.stored = counted, counted
+    try:
+        assert explore.describe(spark.read.parquet(path), ["x"], by=("g",)).count() == 3
+    finally:
+        explore.stored, quantiles.stored = original, original
+    assert sum(1 for s in scans if s) == 2
+
+
 def test_clip_keeps_the_edges(spark):
     df = spark.createDataFrame([(float(v),) for v in range(101)] + [(None,)], "x double")
     kept = explore.clip_quantiles(df, "x")

@@ -1,10 +1,11 @@
+import json
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
 from slackline.fixed_values import SEARCH_SPACES
-from slackline.operators import features, metrics, models
+from slackline.operators import boosting, features, metrics, models
 from slackline.plans import jobs
 from slackline.session import stored
 from slackline.sources import csvs
@@ -52,13 +53,6 @@ def test_fit_is_deterministic_and_beats_the_mean(frame, kind):
     assert all(math.isfinite(r["prediction"]) for r in scored.collect())
 
 
-def test_best_round_waits_for_its_patience():
-    errors = [5.0, 4.0, 4.5, 4.2, 3.0, 3.5]
-    assert models.best_round(errors, patience=3) == 4
-    assert models.best_round(errors, patience=2) == 1
-    assert models.best_round([1.0]) == 0
-
-
 def test_round_errors_are_the_errors_of_shorter_fits(frame):
     train, validation, _ = models.validation_split(frame)
     long = models.fit_gbt(train, "xgboost", PARAMS)
@@ -68,13 +62,80 @@ def test_round_errors_are_the_errors_of_shorter_fits(frame):
     assert metrics.evaluate(short, "realized", "prediction").first()["mse"] == pytest.approx(errors[1])
 
 
-def test_early_stopping_keeps_the_best_rounds(frame, monkeypatch):
+def test_early_stops_wait_for_their_patience(spark):
+    errors = {1: [5.0, 4.0, 4.5, 4.2, 3.0, 3.5], 2: [1.0], 3: [2.0, 2.0, 2.0, 1.0]}
+    rows = [(t, i + 1, e) for t, es in errors.items() for i, e in enumerate(es)]
+    df = spark.createDataFrame(rows, "trial int, round int, mse double")
+    assert values(boosting.early_stops(df, 3)) == [(1, 5, 6, 3.0), (2, 1, 1, 1.0), (3, 4, 4, 1.0)]
+    assert values(boosting.early_stops(df, 2)) == [(1, 2, 4, 4.0), (2, 1, 1, 1.0), (3, 1, 3, 2.0)]
+    assert boosting.early_stops(df.limit(0), 2).collect() == []
+
+
+def validation_error(model, df):
+    return metrics.evaluate(models.score(model, df), "realized", "prediction").first()["mse"]
+
+
+def test_early_stopping_fits_no_round_beyond_its_patience(spark, frame):
+    train, validation, _ = models.validation_split(frame)
+    params = {"trees": 400, "max_depth": 3, "learning_rate": 0.9}
+    grown = models.fit_early_stopped(train, validation, "xgboost", params, patience=3)
+    assert grown.rounds == grown.best + 3 < 400
+    assert len(grown.errors) == grown.rounds
+    assert grown.error == min(grown.errors) == grown.errors[grown.best - 1]
+    # The model that is kept has the error that was recorded, for every number of rounds.
+    assert grown.model().stages[-1].getNumTrees == grown.best + 1
+    for rounds in (1, grown.best, grown.rounds):
+        assert validation_error(grown.model(rounds), validation) == pytest.approx(grown.errors[rounds - 1])
+    table = spark.createDataFrame([(1, i + 1, e) for i, e in enumerate(grown.errors)], "trial int, round int, mse double")
+    assert values(boosting.early_stops(table, 3)) == [(1, grown.best, grown.rounds, grown.error)]
+    patient = models.fit_early_stopped(train, validation, "xgboost", params | {"trees": 5}, patience=100)
+    assert patient.rounds == 5 and patient.errors == pytest.approx(grown.errors[:5])
+
+
+def test_growing_on_is_growing_at_once(frame, monkeypatch):
+    train, validation, _ = models.validation_split(frame)
+    params = {"trees": 7, "max_depth": 3, "learning_rate": 0.4, "subsample": 0.8}
+    once = models.fit_early_stopped(train, validation, "hgb", params)
+    monkeypatch.setattr(boosting, "BLOCK", 2)
+    prepared, rows, bins = models._growing(train, validation, "hgb")
+    steps = boosting.Boosted(prepared, rows, params, bins)
+    for until in (1, 4, 5, 7):
+        assert steps.grow(until).rounds == until
+    assert steps.grow().ended
+    assert steps.errors == pytest.approx(once.errors)
+    assert boosting.Boosted(prepared, rows, params, bins).grow().errors == pytest.approx(once.errors)
+
+
+def test_stopped_model_is_saved_and_loaded(frame, tmp_path):
+    train, validation, _ = models.validation_split(frame)
+    grown = models.fit_early_stopped(train, validation, "hgb", PARAMS, patience=2)
+    models.save_model(grown.model(), str(tmp_path / "model"))
+    assert validation_error(models.load_model(str(tmp_path / "model")), validation) == pytest.approx(grown.error)
+
+
+def test_no_validation_rows_grow_all_rounds(frame):
     train, validation, _ = models.validation_split(frame)
-    monkeypatch.setattr(models, "round_errors", lambda model, df: [3.0, 2.0, 2.5, 2.6, 1.0])
-    stopped = models.fit_early_stopped(train, validation, "xgboost", PARAMS, patience=2)
-    assert stopped.stages[-1].getNumTrees == 2
-    patient = models.fit_early_stopped(train, validation, "xgboost", PARAMS, patience=100)
-    assert patient.stages[-1].getNumTrees == 5
+    assert models.fit_boosted(train, "xgboost", PARAMS).stages[-1].getNumTrees == 6
+    empty = models.fit_early_stopped(train, validation.limit(0), "xgboost", PARAMS, patience=1)
+    assert empty.rounds == empty.best == 5 and empty.errors == []
+    with pytest.raises(ValueError, match="patience"):
+        models.fit_early_stopped(train, validation, "xgboost", PARAMS, patience=0)
+
+
+def test_halving_goes_on_with_the_best_sets(frame):
+    train, validation, _ = models.validation_split(frame)
+    drawn = models.draw_trials("hgb", 7, seed=4)
+    trials = [t | {"learning_rate": 0.6 + i / 20, "min_leaf": 1 + i} for i, t in enumerate(drawn)]
+    run = lambda: models.search(train, validation, "hgb", trials, parallelism=4, patience=2, first=1, factor=2)
+    rows = sorted(run().collect(), key=lambda r: r["trial"])
+    for given, row in zip(trials, rows, strict=True):
+        assert {k: row[k] for k in given} == pytest.approx(given)
+    # 7 sets start, then 4, 2 and 1; each rung has twice the rounds, the last one runs to its end.
+    assert sorted(r["rung"] for r in rows) == [0, 0, 0, 1, 1, 2, 3]
+    assert all(r["fitted"] <= 2 ** r["rung"] for r in rows if r["rung"] < 3)
+    last = next(r for r in rows if r["rung"] == 3)
+    assert last["fitted"] == min(last["rounds"] + 2, last["trees"])
+    assert values(run()) == [tuple(r) for r in rows]
 
 
 def test_unknown_level(frame):
@@ -196,8 +257,14 @@ def test_the_refitted_model_is_the_one_that_was_judged(frame):
     row = table.first()
     best = models.best_trial(table)
     assert best["trees"] == row["rounds"]
-    scored = models.score(models.fit_gbt(train, "hgb", best), validation)
-    assert metrics.evaluate(scored, "realized", "prediction").first()["mse"] == pytest.approx(row["mse"])
+    assert row["fitted"] <= row["rounds"] + 1
+    assert validation_error(models.fit_boosted(train, "hgb", best), validation) == pytest.approx(row["mse"])
+
+
+def test_best_trial_of_ties_and_missing_parameters(spark):
+    schema = "trial int, learning_rate double, subsample double, rung int, fitted int, rounds int, mse double"
+    rows = [(2, 0.2, 0.5, 1, 9, 7, 1.0), (1, 0.1, None, 0, 4, 3, 1.0), (0, 0.3, 0.9, 0, 4, 4, 2.0)]
+    assert models.best_trial(spark.createDataFrame(rows, schema)) == {"learning_rate": 0.1, "trees": 3}
 
 
 def test_no_trials_raise(frame):
@@ -206,12 +273,60 @@ def test_no_trials_raise(frame):
         models.best_trial(models.search(train, validation, "hgb", []))
 
 
-def test_parameter_files(tmp_path):
-    path = str(tmp_path / "params.json")
-    models.write_params({"trees": 250.0, "learning_rate": 0.05, "max_depth": 4}, path)
-    assert models.read_params(path) == {"trees": 250, "learning_rate": 0.05, "max_depth": 4}
-    (tmp_path / "other.json").write_text('{"n_estimators": 300, "colsample_bytree": 0.5, "alpha": 1}')
-    assert models.read_params(str(tmp_path / "other.json")) == {"trees": 300, "colsample": 0.5, "alpha": 1}
+def test_parameter_files(spark, tmp_path):
+    path = str(tmp_path / "params")
+    models.write_params(spark, {"trees": 250.0, "learning_rate": 0.05, "max_depth": 4}, path)
+    assert models.read_params(spark, path) == {"trees": 250, "learning_rate": 0.05, "max_depth": 4}
+    (tmp_path / "other.json").write_text('{\n "n_estimators": 300,\n "colsample_bytree": 0.5, "alpha": 1}\n')
+    assert models.read_params(spark, str(tmp_path / "other.json")) == {"trees": 300, "colsample": 0.5, "alpha": 1}
+    (tmp_path / "list.json").write_text("[1]")
+    with pytest.raises(ValueError, match="one JSON object"):
+        models.read_params(spark, str(tmp_path / "list.json"))
+    (tmp_path / "empty.json").write_text("")
+    with pytest.raises(ValueError, match="found none"):
+        models.read_params(spark, str(tmp_path / "empty.json"))
+
+
+FOREIGN = {
+    "xgboost": {"learning_rate": 0.2, "colsample_bytree": 0.7, "max_depth": 3, "alpha": 0.1, "lambda": 2.0, "subsample": 0.9, "n_estimators": 6},
+    "catboost": {
+        "learning_rate": 0.1, "colsample_bylevel": 0.19, "depth": 2, "boosting_type": "Plain", "l2_leaf_reg": 3.5,
+        "iterations": 5, "bootstrap_type": "MVS",
+    },
+    "hgb": {"learning_rate": 0.09, "max_iter": 7, "max_depth": 4, "min_samples_leaf": 2, "l2_regularization": 0.0},
+}
+
+
+def test_a_folder_of_parameter_files_is_imported_and_refitted(spark, frame, tmp_path):
+    categories = ["Alle", "Aufwand", "Ertrag", "Finanz_Ertrag", "Ausserordentlicher_Aufwand", "Ausserordentlicher_Ertrag", "Investitionsausgaben", "Investitionseinnahmen"]
+    for kind, params in FOREIGN.items():
+        for category in categories:
+            (tmp_path / f"hyperparams_{kind}_{category}.json").write_text(json.dumps(params))
+    (tmp_path / "notes.txt").write_text("not a parameter file")
+    found = models.read_param_files(spark, str(tmp_path))
+    assert len(found) == 24
+    assert set(found) == {(k, c.replace("_", " ")) for k in FOREIGN for c in categories}
+    trees = {"xgboost": 6, "catboost": 5, "hgb": 7}
+    train, _, test = models.validation_split(frame)
+    for kind in FOREIGN:
+        params = found[(kind, "Finanz Ertrag")]
+        assert params["trees"] == trees[kind]
+        model = models.fit_boosted(train, kind, params)
+        assert model.stages[-1].getNumTrees == trees[kind] + 1
+        assert all(math.isfinite(r["prediction"]) for r in models.score(model, test).collect())
+
+
+def test_ensemble_scores_rows_without_a_match(spark, frame):
+    train, _, test = models.validation_split(frame)
+    fitted = [models.fit_gbt(train, kind, PARAMS) for kind in ("xgboost", "hgb")]
+    test = stored(test)
+    twice = test.union(test)
+    both = models.score_ensemble(fitted, twice)
+    assert both.count() == 2 * test.count()
+    assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString()
+    by_key = metrics.ensemble_mean([models.score(m, test) for m in fitted])
+    keys = ("region", "acc_id", "year", "prediction")
+    assert values(both.distinct(), *keys) == pytest.approx(values(by_key, *keys))
 
 
 def test_a_key_predicted_twice_raises(spark):

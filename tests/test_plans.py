@@ -6,7 +6,7 @@ from slackline.plans import fixtures as fx
 from slackline.plans.queries import REGISTRY
 from tests.conftest import TABLES
 
-MODELS = {"gbt_forecast", "random_search", "ensemble_mean"}
+MODELS = {"gbt_forecast", "random_search", "ensemble_mean", "early_stopped_rounds"}
 TESTS_WITH_P = {n for n in REGISTRY if n.startswith(("welch", "chi_square"))}
 
 
