@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from slackline.fixed_values import ARM_AI, ARM_NO_AI, CONSENT, SENTIMENTS
 from slackline.functions.joins import lookup_join
 from slackline.schema import inline_table
+from slackline.session import fresh_path
 from slackline.sources.text import split_lines
 
 
@@ -289,3 +290,56 @@ def sheet_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(F.concat("standard", F.lit("_KT_"), "code"))
     path = F.concat(F.lit("/ledger/"), y, F.lit("/"), sheet, F.lit(".csv"))
     return sheets.select(path.alias("path"), sheet.alias("sheet"), lines.alias("lines"))
+
+
+def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, sheet, line_no, line): the sheets, line by line."""
+    sheets = sheet_exports(spark, sf_dir)
+    lines = sheets.select("path", "sheet", F.posexplode("lines").alias("line_no", "line"))
+    return lines.withColumn("line_no", F.col("line_no").cast("long"))
+
+
+def sheet_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with a file per sheet, named by its folder."""
+    folder = fresh_path(spark)
+    sheets = sheet_exports(spark, sf_dir).select(
+        F.regexp_extract("path", r"/(\d{4})/", 1).alias("year"), "sheet", F.array_join("lines", "\n").alias("value")
+    )
+    sheets.repartition("year", "sheet").write.partitionBy("year", "sheet").text(folder)
+    return folder
+
+
+def panel_mark():
+    """A number per key by which some rows are spoilt."""
+    return F.col("acc_id") * 31 + F.col("year") + F.regexp_extract("region", r"\d+", 0).cast("int")
+
+
+def panel_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with a CSV file per year of the panel, in two layouts, with malformed rows.
+
+    Some rows have a cell too many or too few or bytes that are no text, every file ends
+    with a quote that nothing closes, and names hold separators, quotes and line breaks.
+    """
+    folder = fresh_path(spark)
+    acc, mark = F.col("acc_id").cast("string"), panel_mark()
+    name = F.when(mark % 3 == 0, F.concat(F.lit('"Konto, '), acc, F.lit('"'))).when(
+        mark % 3 == 1, F.concat(F.lit('"a ""b""\n'), acc, F.lit('"'))
+    ).otherwise(F.concat(F.lit("5 inch "), acc, F.lit('"')))
+    name = F.when(mark % 29 == 0, F.concat(F.lit("Stra"), F.unhex(F.lit("DF")).cast("string"), F.lit("e"))).otherwise(name)
+    budget, realized = (F.col(c).cast("decimal(18,2)").cast("string") for c in ("budget", "realized"))
+    # concat_ws leaves out a NULL: the last cell and its separator.
+    region = F.when(mark % 17 == 0, F.concat("region", F.lit(",extra"))).when(mark % 19 != 0, F.col("region"))
+    year = F.col("year").cast("string")
+    new = F.concat_ws(",", acc, name, year, budget, realized, region)
+    old = F.concat_ws(",", realized, budget, year, acc, region)
+    line = F.when(F.col("year") % 2 == 0, new).otherwise(old)
+    header = F.when(F.col("year") % 2 == 0, "Acc-ID,Name,Year,Budget y,Realized,Region").otherwise(
+        "Realized,Budget y,Year,Acc-ID,Region"
+    )
+    files = (
+        panel(spark, sf_dir).withColumn("line", line)
+        .groupBy("year").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+        .select("year", F.concat(header, F.lit("\n"), F.array_join("lines", "\n"), F.lit('\n"never closed,1\n')).alias("value"))
+    )
+    files.repartition("year").write.partitionBy("year").text(folder)
+    return folder

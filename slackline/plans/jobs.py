@@ -19,8 +19,9 @@ def build_panels(
 
     Writes ``single_digit``, ``double_digit`` and ``rejects`` below ``out_dir``.
     """
-    located = sheets.located_sheets(sheets.parse_sheets(sheets.read_sheets(spark, sheet_dir)), separator)
-    rows = stored(ledger.clean_rows(sheets.sheet_rows(located, separator)))
+    lines = stored(sheets.read_sheets(spark, sheet_dir, separator=separator))
+    located = stored(sheets.located_sheets(lines, separator))
+    rows = stored(ledger.clean_rows(sheets.sheet_rows(lines, located, separator)))
     chosen = ledger.prefer_standard(rows, mode)
     for level, name in ((1, "single_digit"), (2, "double_digit")):
         panel = ledger.finalize(ledger.sum_collisions(chosen.where(F.col("level") == level)))

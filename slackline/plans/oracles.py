@@ -31,6 +31,11 @@ JOIN nation n ON n.n_nationkey = s.s_nationkey JOIN part p ON p.p_partkey = l.l_
 GROUP BY n.n_name, p.p_size, year(l.l_shipdate){group}"""
 
 
+MARKED = """
+SELECT *, CASE WHEN year % 2 = 0 AND mark % 29 = 0 THEN 'undecodable text'
+  WHEN mark % 17 = 0 THEN 'more cells than the header' WHEN mark % 19 = 0 THEN 'fewer cells than the header' END AS reason
+FROM (SELECT *, acc_id * 31 + year + CAST(regexp_extract(region, '\\d+') AS INT) AS mark FROM panel)"""
+
 STANDARD = "CASE l.l_linestatus WHEN 'F' THEN 'HRM2' ELSE 'HRM1' END"
 PANEL = _panel()
 PANEL_STD = _panel(f", {STANDARD} AS standard", ", l.l_linestatus")
@@ -490,6 +495,29 @@ FROM mapped WHERE regexp_matches(acc_id, '^[0-9]+$')""",
         sheets=SHEETS,
         mapped=MAPPED,
     ),
+    "sheets_from_files": sql(
+        """SELECT standard, region, year, ref_id, acc_id, name, round(budget, 6) AS budget, round(realized, 6) AS realized,
+  round(realized, 6) AS budget_next, round(CASE WHEN budget = 0 THEN 0 ELSE budget - realized END, 6) AS slack,
+  CAST(length(acc_id) AS INT) AS level
+FROM mapped WHERE regexp_matches(acc_id, '^[0-9]+$')""",
+        "panel_std", "xwalk",
+        sheets=SHEETS,
+        mapped=MAPPED,
+    ),
+    "csv_rows_from_files": sql(
+        """SELECT CAST(acc_id AS VARCHAR) AS acc_id, CASE WHEN year % 2 = 0 THEN CASE mark % 3
+    WHEN 0 THEN 'Konto, ' || acc_id WHEN 1 THEN 'a "b"' || chr(10) || acc_id ELSE '5 inch ' || acc_id || '"' END END AS name,
+  CAST(year AS VARCHAR) AS year, region, budget, realized, CAST(NULL AS DOUBLE) AS budget_next
+FROM marked WHERE reason IS NULL""",
+        "panel",
+        marked=MARKED,
+    ),
+    "csv_rejects_from_files": sql(
+        """SELECT year, reason, COUNT(*) AS n FROM (SELECT year, reason FROM marked WHERE reason IS NOT NULL
+  UNION ALL SELECT DISTINCT year, 'unclosed quote' FROM panel) GROUP BY year, reason""",
+        "panel",
+        marked=MARKED,
+    ),
     "union_by_name": sql(
         """SELECT CASE WHEN year >= 1999 THEN 'HRM2_' || acc_id ELSE 'HRM1' END AS ref_id, 'Missing Name' AS name,
   year, region, acc_id, realized, budget, budget_next, slack FROM panel_full""",

@@ -22,7 +22,7 @@ from slackline.operators import survey as sv
 from slackline.plans import fixtures as fx
 from slackline.schema import category_dim
 from slackline.session import stored
-from slackline.sources import sheets
+from slackline.sources import csvs, sheets
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -197,10 +197,9 @@ def numeric_clean_slack(spark, sf):
     return ledger.with_level(ledger.zeros_for_null(cleaned))
 
 
-@query
-def sheet_header_map(spark, sf):
-    located = sheets.located_sheets(sheets.parse_sheets(fx.sheet_exports(spark, sf)))
-    rows = ledger.clean_rows(sheets.sheet_rows(located))
+def mapped_sheets(lines: DataFrame) -> DataFrame:
+    lines = stored(lines)
+    rows = ledger.clean_rows(sheets.sheet_rows(lines, sheets.located_sheets(lines)))
     return rounded(
         rows.select(
             "standard", "region", "year", "ref_id", "acc_id", "name",
@@ -210,6 +209,33 @@ def sheet_header_map(spark, sf):
     )
 
 
+@query
+def sheet_header_map(spark, sf):
+    return mapped_sheets(fx.sheet_lines(spark, sf))
+
+
+@query
+def sheets_from_files(spark, sf):
+    """The same sheets, written as files and read back."""
+    files = sheets.read_sheets(spark, fx.sheet_files(spark, sf), "*.txt", name=r"/sheet=([^/]+)/")
+    return mapped_sheets(files)
+
+
+@query
+def csv_rows_from_files(spark, sf):
+    """The good rows of written CSV files of two layouts, some rows malformed."""
+    panel_rows, _ = csvs.read_union_by_name(spark, fx.panel_files(spark, sf), "*.txt")
+    return panel_rows.select("acc_id", "name", "year", "region", "budget", "realized", "budget_next")
+
+
+@query
+def csv_rejects_from_files(spark, sf):
+    """The malformed rows of the same files, counted by year of the path and reason."""
+    _, rejects = csvs.read_union_by_name(spark, fx.panel_files(spark, sf), "*.txt")
+    year = F.regexp_extract("path", r"year=(\d+)", 1).cast("int").alias("year")
+    return rejects.groupBy(year, "reason").agg(F.count("*").alias("n"))
+
+
 @query
 def union_by_name(spark, sf):
     rows = full_panel(panel(spark, sf)).withColumn("name", F.lit(None).cast("string"))

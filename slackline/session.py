@@ -70,13 +70,18 @@ def _remove(context, folder: str) -> None:
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh_path(spark: SparkSession) -> str:
+    """A path of its own in the shared folder; it is removed when Python ends."""
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     For a frame that is used more than once: it is computed once, a lost executor costs a
     read, and Catalyst knows its true size. What an application stores goes when it ends.
     """
-    path = f"{_own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession)
     df.write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._stored_at = path

@@ -1,4 +1,9 @@
-"""Cells of one text line."""
+"""Records and cells of delimited text, as expressions.
+
+A quote opens a quoted cell only where the cell begins, and closes it only where the cell ends;
+two quotes inside are one. All patterns use possessive loops, which neither backtrack nor recurse,
+so a line may have any number of cells and of quotes.
+"""
 
 from __future__ import annotations
 
@@ -11,51 +16,42 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def split_records(text: Column) -> Column:
-    """Lines of a whole text; a line break inside double quotes does not end a line.
-
-    Lines with an odd number of quotes take turns opening and closing a quoted part. The
-    lines from an opening one to the closing one are one record, joined by a line feed. A
-    quote that nothing closes leaves the lines after it as they are.
-    """
-    lines = F.split(text, "\r\n|\n|\r")
+def _patterns(separator: str) -> tuple[str, str, str]:
+    """(separator, inside of a quoted cell, its closing quote)."""
+    if len(separator) != 1 or separator in ' "\n\r':
+        raise ValueError(f"unsupported separator: {separator!r}")
+    mark = f"\\x{ord(separator):02x}" if ord(separator) < 256 else separator
+    end = f'" *+(?:(?={mark})|\\z)'
+    return mark, f'(?:[^"]++|""|"(?! *+(?:{mark}|\\z)))*+', end
 
-    def odd(line: Column) -> Column:
-        return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
-    def joined(cut: Column) -> Column:
-        odds = F.filter(F.sequence(F.lit(0), F.size(cut) - 1), lambda i: odd(F.get(cut, i)))
-        pairs = F.floor(F.size(odds) / 2).cast("int")
-        # From each opening line to its closing one; other lines stand alone.
-        spans = F.transform(
-            F.sequence(F.lit(0), pairs - 1),
-            lambda k: F.struct(F.get(odds, 2 * k).alias("a"), F.get(odds, 2 * k + 1).alias("b")),
-        )
-        none = F.array().cast("array<struct<a:int,b:int>>")
+def opens(line: Column, separator: str = ",") -> Column:
+    """Whether a quoted cell is still open at the end of ``line``."""
+    return line.rlike(_opens(separator))
 
-        def records(found: Column) -> Column:
-            def record(i: Column) -> Column:
-                own = F.get(F.filter(found, lambda s: s["a"] == i), F.lit(0))
-                inner = F.exists(found, lambda s: (s["a"] < i) & (i <= s["b"]))
-                whole = F.array_join(F.slice(cut, i + 1, own["b"] - own["a"] + 1), "\n")
-                return F.when(inner, F.lit(None).cast("string")).otherwise(
-                    F.when(own.isNotNull(), whole).otherwise(F.get(cut, i))
-                )
 
-            return F.array_compact(F.transform(F.sequence(F.lit(0), F.size(cut) - 1), record))
+def _opens(separator: str) -> str:
+    mark, inside, end = _patterns(separator)
+    cell = f'(?: *+"{inside}{end}{mark}|(?! *+")[^{mark}]*+{mark})*+'
+    return f'\\A{cell} *+"{inside}\\z'
 
-        return bind(F.when(pairs > 0, spans).otherwise(none), lambda s: F.when(F.size(s) == 0, cut).otherwise(records(s)))
 
-    return bind(lines, joined)
+def stays_open(line: Column, separator: str = ",") -> Column:
+    """Whether a quoted cell is open at the end of ``line`` if one is open at its beginning."""
+    mark, inside, end = _patterns(separator)
+    return line.rlike(f'\\A{inside}(?:\\z|{end}{mark}{_opens(separator)[2:]})')
 
 
 def split_cells(line: Column, separator: str = ",") -> Column:
-    """Cells of one line; a separator inside double quotes does not split."""
-    mark = {"\t": r"\t", "|": r"\|"}.get(separator, separator)
-    raw = F.split(line, mark + r'(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
-    return F.transform(
-        raw,
-        lambda c: F.replace(
-            F.regexp_replace(F.trim(c), '(?s)^"(.*)"$', "$1"), F.lit('""'), F.lit('"')
-        ),
+    """Cells of one record, trimmed, without their quotes; a quote that nothing closes is text."""
+    mark, inside, end = _patterns(separator)
+    found = F.regexp_extract_all(
+        F.concat(F.lit(separator), line), F.lit(f'{mark}( *+"{inside}{end}|[^{mark}]*+)'), F.lit(1)
     )
+
+    def plain(cell: Column) -> Column:
+        quoted = cell.startswith('"') & cell.endswith('"') & (F.length(cell) > 1)
+        body = F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+        return F.when(quoted, body).otherwise(cell)
+
+    return F.transform(found, lambda c: bind(F.trim(c), plain))

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from slackline.functions.numbers import to_number
-from slackline.operators import ledger
 from slackline.schema import (
     FINAL_COLUMNS,
     LEXICON_RESULT_SCHEMA,
@@ -15,8 +13,7 @@ from slackline.schema import (
     PANEL_TYPES,
     POLARITY_RESULT_SCHEMA,
 )
-from slackline.session import stored
-from slackline.sources.cells import split_cells
+from slackline.sources.records import cell, malformed, read_table
 
 HEADER_NAMES = {name: header for header, name in PANEL_HEADERS.items()}
 
@@ -30,62 +27,32 @@ def list_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     return files.select("path", "length").withColumn("usable", F.col("path").rlike(f"{glob}$"))
 
 
-def file_headers(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
-    """(path, header, reason) of every matching file; ``reason`` is NULL for a usable one.
-
-    ``header`` holds the labels of the first row, quotes taken off. A file is usable if it
-    has a known label; columns with other labels are ignored, as by name they match nothing.
-    """
-    rows = spark.read.text(directory, pathGlobFilter=pattern).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
-        "value", F.monotonically_increasing_id().alias("position"),
-    )
-    first = rows.where("start = 0").groupBy("path").agg(F.min_by("value", "position").alias("line"))
-    labels = F.transform(split_cells(F.regexp_replace("line", "^\ufeff", "")), lambda c: F.trim(c))
-    known = F.exists("header", lambda c: c.isin(list(PANEL_HEADERS)))
-    reason = F.when(F.trim("line") == "", "empty file").when(~known, "unknown columns")
-    return first.select("path", "line", labels.alias("header")).select("path", "header", reason.alias("reason"))
-
-
 def read_union_by_name(
-    spark: SparkSession, directory: str, pattern: str
+    spark: SparkSession, directory: str, pattern: str, short_rows: str = "reject"
 ) -> tuple[DataFrame, DataFrame]:
     """(panel, rejects): all files of one name pattern, matched by column name.
 
-    Spark matches the columns of files with differing headers by position, so every distinct
-    header is read on its own, with line breaks inside quotes and only row 1 taken as
-    header, and the reads are united by name. A column a file lacks is NULL. The driver sees
-    the distinct headers, of which there are as many as the exports had layouts; file names
-    only reach it as paths to read, as in any listing.
+    Every row carries the header of its file, so files of any layouts are one read, and neither
+    headers nor paths reach the driver. A column a file lacks is NULL, a column of another label
+    is ignored. ``rejects`` (path, record_no, reason, record) has the files without a known label,
+    with the number 0, and every malformed row; with the panel's rows and the blank lines they are
+    all there is.
     """
-    headers = stored(file_headers(spark, directory, pattern))
-    groups = (
-        headers.where("reason IS NULL").groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-    )
-    parts = [_read_layout(spark, g["header"], sorted(g["paths"])) for g in groups]
-    panel = ledger.union_by_name(parts) if parts else spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in PANEL_TYPES.items()))
-    return panel, headers.where("reason IS NOT NULL").select("path", "reason")
-
-
-def _read_layout(spark: SparkSession, header: list[str], paths: list[str]) -> DataFrame:
-    """The known columns of files that share one header."""
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .csv(paths)
-    )
-    at = {label: i for i, label in reversed(list(enumerate(header)))}
+    heads, rows = read_table(spark, directory, pattern=pattern, short_rows=short_rows)
+    known = F.exists("header", lambda c: c.isin(list(PANEL_HEADERS)))
+    blank = F.forall("header", lambda c: c == "")
+    files = heads.where(~known).select(
+        "path", F.lit(0).cast("long").alias("record_no"), F.when(blank, "empty file").otherwise("unknown columns").alias("reason"),
+        F.lit(None).cast("string").alias("record"),
+    )
+    rows = rows.where(known)
 
     def column(name: str) -> Column:
-        label = HEADER_NAMES[name]
-        text = F.nullif(F.col(f"c{at[label]}"), F.lit("")) if label in at else F.lit(None).cast("string")
+        text = cell(HEADER_NAMES[name])
         return to_number(text) if PANEL_TYPES[name] == "double" else text
 
-    return rows.select(*[column(n).alias(n) for n in PANEL_TYPES])
+    panel = rows.where("reason IS NULL").select(*[column(n).alias(n) for n in PANEL_TYPES])
+    return panel, files.unionByName(malformed(rows))
 
 
 def write_panel(df: DataFrame, path: str) -> None:
@@ -97,12 +64,23 @@ def read_panel(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_panel_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A final panel in CSV with its published headers; differing headers raise."""
-    types = {"year": "int", "acc_id": "int"}
-    schema = ", ".join(f"`{HEADER_NAMES[c]}` {types.get(c, PANEL_TYPES[c])}" for c in FINAL_COLUMNS)
-    raw = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
-    return raw.select(*[F.col(f"`{HEADER_NAMES[c]}`").alias(c) for c in FINAL_COLUMNS])
+def _checked(spark: SparkSession, path: str, labels: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejects) of files that must have all ``labels`` in their header."""
+    heads, rows = read_table(spark, path)
+    lacks = heads.where(F.size(F.array_except(F.array(*[F.lit(x) for x in labels]), F.col("header"))) > 0).first()
+    if lacks is not None:
+        raise ValueError(f"CSV header of {lacks['path']} lacks one of {labels}: {lacks['header']}")
+    return rows.where("reason IS NULL"), malformed(rows)
+
+
+def read_panel_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(panel, rejects) of a final panel in CSV with its published headers; others raise.
+
+    A cell that is no number is NULL; malformed rows are rejects.
+    """
+    types = PANEL_TYPES | {"year": "int", "acc_id": "int"}
+    rows, rejects = _checked(spark, path, [HEADER_NAMES[c] for c in FINAL_COLUMNS])
+    return rows.select(*[cell(HEADER_NAMES[c]).try_cast(types[c]).alias(c) for c in FINAL_COLUMNS]), rejects
 
 
 def write_panel_csv(df: DataFrame, path: str) -> None:
@@ -142,17 +120,13 @@ def read_trials(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_survey(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A survey or demographics export with all cells as text; answers may span lines."""
-    text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (
-        spark.read.schema(text)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+def read_survey(spark: SparkSession, path: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(answers, rejects) of a survey or demographics export, all cells as text.
+
+    Answers may span lines. Further columns are ignored, a missing one raises.
+    """
+    rows, rejects = _checked(spark, path, columns)
+    return rows.select(*[cell(c).alias(c) for c in columns]), rejects
 
 
 def write_answers(df: DataFrame, column: str, path: str) -> None:

@@ -14,29 +14,32 @@ from slackline.fixed_values import (
     SHEET_NAME,
     ZERO_LABEL,
 )
-from slackline.sources.cells import bind, split_cells, split_records
+from slackline.functions.joins import lookup_join
+from slackline.sources.cells import bind, split_cells
+from slackline.sources.records import read_records
 
+FILE_NAME = r"([^/]+)\.[^./]*$"
 HRM1, HRM2_OLD, HRM2_NEW = "HRM1", "HRM2_TO_2018", "HRM2_FROM_2019"
 
 
-def read_sheets(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
-    """(path, sheet, lines) of every matching file below ``path``; blank lines count.
+def read_sheets(
+    spark: SparkSession, path: str, pattern: str = "*.csv", separator: str = ",", name: str = FILE_NAME
+) -> DataFrame:
+    """(path, sheet, line_no, line) of every matching file below ``path``; blank lines count.
 
     ``path`` of a row is the file's place below the input folder, so that digits above it
-    are no year. A line break inside double quotes does not end a line.
+    are no year, and ``sheet`` what ``name`` finds in it, by default the file's name. A line
+    break inside a quoted cell does not end a line. Files are read in blocks, whatever their size.
     """
-    files = spark.read.text(
-        path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern
-    )
-    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    records = read_records(spark, path, separator, pattern, recursive=True)
+    plain = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
     root = F.lit(path.rstrip("/").split("://")[-1].removeprefix("file:"))
     place = F.instr(plain, root)
     below = F.when(place > 0, F.substring(plain, place + F.length(root), F.length(plain))).otherwise(plain)
-    return files.select(
-        below.alias("path"),
-        F.regexp_extract(plain, r"([^/]+)\.[^./]*$", 1).alias("sheet"),
-        split_records(F.col("value")).alias("lines"),
-    )
+    return records.select(
+        below.alias("path"), F.regexp_extract(plain, name, 1).alias("sheet"), F.col("record_no").alias("line_no"),
+        F.col("record").alias("line"),
+    )
 
 
 def year_of_path(path: str | Column) -> Column:
@@ -70,31 +73,20 @@ def parse_sheets(sheets: DataFrame) -> DataFrame:
     return named.withColumn("layout", layout).withColumn("reason", reason)
 
 
-def _numbered(cells: Column) -> Column:
-    """Header cells as ``label#occurrence``, so that a repeated label is told apart."""
-    earlier = lambda c, i: F.size(F.filter(F.slice(cells, F.lit(1), i), lambda x: x == c))
-    return F.transform(
-        cells, lambda c, i: F.concat(c, F.lit("#"), (earlier(c, i) + 1).cast("string"))
-    )
-
-
 def header_positions(cells: Column, layout: Column, year: Column) -> Column:
     """1-based position of each wanted column, by layout and occurrence of the label."""
 
     def body(labels: Column) -> Column:
         def at(label: Column | str, occurrence: int = 1) -> Column:
             text = F.lit(label) if isinstance(label, str) else label.cast("string")
-            return F.nullif(
-                F.array_position(labels, F.concat(text, F.lit(f"#{occurrence}"))).cast("int"),
-                F.lit(0),
-            )
+            places = F.transform(labels, lambda c, i: F.when(c == text, i + 1))
+            return F.get(F.array_compact(places), F.lit(occurrence - 1))
 
         def name_in(which: str) -> Column:
             return F.coalesce(*[at(x) for x in NAME_LABELS[which]])
 
-        # A blank first cell is column 1, a blank second cell its second occurrence.
-        first_blank = F.get(labels, F.lit(0)) == "#1"
-        second_blank = F.get(labels, F.lit(1)) == "#2"
+        first_blank = F.get(labels, F.lit(0)) == ""
+        second_blank = first_blank & (F.get(labels, F.lit(1)) == "")
         new, older = layout == HRM2_NEW, layout == HRM2_OLD
         account = F.when(new, at(ACCOUNT_LABEL)).when(first_blank, F.lit(1)).when(
             ~older, at(ZERO_LABEL)
@@ -114,21 +106,25 @@ def header_positions(cells: Column, layout: Column, year: Column) -> Column:
             at(year + 1).alias("budget_next"),
         )
 
-    return bind(_numbered(cells), body)
+    return bind(cells, body)
 
 
-def located_sheets(parsed: DataFrame, separator: str = ",") -> DataFrame:
-    """Usable and rejected sheets with their header row resolved to column positions.
+def located_sheets(lines: DataFrame, separator: str = ",") -> DataFrame:
+    """A row per sheet of ``lines``, with its header row resolved to column positions.
 
-    A sheet is one record, so its header is at hand without a join or a shuffle.
+    Only the lines up to the lowest header row of any layout are gathered per sheet.
     """
+    top = lines.where(F.col("line_no") <= max(HEADER_ROW.values()))
+    sheets = top.groupBy("path", "sheet").agg(
+        F.map_from_entries(F.collect_list(F.struct("line_no", "line"))).alias("top")
+    )
     row = F.coalesce(
         *[F.when(F.col("layout") == k, F.lit(v)) for k, v in HEADER_ROW.items()]
     )
-    header = split_cells(F.get("lines", row), separator)
+    parsed = parse_sheets(sheets).withColumn("header_row", row)
+    header = split_cells(F.try_element_at("top", F.col("header_row").cast("long")), separator)
     at = bind(header, lambda cells: header_positions(cells, F.col("layout"), F.col("year")))
-    # The one-element explode keeps Catalyst from evaluating the positions again per line.
-    located = parsed.select("*", row.alias("header_row"), F.explode(F.array(at)).alias("at"))
+    located = parsed.withColumn("at", at).drop("top")
     needed = ["acc_id", "budget", "realized", "budget_next"]
     missing = F.concat_ws(", ", *[F.when(F.col(f"at.{c}").isNull(), F.lit(c)) for c in needed])
     return located.withColumn(
@@ -141,11 +137,10 @@ def located_sheets(parsed: DataFrame, separator: str = ",") -> DataFrame:
     )
 
 
-def sheet_rows(located: DataFrame, separator: str = ",") -> DataFrame:
+def sheet_rows(lines: DataFrame, located: DataFrame, separator: str = ",") -> DataFrame:
     """Text cells of all usable sheets; the row right after the header is not data."""
     usable = located.where("reason IS NULL")
-    first = F.col("header_row") + 2
-    data = F.slice("lines", first + 1, F.greatest(F.size("lines") - first, F.lit(0)))
+    data = lookup_join(lines, usable, ["path", "sheet"]).where(F.col("line_no") > F.col("header_row") + 1)
     wanted = ["ref_id", "acc_id", "name", "budget", "realized", "budget_next"]
 
     def record(cells: Column) -> Column:
@@ -153,10 +148,9 @@ def sheet_rows(located: DataFrame, separator: str = ",") -> DataFrame:
             *[F.nullif(F.get(cells, F.col(f"at.{c}") - 1), F.lit("")).alias(c) for c in wanted]
         )
 
-    records = F.transform(data, lambda line: bind(split_cells(line, separator), record))
-    return usable.select(
-        "path", "sheet", "standard", "layout", "region", "year", F.inline(records)
-    )
+    # The one-element explode keeps Catalyst from splitting a line again per column.
+    records = F.array(bind(split_cells(F.col("line"), separator), record))
+    return data.select("path", "sheet", "standard", "layout", "region", "year", F.inline(records))
 
 
 def rejected(located: DataFrame) -> DataFrame:

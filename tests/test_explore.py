@@ -140,7 +140,7 @@ def test_describe_scans_twice(spark, tmp_path):
     original = explore.stored
 
     def counted(df):
-        scans.append(df._jdf.queryExecution().executedPlan().toString().count(path.rsplit("/", 1)[-1]))
+        scans.append(any("scanned_source" in f for f in df.inputFiles()))
         return original(df)
 
     explore.stored, quantiles.stored = counted, counted
@@ -148,7 +148,7 @@ def test_describe_scans_twice(spark, tmp_path):
         assert explore.describe(spark.read.parquet(path), ["x"], by=("g",)).count() == 3
     finally:
         explore.stored, quantiles.stored = original, original
-    assert sum(1 for s in scans if s) == 2
+    assert sum(scans) == 2
 
 
 def test_clip_keeps_the_edges(spark):

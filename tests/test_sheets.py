@@ -2,6 +2,7 @@ import pytest
 
 from slackline.operators import ledger
 from slackline.plans import jobs
+from slackline.session import stored
 from slackline.sources import csvs, sheets
 from tests.conftest import values
 
@@ -36,7 +37,7 @@ def folder(tmp_path):
 def test_names(spark):
     names = ["HRM2_KT_AG", "HRM2 KT_AG", "AG HRM1", "AG_HRM2", "HRM2KT_AG", "HRM2 alle", "Notes", "HRM_X"]
     frame = spark.createDataFrame(
-        [(f"/x/2015/{n}.csv", n, [""]) for n in names], "path string, sheet string, lines array<string>"
+        [(f"/x/2015/{n}.csv", n) for n in names], "path string, sheet string"
     )
     out = {r["sheet"]: r for r in sheets.parse_sheets(frame).collect()}
     for n in ("HRM2_KT_AG", "HRM2 KT_AG", "AG_HRM2", "HRM2KT_AG"):
@@ -54,11 +55,16 @@ def test_year_is_the_first_four_digits_of_the_path(spark):
 
 
 def located(spark, folder):
-    return sheets.located_sheets(sheets.parse_sheets(sheets.read_sheets(spark, folder)))
+    return sheets.located_sheets(sheets.read_sheets(spark, folder))
+
+
+def rows_of(spark, folder):
+    lines = stored(sheets.read_sheets(spark, folder))
+    return sheets.sheet_rows(lines, sheets.located_sheets(lines))
 
 
 def test_every_layout_from_files(spark, folder):
-    out = ledger.clean_rows(sheets.sheet_rows(located(spark, folder)))
+    out = ledger.clean_rows(rows_of(spark, folder))
     assert values(out, "region", "year", "standard", "acc_id", "budget", "realized", "budget_next", "slack") == [
         ("AG", 2015, "HRM1", "3", 100.0, 90.0, 110.0, 10.0),
         ("AG", 2015, "HRM1", "34", 2.0, 1.0, 3.0, 1.0),
@@ -88,11 +94,12 @@ def test_rejects_carry_a_reason(spark, folder):
 
 
 def test_tab_separated_cells(spark):
+    text = HRM1_ZERO.replace("2016", "2015").replace("2017", "2016").replace(",", "\t")
     frame = spark.createDataFrame(
-        [("/2015/HRM1_KT_AG.csv", "HRM1_KT_AG", [t.replace(",", "\t") for t in HRM1_ZERO.replace("2016", "2015").replace("2017", "2016").split("\n")])],
-        "path string, sheet string, lines array<string>",
+        [("/2015/HRM1_KT_AG.csv", "HRM1_KT_AG", i, line) for i, line in enumerate(text.split("\n"))],
+        "path string, sheet string, line_no long, line string",
     )
-    rows = sheets.sheet_rows(sheets.located_sheets(sheets.parse_sheets(frame), "\t"), "\t")
+    rows = sheets.sheet_rows(frame, sheets.located_sheets(frame, "\t"), "\t")
     assert values(rows.where("acc_id IS NOT NULL"), "acc_id", "name", "budget") == [("38", "Rest", "10")]
 
 
@@ -116,20 +123,20 @@ def test_cells_with_line_breaks(spark, tmp_path):
     target = tmp_path / "2015" / "HRM1_KT_AG.csv"
     target.parent.mkdir(parents=True)
     target.write_text('note\n,,2015,2015,diff,2016\nunits,,,,,\n3,"Auf\nwand, x",100,90,1,110\n30,"a ""b""",1,2,0,3\n31,"c\n\nd",4,5,0,6\n')
-    rows = sheets.sheet_rows(located(spark, str(tmp_path)))
+    rows = rows_of(spark, str(tmp_path))
     assert values(rows.where("acc_id IS NOT NULL"), "acc_id", "name", "budget") == [
         ("3", "Auf\nwand, x", "100"), ("30", 'a "b"', "1"), ("31", "c\n\nd", "4"),
     ]
 
 
-def test_an_unclosed_quote_takes_no_rows(spark):
-    from pyspark.sql import functions as F
-
-    from slackline.sources.cells import split_records
-
-    df = spark.createDataFrame([('a\nb "c\nd\ne',), ("",), ('"x\ny"\r\nz',)], "t string")
-    got = [r["r"] for r in df.select(split_records(F.col("t")).alias("r")).collect()]
-    assert got == [["a", 'b "c', "d", "e"], [""], ['"x\ny"', "z"]]
+def test_a_line_of_very_many_quoted_cells(spark, tmp_path):
+    target = tmp_path / "2015" / "HRM1_KT_AG.csv"
+    target.parent.mkdir(parents=True)
+    wide = ",".join(['"x, ""y"""'] * 50_000)
+    target.write_text(f"note\n,,2015,2015,diff,2016,{wide}\nunits,,,,,\n3,Aufwand,100,90,1,110,{wide}\n" + "4,Rest,1,2,0,3\n" * 2000)
+    rows = rows_of(spark, str(tmp_path)).where("acc_id IS NOT NULL")
+    assert rows.count() == 2001
+    assert values(rows.where("acc_id = '3'"), "name", "budget") == [("Aufwand", "100")]
 
 
 def test_digits_above_the_input_folder_are_no_year(spark, tmp_path):

@@ -1,11 +1,16 @@
+import csv
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from slackline.operators import survey
 from slackline.plans import jobs
 from slackline.schema import require_columns
-from slackline.sources import csvs
+from slackline.sources import csvs, records
 from slackline.sources import text as lines
+from slackline.sources.cells import split_cells
 from tests.conftest import values
 
 
@@ -85,11 +90,15 @@ def test_final_panel_csv_round_trip(spark, tmp_path):
     columns = "year int, region string, acc_id int, realized double, budget double, budget_next double, slack double"
     out = str(tmp_path / "final")
     csvs.write_panel_csv(spark.createDataFrame(row, columns).coalesce(1), out)
-    assert values(csvs.read_panel_csv(spark, out)) == row
+    panel, rejects = csvs.read_panel_csv(spark, out)
+    assert values(panel) == row and rejects.count() == 0
     other = str(tmp_path / "other")
-    csvs.write_panel_csv(spark.createDataFrame(row, columns).select("region", "year", *columns.split()[4::2]), other)
-    with pytest.raises(Exception, match="CSV header"):
-        csvs.read_panel_csv(spark, other).collect()
+    csvs.write_panel_csv(spark.createDataFrame(row, columns).select(*reversed(columns.split()[::2])), other)
+    assert values(csvs.read_panel_csv(spark, other)[0]) == row
+    lacking = str(tmp_path / "lacking")
+    csvs.write_panel_csv(spark.createDataFrame(row, columns).drop("slack"), lacking)
+    with pytest.raises(ValueError, match="CSV header"):
+        csvs.read_panel_csv(spark, lacking)
 
 
 def test_predictions_of_different_runs_do_not_collide(spark, tmp_path):
@@ -117,7 +126,8 @@ def test_trials_round_trip(spark, tmp_path):
 def test_survey_answers_may_span_lines(spark, tmp_path):
     path = tmp_path / "survey.csv"
     path.write_text('Consent,Explainer\nYes,"first line\nsecond, ""quoted"""\nNo,\n')
-    rows = csvs.read_survey(spark, str(path), ["Consent", "Explainer"])
+    rows, rejects = csvs.read_survey(spark, str(path), ["Consent", "Explainer"])
+    assert rejects.count() == 0
     assert values(rows) == [("No", None), ("Yes", 'first line\nsecond, "quoted"')]
 
 
@@ -201,3 +211,78 @@ def test_constants_with_quotes_and_backslashes(spark):
     odd = ["a\\b", "it's", 'x"y', "\\", "\\'"]
     assert values(inline_table(spark, [(x,) for x in odd], ["v"])) == sorted((x,) for x in odd)
     assert inline_table(spark, [], ["v", "w"]).columns == ["v", "w"]
+
+
+def test_malformed_rows_are_rejects_and_all_rows_add_up(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(
+        b"Acc-ID,Name,Year,Region\n3,fine,2011,AG\n4,too,2011,AG,many\n5,few,2011\n\n6,Stra\xdfe,2011,AG\n"
+        b'7,"two\nlines",2011,AG\n8,5 inch",2011,AG\n9,"a "b" c",2011,AG\n10,"never closed,2011,AG\n11,after it,2011,AG\n'
+    )
+    panel, rejects = csvs.read_union_by_name(spark, str(tmp_path), "*.csv")
+    assert values(panel, "acc_id", "name") == [
+        ("11", "after it"), ("3", "fine"), ("7", "two\nlines"), ("8", '5 inch"'), ("9", 'a "b" c'),
+    ]
+    assert values(rejects, "record_no", "reason") == [
+        (2, "more cells than the header"), (3, "fewer cells than the header"), (5, "undecodable text"), (9, "unclosed quote"),
+    ]
+    assert all(r["path"].endswith("a.csv") and r["record"] for r in rejects.collect())
+    kept, others = csvs.read_union_by_name(spark, str(tmp_path), "*.csv", short_rows="keep")
+    assert (kept.count(), others.count()) == (6, 3)
+    assert values(kept.where("acc_id = '5'"), "name", "region") == [("few", None)]
+    with pytest.raises(ValueError, match="short rows"):
+        csvs.read_union_by_name(spark, str(tmp_path), "*.csv", short_rows="drop")
+
+
+def test_malformed_survey_and_panel_rows(spark, tmp_path):
+    survey_file = tmp_path / "survey.csv"
+    survey_file.write_text('Consent,Explainer\nYes,ok\nNo,too,many\nYes\nNo,"open\n')
+    rows, rejects = csvs.read_survey(spark, str(survey_file), ["Explainer"])
+    assert values(rows) == [("ok",)]
+    assert values(rejects, "record_no", "reason") == [
+        (2, "more cells than the header"), (3, "fewer cells than the header"), (4, "unclosed quote"),
+    ]
+    with pytest.raises(ValueError, match="lacks one of"):
+        csvs.read_survey(spark, str(survey_file), ["Consent", "Age"])
+
+
+RECORD_CELLS = ["a", "b c", "x,y", 'q"q', "two\nlines", "", '"', '""', "1\n\n2", ",", "é"]
+
+
+@pytest.mark.parametrize("block", ["128m", "64"])
+def test_records_match_a_csv_parser(spark, conf, tmp_path, block):
+    """Blocks of 64 bytes cut files inside cells, quotes and records."""
+    conf("spark.sql.files.maxPartitionBytes", block)
+    conf("spark.sql.files.openCostInBytes", "1")
+    rng, want = random.Random(1), {}
+    for name in ("a.csv", "b.csv", "c.csv", "d.csv"):
+        rows = [[rng.choice(RECORD_CELLS) for _ in range(rng.randint(2, 5))] for _ in range(rng.randint(0, 40))]
+        out = io.StringIO()
+        csv.writer(out, lineterminator="\n", quoting=rng.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL])).writerows(rows)
+        (tmp_path / name).write_text(out.getvalue(), encoding="utf-8")
+        want[name] = rows or [[""]]
+    found = records.read_records(spark, str(tmp_path)).withColumn("cells", split_cells(F.col("record")))
+    got = {}
+    for r in found.orderBy("path", "record_no").collect():
+        mine = got.setdefault(r["path"].rsplit("/", 1)[-1], [])
+        assert r["record_no"] == len(mine)
+        mine.append(r["cells"])
+    assert got == want
+
+
+def test_cells_of_odd_lines(spark):
+    cases = {
+        'a,b "c,d': ["a", 'b "c', "d"],
+        ' "a, b" ,c': ["a, b", "c"],
+        '"open,b': ['"open', "b"],
+        '""': [""],
+        '""""': ['"'],
+        ",": ["", ""],
+        "": [""],
+        '"a"b,c': ['"a"b', "c"],
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "line string")
+    assert {r["line"]: r["cells"] for r in df.withColumn("cells", split_cells(F.col("line"))).collect()} == cases
+    piped = spark.createDataFrame([('a|"b|c"|d,e',)], "line string")
+    assert piped.select(split_cells(F.col("line"), "|")).first()[0] == ["a", "b|c", "d,e"]
+    with pytest.raises(ValueError, match="separator"):
+        split_cells(F.col("line"), '"')
