@@ -1,4 +1,4 @@
-"""Tests on one aggregated row: Welch, chi-square, effect sizes, moments."""
+"""Tests on aggregated rows, one per group: Welch, chi-square, effect sizes, moments."""
 
 from __future__ import annotations
 
@@ -21,8 +21,10 @@ def arm_moments(df: DataFrame, arm: str, value: str) -> DataFrame:
     )
 
 
-def welch(df: DataFrame, arm: str, value: str, first: str, second: str) -> DataFrame:
-    """Two-sided t-test without equal variances: one row with t, dof and p.
+def welch(
+    df: DataFrame, arm: str, value: str, first: str, second: str, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Two-sided t-test without equal variances: one row with t, dof and p, or one per group.
 
     The data is aggregated once; an arm with fewer than two values gives NULL.
     """
@@ -40,7 +42,7 @@ def welch(df: DataFrame, arm: str, value: str, first: str, second: str) -> DataF
         (a + b) * (a + b),
         F.try_divide(a * a, F.col("n1") - 1) + F.try_divide(b * b, F.col("n2") - 1),
     )
-    tested = df.agg(*wide).withColumns({"t": t, "dof": dof})
+    tested = df.groupBy(*by).agg(*wide).withColumns({"t": t, "dof": dof})
     return tested.withColumn("p", t_pvalue("t", "dof"))
 
 
@@ -51,8 +53,8 @@ def count_cells(row: str, column: str, rows: list, columns: list) -> list[list[C
     ]
 
 
-def chi_square(df: DataFrame, cells: list[list[Column]]) -> DataFrame:
-    """Pearson chi-square of a table of aggregates: one row.
+def chi_square(df: DataFrame, cells: list[list[Column]], by: tuple[str, ...] = ()) -> DataFrame:
+    """Pearson chi-square of a table of aggregates: one row, or one per group.
 
     ``chi2`` and ``p`` are uncorrected. ``chi2_yates`` and ``p_yates`` move each count up
     to 0.5 towards its expectation, in tables with one degree of freedom only. ``expected``
@@ -61,7 +63,7 @@ def chi_square(df: DataFrame, cells: list[list[Column]]) -> DataFrame:
     rows, columns = len(cells), len(cells[0])
     names = [[f"o{i}_{j}" for j in range(columns)] for i in range(rows)]
     flat = [cells[i][j].alias(names[i][j]) for i in range(rows) for j in range(columns)]
-    table = df.agg(*flat)
+    table = df.groupBy(*by).agg(*flat)
     row_sum = [reduce(add, [F.col(c) for c in r]) for r in names]
     column_sum = [reduce(add, [F.col(r[j]) for r in names]) for j in range(columns)]
     n = reduce(add, row_sum)
@@ -78,6 +80,7 @@ def chi_square(df: DataFrame, cells: list[list[Column]]) -> DataFrame:
     chi2, yates = reduce(add, plain), reduce(add, corrected)
     smaller = min(rows, columns) - 1
     tested = table.select(
+        *by,
         n.alias("n"),
         F.lit(dof).alias("dof"),
         chi2.alias("chi2"),

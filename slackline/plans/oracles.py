@@ -237,24 +237,26 @@ def _simpson(upper: str, density: str) -> str:
       FROM (SELECT CAST(unnest(generate_series(0, {STEPS})) AS DOUBLE) AS i)))"""
 
 
-def _welch(source: str, value: str) -> str:
+def _welch(source: str, value: str, arms: tuple[str, str] = ("AI", "NonAI"), by: str = "") -> str:
+    key, group = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
     x = f"CAST({value} AS DOUBLE)"
     sides = ", ".join(
         f"COUNT({x}) FILTER (arm = '{arm}') AS n{i}, AVG({x}) FILTER (arm = '{arm}') AS m{i}, "
         f"var_samp({x}) FILTER (arm = '{arm}') AS v{i}"
-        for i, arm in ((1, "AI"), (2, "NonAI"))
+        for i, arm in enumerate(arms, 1)
     )
     t_density = "exp(lgamma((dof + 1) / 2) - lgamma(dof / 2)) / sqrt(dof * pi()) * pow(1 + z * z / dof, -(dof + 1) / 2)"
     return f"""
-SELECT n1, round(m1, 4) AS mean1, round(v1, 4) AS var1, n2, round(m2, 4) AS mean2, round(v2, 4) AS var2,
+SELECT {key}n1, round(m1, 4) AS mean1, round(v1, 4) AS var1, n2, round(m2, 4) AS mean2, round(v2, 4) AS var2,
   round(t, 4) AS t, round(dof, 4) AS dof, round(1 - 2 * {_simpson('abs(t)', t_density)}, 4) AS p
 FROM (
   SELECT *, (m1 - m2) / sqrt(v1 / n1 + v2 / n2) AS t,
     pow(v1 / n1 + v2 / n2, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)) AS dof
-  FROM (SELECT {sides} FROM {source}))"""
+  FROM (SELECT {key}{sides} FROM {source}{group}))"""
 
 
-def _chi(a: str, b: str, c: str, d: str, source: str) -> str:
+def _chi(a: str, b: str, c: str, d: str, source: str, by: str = "") -> str:
+    key, group = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
     e = {
         "0": "CAST(a + b AS DOUBLE) * (a + c) / n", "1": "CAST(a + b AS DOUBLE) * (b + d) / n",
         "2": "CAST(c + d AS DOUBLE) * (a + c) / n", "3": "CAST(c + d AS DOUBLE) * (b + d) / n",
@@ -266,7 +268,7 @@ def _chi(a: str, b: str, c: str, d: str, source: str) -> str:
     )
     density = "exp(-z * z / 2) / sqrt(2 * pi())"
     return f"""
-SELECT n, CAST(1 AS INT) AS dof, round(chi2, 6) AS chi2, round(yates, 6) AS chi2_yates,
+SELECT {key}n, CAST(1 AS INT) AS dof, round(chi2, 6) AS chi2, round(yates, 6) AS chi2_yates,
   round(sqrt(chi2 / n), 6) AS cramers_v, round(sqrt(chi2 / n), 6) AS phi,
   round(1 - 2 * {_simpson('sqrt(chi2)', density)}, 6) AS p,
   round(1 - 2 * {_simpson('sqrt(yates)', density)}, 6) AS p_yates,
@@ -274,8 +276,8 @@ SELECT n, CAST(1 AS INT) AS dof, round(chi2, 6) AS chi2, round(yates, 6) AS chi2
 FROM (SELECT *, {plain} AS chi2, {yates} AS yates FROM (
   SELECT *, {', '.join(f'{x} AS e{i}' for i, x in e.items())} FROM (
     SELECT *, a + b + c + d AS n FROM (
-      SELECT CAST({a} AS BIGINT) AS a, CAST({b} AS BIGINT) AS b, CAST({c} AS BIGINT) AS c, CAST({d} AS BIGINT) AS d
-      FROM {source}))))"""
+      SELECT {key}CAST({a} AS BIGINT) AS a, CAST({b} AS BIGINT) AS b, CAST({c} AS BIGINT) AS c, CAST({d} AS BIGINT) AS d
+      FROM {source}{group}))))"""
 
 
 def _histogram(source: str, x: str, bins: int, digits: int, density: bool) -> str:
@@ -486,6 +488,20 @@ FROM numbers""",
         numbers=f"""SELECT region, year, acc_id, {_number('budget')} AS b, {_number('realized')} AS r,
   {_number('budget_next')} AS x FROM cells WHERE regexp_matches(acc_id, '^[0-9]+$') AND acc_id <> '0'""",
     ),
+    "welch_by_region": sql(
+        _welch("standards", "thousands", ("HRM2", "HRM1"), "region"),
+        "panel_std",
+        standards="SELECT region, standard AS arm, realized / 1000 AS thousands FROM panel_std",
+    ),
+    "chi_square_by_supplier": "SELECT l_suppkey, n, dof, chi2, chi2_yates, cramers_v, p, p_yates FROM ("
+    + _chi(
+        *[
+            f"COUNT(*) FILTER (l_returnflag {r} 'R' AND l_quantity {q} 25)" for r in ("<>", "=") for q in ("<=", ">")
+        ],
+        "lineitem",
+        by="l_suppkey",
+    )
+    + ")",
     "sheet_header_map": sql(
         """SELECT standard, region, year, ref_id, acc_id, name, round(budget, 6) AS budget, round(realized, 6) AS realized,
   round(realized, 6) AS budget_next, round(CASE WHEN budget = 0 THEN 0 ELSE budget - realized END, 6) AS slack,

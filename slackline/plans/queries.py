@@ -507,6 +507,13 @@ def welch_experience(spark, sf):
     return tested(stats.welch(rows, "arm", "experience", *ARMS))
 
 
+@query
+def welch_by_region(spark, sf):
+    """In each region, whether realized amounts differ between the accounting standards."""
+    rows = fx.panel_by_standard(spark, sf).withColumn("thousands", F.col("realized") / 1000)
+    return tested(stats.welch(rows, "standard", "thousands", "HRM2", "HRM1", by=("region",)))
+
+
 def association(df: DataFrame) -> DataFrame:
     table = rounded(df, "chi2", "chi2_yates", "cramers_v", "phi", "p", "p_yates")
     cells = [F.round(F.get("expected", F.lit(i)), 4).alias(f"expected_{i}") for i in range(4)]
@@ -539,6 +546,16 @@ def chi_square_sex(spark, sf):
     return association(stats.chi_square(rows, cells))
 
 
+@query
+def chi_square_by_supplier(spark, sf):
+    """For each supplier, whether large lines are returned more often: a test per group."""
+    returned, large = F.col("l_returnflag") == "R", F.col("l_quantity") > 25
+    cells = [[F.count_if(r & hit) for hit in (~large, large)] for r in (~returned, returned)]
+    table = stats.chi_square(fx.table(spark, sf, "lineitem"), cells, by=("l_suppkey",))
+    kept = rounded(table, "chi2", "chi2_yates", "cramers_v", "p", "p_yates")
+    return kept.select("l_suppkey", "n", "dof", "chi2", "chi2_yates", "cramers_v", "p", "p_yates")
+
+
 @query
 def moments_reduction(spark, sf):
     return rounded(stats.moments(reduced(spark, sf), "negative", by=("arm",)),
