@@ -199,7 +199,7 @@ def _errors(y: str, f: str) -> str:
     return ", ".join(columns)
 
 
-def _describe(name: str, x: str, digits: int, all_rounded: bool = False, by: str = "") -> str:
+def _describe(name: str, x: str, digits: int, all_rounded: bool = False, by: str = "", mean_digits: int | None = None) -> str:
     low, high = f"CAST(MIN({x}) AS DOUBLE)", f"CAST(MAX({x}) AS DOUBLE)"
     if all_rounded:
         low, high = f"round({low}, {digits})", f"round({high}, {digits})"
@@ -208,7 +208,7 @@ def _describe(name: str, x: str, digits: int, all_rounded: bool = False, by: str
         for p, q in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
     )
     return (
-        f"SELECT {by + ', ' if by else ''}'{name}' AS series, COUNT({x}) AS count, round(AVG({x}), {digits}) AS mean, "
+        f"SELECT {by + ', ' if by else ''}'{name}' AS series, COUNT({x}) AS count, round(AVG({x}), {mean_digits or digits}) AS mean, "
         f"round(stddev_samp({x}), {digits}) AS std, {low} AS min, {quartiles}, {high} AS max"
     )
 
@@ -575,7 +575,7 @@ GROUP BY GROUPING SETS ((year), (region, year))""",
     ),
     "describe_by_region_year": sql(
         " UNION ALL ".join(
-            _describe(n, n, 4, by="region, year") + " FROM slacked GROUP BY region, year" for n in ("budget", "realized", "slack")
+            _describe(n, n, 4, by="region, year", mean_digits=8) + " FROM slacked GROUP BY region, year" for n in ("budget", "realized", "slack")
         ),
         "panel",
         slacked="SELECT *, CASE WHEN budget = 0 THEN 0 ELSE budget - realized END AS slack FROM panel",

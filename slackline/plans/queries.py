@@ -310,7 +310,8 @@ def describe_by_region_year(spark, sf):
     """Moments and quartiles of the panel's amounts for each region and year."""
     rows = ledger.with_slack(panel(spark, sf))
     table = explore.describe(rows, ["budget", "realized", "slack"], by=("region", "year"))
-    return rounded(table, "mean", "std", "q25", "q50", "q75", digits=4)
+    # Means of cents over few rows would often lie halfway between two shorter numbers.
+    return rounded(rounded(table, "mean", digits=8), "std", "q25", "q50", "q75", digits=4)
 
 
 @query
