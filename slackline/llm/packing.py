@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+import os
+import string
 import sys
 import zlib
 from bisect import bisect_left, insort
@@ -11,6 +12,7 @@ from types import ModuleType
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,8 @@ CAPACITY = 2048
 CACHE = 800_000
 PART_BYTES = 64
 RUN_CHARS = 500_000
-CUT = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|\Z)")
+# ASCII punctuation but the apostrophe, which begins parts of words such as 's.
+MARKS = string.punctuation.replace("'", "").encode()
 
 PIECES = "key binary, doc_id {id}, piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -29,11 +32,12 @@ class WordIds:
     """Token ids of texts, as little-endian 32-bit bytes.
 
     The tokenizer drops white space, never looks across it, takes ASCII letters in lower case
-    and cuts between a letter and a full stop or comma. So a text is put in lower case as
-    far as it is ASCII, cut at those places, and each part is looked up. Unseen parts made
-    of letters are encoded together and told apart by the tokenizer's word numbers; any
-    other unseen part is encoded alone. The table only saves time: it is emptied when it is
-    full, long parts are not kept, and the tasks of a Python worker share it.
+    and cuts between letters and the marks after them. So a text is put in lower case as far as it
+    is ASCII, cut at spaces, and each part is looked up. Unseen parts made of letters are encoded
+    together and told apart by the tokenizer's word numbers; a part of letters with marks at
+    its end is put together from both; any other unseen part is encoded alone. The table only
+    saves time: it is emptied when it is full, long parts are not kept, and the tasks of a Python
+    worker share it.
     """
 
     def __init__(self, path: str) -> None:
@@ -49,6 +53,7 @@ class WordIds:
         """The one of this process. Task code comes by value and has no module to keep it."""
         held = sys.modules.setdefault("_slackline_worker", ModuleType("_slackline_worker")).__dict__
         if held.get("path") != path:
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the cores are Spark's
             held["words"], held["path"] = cls(path), path
         return held["words"]
 
@@ -57,24 +62,38 @@ class WordIds:
         low = raw.lower()
         if any(token in low for token in self.special):
             low = raw  # special tokens are known by their exact letters
-        return CUT.sub(rb" \1", low).replace(b"\n", b" ").split(b" ")
+        return low.replace(b"\n", b" ").split(b" ")
 
-    def encode(self, part: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def encode(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Each part by itself."""
+        for low in range(0, len(parts), 512):
+            some = parts[low : low + 512]
+            codes = self.tokenizer.encode_batch_fast([part.decode() for part in some], add_special_tokens=False)
+            yield from ((part, np.asarray(code.ids, dtype="<u4").tobytes()) for part, code in zip(some, codes, strict=True))
 
     def learn(self, parts: set[bytes]) -> list[bytes]:
         """Put all ``parts`` into the table; returns the long ones."""
         table = self.table
-        new = [part for part in parts if part not in table]
+        new = parts.difference(table)
         if len(table) + len(new) > CACHE:
             table.clear()
-            new = list(parts)
-        together = []
+            new = parts
+        words, alone, ended = set(), set(), []
         for part in new:
-            if len(part) <= PART_BYTES and (part.isalpha() or part.decode().isalpha()):
-                together.append(part)
+            word = part.rstrip(MARKS) if len(part) <= PART_BYTES else b""
+            # Lower case first: of some letters it has marks that are no letters.
+            if not word or not (word.isalpha() or word.decode().lower().isalpha()):
+                alone.add(part)
+            elif len(word) == len(part):
+                words.add(part)
             else:
-                table[part] = self.encode(part.decode())
+                marks = part[len(word) :]
+                ended.append((part, word, marks))
+                if word not in table:
+                    words.add(word)
+                if marks not in table:
+                    alone.add(marks)
+        together = list(words)
         for low in range(0, len(together), 512):
             some = together[low : low + 512]
             code = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
@@ -82,10 +101,13 @@ class WordIds:
             ends = (np.flatnonzero(numbers[1:] != numbers[:-1]) * 4 + 4).tolist()
             whole = ids.tobytes()
             if len(ends) + 1 != len(some):  # the tokenizer sees other letters than Python does
-                table.update((part, self.encode(part.decode())) for part in some)
+                table.update(self.encode(some))
             else:
                 table.update(zip(some, map(whole.__getitem__, map(slice, [0, *ends], [*ends, len(whole)])), strict=True))
-        return [part for part in new if len(part) > PART_BYTES]
+        table.update(self.encode(list(alone)))
+        for part, word, marks in ended:
+            table[part] = table[word] + table[marks]
+        return [part for part in alone if len(part) > PART_BYTES]
 
     def of(self, texts: list[str]) -> list[bytes]:
         cut = [self.cut(text) for text in texts]
@@ -124,43 +146,35 @@ def cut_pieces(
     shorter last one. A null or empty text is one piece that holds ``end`` alone. ``ids``,
     little-endian 32-bit, are null unless ``with_ids``.
     """
-    kind = df.schema[doc_id].dataType.simpleString()
     tail = np.asarray([end], dtype="<u4").tobytes()
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds.of_worker(tokenizer)
-        out: list[tuple] = []
-        columns = ["key", "doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-
-        def frame() -> pd.DataFrame:
-            table = pd.DataFrame(out, columns=columns, dtype=object)
-            out.clear()
-            return table
-
         for batch in batches:
-            texts = [body or "" for body in batch["text"]]
-            for first, end in runs(texts):
-                some = batch.iloc[first:end]
-                for key, name, ids in zip(some["key"], some["doc_id"], words.of(texts[first:end]), strict=True):
+            texts = [body or "" for body in batch.column("text").to_pylist()]
+            for first, last in runs(texts):
+                rows, numbers, parts = [], [], []
+                for row, ids in enumerate(words.of(texts[first:last]), first):
                     ids = ids + tail
-                    name = None if pd.isna(name) else name
-                    for piece, low in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[low : low + 4 * capacity]
-                        out.append((
-                            bytes(key), name, piece, low // 4, len(part) // 4, zlib.crc32(part),
-                            part if with_ids else None,
-                        ))
-                yield frame()
-        yield frame()
+                    lows = range(0, len(ids), 4 * capacity)
+                    rows += [row] * len(lows)
+                    numbers += range(len(lows))
+                    parts += [ids[low : low + 4 * capacity] for low in lows]
+                at, number = pa.array(rows, pa.int64()), np.asarray(numbers, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("key").take(at), batch.column("doc_id").take(at), pa.array(number.astype(np.int32)),
+                        pa.array(number * capacity), pa.array([len(part) // 4 for part in parts], pa.int64()),
+                        pa.array([zlib.crc32(part) for part in parts], pa.int64()),
+                        pa.array(parts if with_ids else [None] * len(parts), pa.binary()),
+                    ],
+                    ["key", "doc_id", "piece", "start", "length", "ids_crc32", "ids"],
+                )
 
     rows = df.select(
         row_key(F.col(doc_id), F.col(text)).alias("key"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")
     )
-    if kind == "bigint":  # a null among integers would turn a batch of them to floats
-        rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
-        cut = rows.mapInPandas(pieces, PIECES.format(id="string"))
-        return cut.withColumn("doc_id", F.col("doc_id").cast("long"))
-    return rows.mapInPandas(pieces, PIECES.format(id=kind))
+    return rows.mapInArrow(pieces, PIECES.format(id=df.schema[doc_id].dataType.simpleString()))
 
 
 class _Plan:

@@ -1,5 +1,6 @@
 """Jaccard join, decontamination, packing and sharding against plain Python."""
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -171,6 +172,29 @@ def encoded(text):
     return np.array([*ids, 0], dtype="<u4")
 
 
+PARTS = [
+    "a", "bc", "the", "It's", "don't", "...", "&&&", ".", ",", "'", "'s", "\u2019", "é", "É", "e\u0301", "ü", "ß", "语言", "😀", " ", "  ",
+    "\n", "\t", "\xa0", "12", "3", "½", "a.b", "x,", "y!", "(z)", '"q"', "<|endoftext|>", "<|ENDOFTEXT|>", "İ", "ſ", "K", "…",
+    ".'", "'.", "ª", "ǆ", "_", "-", "--", "\u200b", "\x00", "\x7f", "'re", "I'LL", "word's.", "naïve,", "ﬁ", "\u0300", ".\u0300",
+    "q\u0300.", "९", "ⅷ",
+]
+
+
+def test_part_lookup_matches_the_tokenizer_on_random_texts(monkeypatch):
+    """Also with a table that is emptied all the time."""
+    from tokenizers import Tokenizer
+
+    rng = random.Random(12)
+    tokenizer = Tokenizer.from_file(queries.tokenizer())
+    for cache in (packing.CACHE, 40):
+        monkeypatch.setattr(packing, "CACHE", cache)
+        words = packing.WordIds(queries.tokenizer())
+        for _ in range(40):
+            texts = ["".join(rng.choice(PARTS) + " " * (rng.random() < 0.3) for _ in range(rng.randint(0, 30))) for _ in range(100)]
+            for text, ids in zip(texts, words.of(texts), strict=True):
+                assert np.frombuffer(ids, dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_pieces_match_the_tokenizer(spark):
     df = edge.documents(spark)
     odd = [
