@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from html import unescape
@@ -18,6 +19,8 @@ from slackline.llm.common import stored
 
 LEAST_PAGES = 4
 SECTION_PAGES = 20
+#: Skeletons that one task aligns.
+BATCH = 500
 #: Share of a group's pages that hold a template node, and of two skeletons' nodes that align.
 NEARLY = 0.9
 SAME_LAYOUT = 0.7
@@ -38,6 +41,8 @@ BLOCK = set(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav "
     "ol optgroup option p pre search section summary table tbody tfoot thead tr ul".split()
 )
+BLOCK_BUT_P = BLOCK - {"p"}
+LISTS = {"ul", "ol", "dl", "table", "menu", "select"}
 CELLS = {"td", "th"}
 #: Elements that end when one of the same kind begins.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": CELLS, "th": CELLS, "option": {"option"}}
@@ -55,12 +60,74 @@ LABELS = re.compile(
 )
 
 
+#: Labels that cut a part of an article: whole class names or ids, not words within them.
+PARTS = re.compile(
+    r"(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promo(?:tion|s)?|banner|cookies?|consent|gdpr"
+    r"|notices?|nav|navbar|navigation|menu|sidebar|side-bar|footer|masthead|breadcrumbs?|share|sharing|social|related"
+    r"|recommended|comments?|disqus|repl(?:y|ies)|responses|discussion|newsletter|subscribe|subscription|popup|modal|overlay"
+    r"|pagination|pager|widget|login|signup|search|skip-link|toolbar|copyright)"
+    r"(?:[_-](?:section|list|area|form|thread|box|slot|container|unit|banner|wrapper|block|buttons?|bar|links?|icons?|media"
+    r"|posts?|articles?|stories|items?|content|notice|signup|menu|nav|widget|panel|inline|top|bottom|left|right|side|0))*",
+    re.IGNORECASE,
+)
+COMMENTS = re.compile(r"(?:comments?|repl(?:y|ies)|responses?|disqus)(?:[_-].*)?", re.IGNORECASE)
+#: Signs of a path that are shown with a template node.
+SHOWN = 16
+
+
+class Paths:
+    """The block paths of a page as a tree: a path is a number, known by its parent and last sign."""
+
+    def __init__(self) -> None:
+        self.parents, self.signs, self.hashes = [-1], ["#"], [_hash("#")]
+        self.known: dict[tuple[int, str], int] = {}
+
+    def step(self, parent: int, sign: str) -> int:
+        at = self.known.get((parent, sign))
+        if at is None:
+            at = self.known[parent, sign] = len(self.signs)
+            self.parents.append(parent)
+            self.signs.append(sign)
+            self.hashes.append(_hash(str(self.hashes[parent]), sign))
+        return at
+
+    def shown(self, path: int) -> str:
+        """The last signs of a path."""
+        signs: list[str] = []
+        while path >= 0 and len(signs) < SHOWN:
+            signs.append(self.signs[path])
+            path = self.parents[path]
+        return "/".join(reversed(signs))
+
+    def shape(self, paths: list[int]) -> dict[str, list]:
+        """The paths in the order of their first place, and what leads to them, numbered anew."""
+        number: dict[int, int] = {-1: -1}
+        parents: list[int] = []
+        signs: list[str] = []
+        for path in paths:
+            new = []
+            while path not in number:
+                new.append(path)
+                path = self.parents[path]
+            for one in reversed(new):
+                number[one] = len(signs)
+                parents.append(number[self.parents[one]])
+                signs.append(self.signs[one])
+        return {"parents": parents, "signs": signs, "order": [number[p] for p in paths]}
+
+
 class Node:
-    __slots__ = ("tag", "label", "skip", "children", "parent")
+    __slots__ = ("tag", "label", "skip", "children", "parent", "path", "inside", "paths")
 
     def __init__(self, tag: str, label: str = "", skip: bool = False, parent: Node | None = None) -> None:
         self.tag, self.label, self.skip, self.parent = tag, label, skip, parent
         self.children: list = []
+        if parent is None:
+            self.paths, self.path, self.inside = Paths(), 0, False
+        else:
+            self.paths = parent.paths
+            self.path = self.paths.step(parent.path, self.sign()) if tag in BLOCK else parent.path
+            self.inside = parent.inside or parent.tag in ("article", "main")
 
     def sign(self) -> str:
         return f"{self.tag}.{self.label}" if self.label else self.tag
@@ -70,6 +137,7 @@ def parse(html: str) -> Node:
     """A tree of elements and decoded strings. Unclosed and cut-off pages give what is there."""
     root = here = Node("#")
     pos, size = 0, len(html)
+    opened: Counter = Counter()
     while pos < size:
         m = TOKEN.match(html, pos)
         pos = m.end()
@@ -84,12 +152,13 @@ def parse(html: str) -> Node:
             break  # the page ends inside a tag
         tag = tag.lower()
         if m[1]:
-            here = _close(here, tag)
+            if opened[tag]:  # else it closes nothing
+                here = _left(here, _close(here, tag), opened)
             continue
-        if tag in BLOCK and tag != "html" and tag != "body":
-            here = _end_open(here, {"p"}, BLOCK - {"p"})
+        if tag in BLOCK and tag != "html" and tag != "body" and opened["p"]:
+            here = _left(here, _end_open(here, {"p"}, BLOCK_BUT_P), opened)
         if tag in ENDS:
-            here = _end_open(here, ENDS[tag], {"ul", "ol", "dl", "table", "menu", "select"})
+            here = _left(here, _end_open(here, ENDS[tag], LISTS), opened)
         node = _element(tag, m[3], here)
         here.children.append(node)
         if tag in RAW:
@@ -100,9 +169,18 @@ def parse(html: str) -> Node:
             pos = end.end() if end else size
         elif tag not in VOID and not m[3].endswith("/"):
             here = node
+            opened[tag] += 1
     return root
 
 
+def _left(here: Node, there: Node, opened: Counter) -> Node:
+    """``there``, an ancestor of ``here``, after the elements between them have ended."""
+    while here is not there:
+        opened[here.tag] -= 1
+        here = here.parent
+    return there
+
+
 def _element(tag: str, attributes: str, parent: Node) -> Node:
     named: dict[str, str] = {}
     if attributes and not attributes.isspace():
@@ -112,20 +190,28 @@ def _element(tag: str, attributes: str, parent: Node) -> Node:
     label = " ".join(re.sub(r"\d+", "0", label).split())
     skip = (
         tag in SKIP
-        or tag == "header" and not _inside(parent, ("article", "main"))
+        or tag == "header" and not (parent.inside or parent.tag in ("article", "main"))
         or named.get("role", "").lower() in ROLES
         or "hidden" in re.sub(r"=\s*(?:\"[^\"]*\"|'[^']*'|\S+)", "", attributes).lower().split()
-        or bool(label and tag not in ("html", "body", "main") and LABELS.search(label))
+        or bool(label) and _telling(tag, label, parent)
     )
     return Node(tag, label, skip, parent)
 
 
-def _inside(node: Node | None, tags: tuple[str, ...]) -> bool:
-    while node is not None:
-        if node.tag in tags:
-            return True
-        node = node.parent
-    return False
+def _telling(tag: str, label: str, parent: Node) -> bool:
+    """Whether class or id tell of a part that is no content.
+
+    Outside articles any word of them does. An article itself is only cut as a reader comment,
+    and what is inside one only by a whole name: ``comments`` or ``related-posts``, but not
+    ``article-header`` or ``related-work``.
+    """
+    if tag in ("html", "body", "main"):
+        return False
+    if tag == "article":
+        return any(map(COMMENTS.fullmatch, label.split()))
+    if parent.inside or parent.tag in ("article", "main"):
+        return any(map(PARTS.fullmatch, label.split()))
+    return LABELS.search(label) is not None
 
 
 def _end_open(here: Node, tags: set[str], stop: set[str]) -> Node:
@@ -155,26 +241,23 @@ def content_roots(root: Node) -> list[Node]:
         stack = [root]
         while stack:
             node = stack.pop()
-            for child in reversed(node.children):
-                if isinstance(child, Node) and not child.skip:
-                    stack.append(child)
             if node.tag == wanted:
                 found.append(node)
-                while stack and _inside(stack[-1].parent, (wanted,)):
-                    stack.pop()
+            else:
+                stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.skip)
         if found:
             return found
     return [root]
 
 
-def blocks(root: Node, everything: bool = False) -> list[tuple[str, str]]:
+def blocks(root: Node, everything: bool = False) -> list[tuple[int, str]]:
     """(path, text) of every block with text below ``root``, in page order.
 
     Skipped parts are left out unless ``everything``; scripts and styles always are.
     """
-    out: list[tuple[str, str]] = []
+    out: list[tuple[int, str]] = []
     held: list[str] = []
-    where = ""
+    where = root.path
 
     def flush() -> None:
         text = " ".join("".join(held).split())
@@ -182,37 +265,27 @@ def blocks(root: Node, everything: bool = False) -> list[tuple[str, str]]:
         if text:
             out.append((where, text))
 
-    stack: list[tuple[object, str]] = [(root, _path(root))]
+    stack: list = [root]
     while stack:
-        item, path = stack.pop()
-        if item is None:  # the end of a block: what follows belongs to its parent
+        item = stack.pop()
+        if isinstance(item, int):  # the end of a block: what follows belongs to its parent
             flush()
-            where = path
+            where = item
         elif isinstance(item, str):
             held.append(item)
         elif item.tag == "br" or item.tag in CELLS:
             held.append(" ")
-            stack.extend((c, path) for c in reversed(item.children))
+            stack.extend(reversed(item.children))
         elif everything or not item.skip or item is root:
             if item.tag in BLOCK or item is root:
                 flush()
-                stack.append((None, where))
-                where = path if item is root else f"{path}/{item.sign()}"
-                path = where
-            stack.extend((c, path) for c in reversed(item.children))
+                stack.append(where)
+                where = item.path
+            stack.extend(reversed(item.children))
     flush()
     return out
 
 
-def _path(node: Node) -> str:
-    parts = []
-    while node is not None:
-        if node.tag in BLOCK or node.parent is None:
-            parts.append(node.sign())
-        node = node.parent
-    return "/".join(reversed(parts))
-
-
 class Slot:
     """A run of equal siblings: their texts, and their children as one sequence of slots."""
 
@@ -222,52 +295,77 @@ class Slot:
         self.sign, self.texts, self.slots = sign, set(), []
 
 
-def skeleton(pairs: list[tuple[str, str]]) -> Slot:
-    """The tree of block paths; neighbours of equal sign are one repeated slot."""
+def skeleton(shape: dict[str, list]) -> Slot:
+    """The tree of block paths (``Paths.shape``); neighbours of equal sign are one repeated slot."""
     top = Slot("")
-    for path, text in pairs:
-        here = top
-        for sign in path.split("/"):
-            if not here.slots or here.slots[-1].sign != sign:
-                here.slots.append(Slot(sign))
-            here = here.slots[-1]
-        here.texts.add(text)
+    way: list[int] = []  # the paths from the top to the last slot, and their slots
+    last: dict[int, Slot] = {-1: top}
+    for path in shape["order"]:
+        new, at = [], path
+        while at not in last:
+            new.append(at)
+            at = shape["parents"][at]
+        while way and way[-1] != at:
+            del last[way.pop()]
+        for one in reversed(new):
+            here = last[shape["parents"][one]]
+            here.slots.append(Slot(shape["signs"][one]))
+            last[one] = here.slots[-1]
+            way.append(one)
     return top
 
 
 def match(a: Slot, b: Slot) -> tuple[int, list[tuple[Slot, Slot]]]:
-    """Simple tree matching: the largest alignment of equal nodes that keeps order and depth."""
+    """Simple tree matching: the largest alignment of equal nodes that keeps order and depth.
+
+    Pairs wait on a list until the pairs below them are done, so trees may be of any depth.
+    """
     if a.sign != b.sign:
         return 0, []
-    rows, columns = len(a.slots), len(b.slots)
-    score = [[0] * (columns + 1) for _ in range(rows + 1)]
-    inner: dict[tuple[int, int], tuple[int, list]] = {}
-    for i in range(1, rows + 1):
-        for j in range(1, columns + 1):
-            inner[i, j] = match(a.slots[i - 1], b.slots[j - 1])
-            score[i][j] = max(score[i][j - 1], score[i - 1][j], score[i - 1][j - 1] + inner[i, j][0])
-    aligned, i, j = [(a, b)], rows, columns
-    while i and j:
-        if score[i][j] == score[i - 1][j]:
-            i -= 1
-        elif score[i][j] == score[i][j - 1]:
-            j -= 1
-        else:
-            aligned += inner[i, j][1]
-            i, j = i - 1, j - 1
-    return score[rows][columns] + 1, aligned
+    tables: dict[tuple[int, int], list[list[int]]] = {}
 
+    def inner(x: Slot, y: Slot) -> int:
+        return tables[id(x), id(y)][-1][-1] + 1 if x.sign == y.sign else 0
 
-def layouts(skeletons: list[tuple[int, int, list[str]]]) -> dict[int, int]:
-    """The layout of each skeleton (id, pages, paths): the id of its representative.
+    waiting = [(a, b, False)]
+    while waiting:
+        x, y, ready = waiting.pop()
+        if not ready:
+            waiting.append((x, y, True))
+            waiting.extend((c, d, False) for c in x.slots for d in y.slots if c.sign == d.sign)
+            continue
+        score = [[0] * (len(y.slots) + 1) for _ in range(len(x.slots) + 1)]
+        for i, c in enumerate(x.slots, 1):
+            for j, d in enumerate(y.slots, 1):
+                score[i][j] = max(score[i][j - 1], score[i - 1][j], score[i - 1][j - 1] + inner(c, d))
+        tables[id(x), id(y)] = score
+    aligned: list[tuple[Slot, Slot]] = []
+    pairs = [(a, b)]
+    while pairs:
+        x, y = pairs.pop()
+        aligned.append((x, y))
+        score, i, j = tables[id(x), id(y)], len(x.slots), len(y.slots)
+        while i and j:
+            if score[i][j] == score[i - 1][j]:
+                i -= 1
+            elif score[i][j] == score[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((x.slots[i], y.slots[j]))
+    return inner(a, b), aligned
+
+
+def layouts(skeletons: list[tuple[int, int, dict]]) -> dict[int, int]:
+    """The layout of each skeleton (id, pages, shape): the id of its representative.
 
     The commonest skeleton comes first; each next one joins the representative whose tree its own
     matches best, if at least ``SAME_LAYOUT`` of their nodes align, else it is a representative itself.
     """
-    chosen: list[tuple[int, set[str], Slot, int]] = []
+    chosen: list[tuple[int, set[int], Slot, int]] = []
     out: dict[int, int] = {}
-    for key, _, paths in sorted(skeletons, key=lambda s: (-s[1], s[0])):
-        tree, own = skeleton([(p, "") for p in paths]), set(paths)
+    for key, _, shape in sorted(skeletons, key=lambda s: (-s[1], s[0])):
+        tree, own = skeleton(shape), _names(shape)
         nodes = _count(tree)
         best, at = 0.0, key
         for other, theirs, known, size in chosen:
@@ -283,15 +381,26 @@ def layouts(skeletons: list[tuple[int, int, list[str]]]) -> dict[int, int]:
     return out
 
 
+def _names(shape: dict[str, list]) -> set[int]:
+    """A number per path that equal paths of all pages share."""
+    found: list[int] = []
+    for parent, sign in zip(shape["parents"], shape["signs"], strict=True):
+        found.append(_hash(str(found[parent]) if parent >= 0 else "", sign))
+    return {found[p] for p in shape["order"]}
+
+
 def _count(slot: Slot) -> int:
-    return 1 + sum(_count(s) for s in slot.slots)
+    total, waiting = 0, [slot]
+    while waiting:
+        here = waiting.pop()
+        total += 1
+        waiting.extend(here.slots)
+    return total
 
 
-def extract(html: str, template: set[tuple[str, str]]) -> str:
-    """The blocks of the content outside the template, joined by line feeds."""
-    pairs = [p for root in content_roots(parse(html)) for p in blocks(root)]
-    varying = [text for path, text in pairs if (path, text) not in template]
-    return "\n".join(varying)
+def extract(html: str) -> str:
+    """The blocks of the content of one page, joined by line feeds."""
+    return "\n".join(text for root in content_roots(parse(html)) for _, text in blocks(root))
 
 
 def host(url: Column) -> Column:
@@ -333,11 +442,13 @@ def parsed(df: DataFrame, page_id: str = "page_id", url: str = "url", html: str
         whole = blocks(tree, everything=True)
         held = set(inside)
         rest = [p for p in dict.fromkeys(whole) if p not in held]
-        names = ("node", "content", "path", "text")
-        out = [dict(zip(names, (_hash(p, t), c, p, t), strict=True)) for pairs, c in ((inside, True), (rest, False)) for p, t in pairs]
-        paths = json.dumps(list(dict.fromkeys(p for p, _ in whole)))
+        names, known = ("node", "content", "path", "text"), tree.paths
+        nodes = {pair: _hash(str(known.hashes[pair[0]]), pair[1]) for pair in {*inside, *whole}}
+        shown = {p: known.shown(p) for p, _ in nodes}
+        out = [dict(zip(names, (nodes[p, t], c, shown[p], t), strict=True)) for pairs, c in ((inside, True), (rest, False)) for p, t in pairs]
+        paths = json.dumps(known.shape(list(dict.fromkeys(p for p, _ in whole))))
         lang = LANG.search(html)
-        page = _hash(*[x for pair in [*inside, *whole] for x in pair])
+        page = _hash(*[str(nodes[pair]) for pair in [*inside, *whole]])
         return (lang[1].lower() if lang else ""), page, _hash(paths), paths, out
 
     def parse_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,6 +468,39 @@ def parsed(df: DataFrame, page_id: str = "page_id", url: str = "url", html: str
     return rows.mapInArrow(parse_all, PARSED.format(id=kinds["page_id"], url=kinds["url"]))
 
 
+def alike(shapes: DataFrame, batch: int = BATCH) -> DataFrame:
+    """(host, skeleton, layout) of ``shapes`` (host, skeleton, n, paths), stored.
+
+    The skeletons of a host are dealt by a hash into batches, each aligned in one task. Where a host
+    has several batches, their representatives are dealt and aligned anew, until one batch holds
+    them or a round has merged nothing.
+    """
+    rounds, before = [], None
+    while True:
+        sizes = shapes.groupBy("host").agg(F.count("*").alias("batches")).withColumn("batches", F.ceil(F.col("batches") / batch))
+        largest, total = sizes.agg(F.max("batches")).first()[0] or 1, shapes.count()
+        dealt = lookup_join(shapes, stored(sizes), ["host"]).withColumn(
+            "batch", F.pmod(F.xxhash64("skeleton", F.lit(len(rounds))), F.col("batches"))
+        )
+
+        def align(pdf: pd.DataFrame) -> pd.DataFrame:
+            found = layouts([(int(k), int(n), json.loads(p)) for k, n, p in zip(pdf["skeleton"], pdf["n"], pdf["paths"], strict=True)])
+            return pd.DataFrame({"host": pdf["host"].iloc[0], "skeleton": list(found), "layout": list(found.values())})
+
+        found = stored(dealt.groupBy("host", "batch").applyInPandas(align, "host string, skeleton long, layout long"))
+        rounds.append(found)
+        if largest == 1 or total == before:
+            break
+        before = total
+        sums = lookup_join(shapes.select("host", "skeleton", "n"), found, ["host", "skeleton"]).groupBy("host", "layout").agg(F.sum("n").alias("n"))
+        shapes = stored(sums.withColumnRenamed("layout", "skeleton").join(shapes.select("host", "skeleton", "paths"), ["host", "skeleton"]))
+    whole = rounds[0]
+    for later in rounds[1:]:
+        onward = later.select("host", F.col("skeleton").alias("layout"), F.col("layout").alias("_onward"))
+        whole = whole.join(onward, ["host", "layout"]).select("host", "skeleton", F.col("_onward").alias("layout"))
+    return stored(whole) if len(rounds) > 1 else whole
+
+
 def templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Template nodes of ``parsed`` pages, and the layout of each skeleton of a host.
 
@@ -376,12 +520,7 @@ def templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("host", "page", "p.*")
     )
     shapes = distinct.groupBy("host", "skeleton").agg(F.count("*").alias("n"), F.min("paths").alias("paths"))
-
-    def align(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = layouts([(int(k), int(n), json.loads(p)) for k, n, p in zip(pdf["skeleton"], pdf["n"], pdf["paths"], strict=True)])
-        return pd.DataFrame({"host": pdf["host"].iloc[0], "skeleton": list(found), "layout": list(found.values())})
-
-    shape = stored(shapes.groupBy("host").applyInPandas(align, "host string, skeleton long, layout long"))
+    shape = alike(stored(shapes))
     cells = stored(
         distinct.select(*group, "page", F.explode("nodes").alias("node"))
         .groupBy(*group, "node").agg(F.count("*").alias("n"), F.min("page").alias("page"))
@@ -429,10 +568,10 @@ def main_text(
     """(page_id, url, text, n_chars): one row per row of ``df``.
 
     Menus, headers, footers, sidebars, notices, adverts, forms, scripts and reader comments
-    are skipped by element, role and label; nodes that stand on nearly all pages of the host, or of
+    are skipped by element, role and label (``_telling``); nodes that stand on nearly all pages of the host, or of
     the page's layout in its language or folder, are template (``templates``); the varying rest of the
     article, else of ``main``, else of the page is the text. A null or empty page gives an empty
-    text. A page without a host, or of a host with fewer than ``LEAST_PAGES`` different
+    text; pages of any length and depth are read whole; an empty table gives no row. A page without a host, or of a host with fewer than ``LEAST_PAGES`` different
     pages, has no template. Repeated rows give equal texts.
     """
     pages = stored(parsed(df, page_id, url, html))
