@@ -15,6 +15,9 @@ from slackline.llm.common import row_key, stored, words
 BUCKETS = 1 << 17
 SLICE = 400_000
 BINS = 1024
+#: Shapes of the gamma distributions in the prior of the ratios, and rounds that weigh them.
+SHAPES = 10.0 ** np.arange(-1, 7.5, 0.5)
+ROUNDS = 100
 
 
 def buckets(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -45,12 +48,12 @@ def hashed_words(text) -> object:
     return F.transform(words(F.coalesce(text, F.lit(""))), lambda w: F.xxhash64(w))
 
 
-def fit(df: DataFrame, target: str, text: str = "text", smoothing: float = 1.0, errors: float = 6.0) -> np.ndarray:
-    """Log ratio of target to raw probability of each bucket, shrunk by ``errors`` standard
-    errors towards zero.
+def fit(df: DataFrame, target: str, text: str = "text", smoothing: float = 1.0) -> np.ndarray:
+    """Log ratio of target to raw probability of each bucket.
 
-    The raw model counts all rows, the target model the rows where ``target`` is true; both
-    over whole texts. Each task sums its rows before anything is shuffled.
+    The raw model counts all rows, the target model the rows where ``target`` is true; both over
+    whole texts, summed in each task before anything is shuffled. The raw model is smoothed by
+    adding ``smoothing`` to every count, the target model by ``ratios``.
     """
     rows = df.select(
         F.coalesce(F.col(target), F.lit(False)).alias("good"), hashed_words(F.col(text)).alias("words")
@@ -71,18 +74,41 @@ def fit(df: DataFrame, target: str, text: str = "text", smoothing: float = 1.0,
 
     parts = rows.mapInArrow(count, "bucket int, raw long, good long")
     table = parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toPandas()
-    raw, good = np.full(BUCKETS, smoothing), np.full(BUCKETS, smoothing)
+    raw, good = np.full(BUCKETS, smoothing), np.zeros(BUCKETS)
     at = table["bucket"].to_numpy(np.int64)
     raw[at] += table["raw"].to_numpy(float)
     good[at] += table["good"].to_numpy(float)
-    ratio = np.log(good / good.sum()) - np.log(raw / raw.sum())
-    # Bad text in the raw model lifts all ordinary words alike; the typical word gets zero.
-    order = np.argsort(ratio)
-    ratio -= ratio[order][np.searchsorted(np.cumsum(raw[order]), raw.sum() / 2)]
-    # Chance differences, up to so many standard errors of the count that the raw model
-    # expects, say nothing about a text.
-    noise = errors * np.sqrt(raw.sum() / (raw * good.sum()) + 1 / raw)
-    return np.sign(ratio) * np.maximum(0.0, np.abs(ratio) - noise)
+    raw /= raw.sum()
+    target_model = raw * ratios(good, good.sum() * raw)
+    return np.log(target_model / target_model.sum()) - np.log(raw)
+
+
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """Logarithm of the gamma function of positive numbers: Stirling's series at x + 8."""
+    y = x + 8
+    shift = sum(np.log(x + k) for k in range(8))
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
+
+
+def ratios(found: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """The posterior mean of every bucket's ratio of target to raw frequency.
+
+    ``found`` of a bucket is Poisson around ratio * ``expected``. The prior of the ratios is a
+    mixture of gamma distributions of mean one, ``SHAPES`` being how narrow they are; its weights
+    are the likeliest ones for all buckets, found by expectation maximisation. So buckets that
+    differ by chance only have a ratio near one, by as much as these counts show, and what is
+    far from its expectation keeps its own ratio. Nothing is cut off.
+    """
+    s, found, expected = SHAPES[:, None], found[None, :], expected[None, :]
+    like = log_gamma(s + found) - log_gamma(s) + s * np.log(s / (s + expected))
+    like += found * np.log(np.maximum(expected, 1e-300) / (s + expected))
+    like = np.exp(like - like.max(axis=0))
+    weight = np.full(len(s), 1 / len(s))
+    for _ in range(ROUNDS):
+        share = weight[:, None] * like
+        share /= share.sum(axis=0)
+        weight = share.mean(axis=1)
+    return (share * (s + found) / (s + expected)).sum(axis=0)
 
 
 def score(df: DataFrame, model: np.ndarray, text: str = "text") -> DataFrame:

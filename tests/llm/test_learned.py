@@ -1,10 +1,14 @@
 """Main text, language identification and resampling."""
 
 import json
+import math
+import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from slackline.llm import html, language, queries, resampling
 from tests.llm import edge
@@ -39,10 +43,15 @@ ARTICLE = "<article><h1>Head &amp; line</h1><p>One <b>bold</b>\n  word<br>next</
         ("<table><tr><td>a</td><td>b</td></tr><tr><td>c</td></tr></table>", "a b\nc"),
         ("<article><p hidden>no</p><p data-x='hidden'>yes</p></article>", "yes"),
         (page("<div class='cookie-notice'>We use</div><article><p class='lead'>x</p></article><div id='comments'>r</div>"), "x"),
+        (page("<article><div class='article-header'><h1>Title</h1></div><p>x</p></article>"), "Title\nx"),
+        (page("<article><section id='related-work'><p>w</p></section><div class='related-posts'>r</div></article>"), "w"),
+        (page("<article class='post social-policy'><p>x</p><div class='ad'>buy</div></article>"), "x"),
+        (page("<article><p>x</p></article><article class='comment-body'><p>reader</p></article>"), "x"),
+        (page("<div class='article-header'>site</div><article><p>x</p></article>"), "x"),
     ],
 )
 def test_extraction(source, text):
-    assert html.extract(source, set()) == text
+    assert html.extract(source) == text
 
 
 def host_pages(n, host="a.example.com"):
@@ -109,12 +118,93 @@ def test_a_page_that_is_half_constant_still_tells_of_its_host(spark):
         assert r["text"].count("\n") == 3 and "topics" not in r["text"]
 
 
+def shape_of(*names):
+    paths = html.Paths()
+    found = []
+    for name in names:
+        at = 0
+        for sign in name.split("/"):
+            at = paths.step(at, sign)
+        found.append(at)
+    return paths.shape(found)
+
+
+def test_skeleton_of_paths():
+    def listed(slot):
+        return [slot.sign, *[listed(s) for s in slot.slots]]
+
+    whole = html.skeleton(shape_of("a/b", "a/c", "d", "a/e", "a"))
+    assert listed(whole) == ["", ["#", ["a", ["b"], ["c"]], ["d"], ["a", ["e"]]]]
+    assert html._count(whole) == 8
+
+
+def plain_match(a, b):
+    if a.sign != b.sign:
+        return 0
+    score = [[0] * (len(b.slots) + 1) for _ in range(len(a.slots) + 1)]
+    for i, x in enumerate(a.slots, 1):
+        for j, y in enumerate(b.slots, 1):
+            score[i][j] = max(score[i - 1][j], score[i][j - 1], score[i - 1][j - 1] + plain_match(x, y))
+    return score[-1][-1] + 1
+
+
+def test_tree_matching_equals_its_recursion():
+    rng = random.Random(3)
+    shapes = [["/".join(rng.choice("abc") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 9))] for _ in range(30)]
+    trees = [html.skeleton(shape_of(*dict.fromkeys(s))) for s in shapes]
+    for a in trees:
+        for b in trees:
+            score, pairs = html.match(a, b)
+            assert score == plain_match(a, b) == len(pairs)
+            assert all(x.sign == y.sign for x, y in pairs)
+
+
+def test_very_deep_and_odd_pages(spark):
+    """Nesting of 100,000 elements, end tags that close nothing, and such pages on one host."""
+    deep = "<div>" * 100_000 + "bottom" + "</div>" * 100_000
+    texts = "".join(f"<div>t{i} " for i in range(3000))
+    stray = "<section>" * 20_000 + "<p>in</p>" + "</article>" * 100_000
+    inline = "<i>" * 50_000 + "x" + "</b>" * 50_000
+    rows = [(i, f"http://deep.example/{i}", page(f"<div><p>w{i} one</p></div>")) for i in range(5)]
+    rows += [(10, "http://deep.example/a", deep), (11, "http://deep.example/b", texts), (12, "http://deep.example/c", stray), (13, None, inline)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.main_text(df).collect()}
+    assert (got[10], got[12], got[13]) == ("bottom", "in", "x")
+    assert got[11] == "\n".join(f"t{i}" for i in range(3000))
+    assert got[3] == "w3 one"
+
+
+def test_repeated_rows_and_extra_columns(spark):
+    rows = [(1, "http://x.example/1", page(ARTICLE), "a", 2, "b", "c", "d")] * 4
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, host string, page long, text string, blocks string, layout string")
+    got = html.main_text(df)
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    assert {tuple(r) for r in got.collect()} == {(1, "http://x.example/1", "Head & line\nOne bold word next\nTwo", 35)}
+    assert got.count() == 4
+
+
+def test_many_skeletons_of_a_host_are_aligned_in_batches(spark):
+    """Pages of three layouts, each with its own number of repeated parts, on one host."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(120):
+        kind = "xyz"[i % 3]
+        own = [f"{kind}/{kind}{n}/{kind}{n}{m}" for n in range(6) for m in range(3)]
+        extra = [f"{kind}/odd{rng.randint(0, 999)}" for _ in range(2)]
+        rows.append(("h", i, 1, json.dumps(shape_of(*own, *extra))))
+    df = spark.createDataFrame(rows, "host string, skeleton long, n long, paths string")
+    for batch in (500, 10):
+        found = {r["skeleton"]: r["layout"] for r in html.alike(df, batch).collect()}
+        assert len(found) == 120
+        assert len(set(found.values())) == 3
+        assert all(found[i] == found[i % 3] for i in range(120))
+
+
 def test_tree_matching_keeps_order():
-    a = html.skeleton([("x", "1"), ("y", "2"), ("z", "3")])
-    b = html.skeleton([("y", "4"), ("x", "5"), ("z", "6")])
+    a, b = html.skeleton(shape_of("x", "y", "z")), html.skeleton(shape_of("y", "x", "z"))
     score, pairs = html.match(a, b)
-    assert score == 3
-    assert [(p.sign, q.sign) for p, q in pairs][1:] in ([("z", "z"), ("x", "x")], [("z", "z"), ("y", "y")])
+    assert score == 4
+    assert sorted((p.sign, q.sign) for p, q in pairs[2:]) in ([("x", "x"), ("z", "z")], [("y", "y"), ("z", "z")])
 
 
 def test_pages_with_nulls_and_odd_urls(spark):
@@ -247,6 +337,67 @@ def test_rows_a_little_below_the_cut_are_drawn_too(spark):
     assert len(kept) == 1000 and 150 < kept.count(0) < 400
 
 
+def plain_log_weights(docs, good):
+    """log importance ratio of each text, with plain numbers: buckets, counts, prior, sums."""
+
+    def found_in(text):
+        hashes = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in text.split()]
+        half, mask = resampling.BUCKETS // 2, (1 << 64) - 1
+        pairs = [((a * 0x9E3779B97F4A7C15 + (b >> 7)) & mask) * 0xC2B2AE3D27D4EB4F & mask for a, b in zip(hashes, hashes[1:])]
+        return [h % half for h in hashes] + [half + (p >> 20) % half for p in pairs]
+
+    raw, target = Counter(), Counter()
+    for i, text in docs:
+        raw.update(found_in(text))
+        if i in good:
+            target.update(found_in(text))
+    size = sum(raw.values()) + resampling.BUCKETS
+    share = {b: (raw[b] + 1) / size for b in raw}
+    rest = 1 / size
+    kinds = Counter((target[b], share[b]) for b in raw)
+    kinds[0, rest] += resampling.BUCKETS - len(raw)
+    n = sum(target.values())
+    like = {}
+    for g, p in kinds:
+        m = n * p
+        logs = [
+            math.lgamma(s + g) - math.lgamma(s) + s * math.log(s / (s + m)) + (g * math.log(m / (s + m)) if g else 0)
+            for s in resampling.SHAPES
+        ]
+        like[g, p] = [math.exp(x - max(logs)) for x in logs]
+    weight = [1 / len(resampling.SHAPES)] * len(resampling.SHAPES)
+    for _ in range(resampling.ROUNDS):
+        total = [0.0] * len(weight)
+        for kind, count in kinds.items():
+            own = [w * x for w, x in zip(weight, like[kind])]
+            total = [t + count * o / sum(own) for t, o in zip(total, own)]
+        before, weight = weight, [t / resampling.BUCKETS for t in total]
+
+    def ratio(g, p):
+        own = [w * x for w, x in zip(before, like[g, p])]
+        return sum(o / sum(own) * (s + g) / (s + n * p) for o, s in zip(own, resampling.SHAPES))
+
+    values = {kind: ratio(*kind) for kind in kinds}
+    whole = sum(count * values[g, p] * p for (g, p), count in kinds.items())
+    return {i: sum(math.log(values[target[b], share[b]] / whole) for b in found_in(text)) for i, text in docs}
+
+
+def test_log_weights_and_the_kept_rows_match_plain_numbers(spark):
+    rng = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(200)]
+    docs = [(i, " ".join(rng.choices(vocabulary[:150] if i % 3 else vocabulary[50:], k=rng.randint(1, 60)))) for i in range(150)]
+    good = {i for i in range(0, 150, 2) if i % 3}
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(i, int(i in good), 0) for i in range(150)], "doc_id long, quality int, toxic int")
+    rows = resampling.resample(d, b, share=0.4).collect()
+    want = plain_log_weights(docs, good)
+    for r in rows:
+        assert r["log_weight"] == pytest.approx(want[r["doc_id"]], rel=1e-7, abs=1e-7)
+    order = sorted(rows, key=lambda r: -r["sample_key"])
+    assert {r["doc_id"] for r in order[:60]} == {r["doc_id"] for r in rows if r["kept"]}
+    assert len({r["log_weight"] for r in rows}) > 140
+
+
 def test_resampling_of_edge_rows(spark):
     df = edge.documents(spark)
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (6, 0, 0), (None, 1, 0), (4, None, None)], "doc_id long, quality int, toxic int")
