@@ -35,7 +35,14 @@ def salt(level: int, k: int) -> np.uint64:
 
 
 class Filter:
-    """A Bloom filter of 64-bit keys with two probes; false positives only cost time."""
+    """A Bloom filter of 64-bit keys; false positives only cost time.
+
+    The first probe is a part of the key itself, the others of the key mixed anew, which only
+    keys that pass the first one need.
+    """
+
+    SHIFT = 3
+    MIXED = (0, 20, 40)
 
     def __init__(self, words: np.ndarray) -> None:
         self.table = np.unpackbits(words.view(np.uint8), bitorder="little").view(bool)
@@ -43,19 +50,23 @@ class Filter:
 
     def hits(self, keys: np.ndarray) -> np.ndarray:
         """Places of the keys that may be in the filter."""
-        found = np.flatnonzero(self.table[((keys >> np.uint64(3)) & self.mask).view(np.int64)])
-        return found[self.table[((keys[found] >> np.uint64(35)) & self.mask).view(np.int64)]]
+        found = np.flatnonzero(self.table[((keys >> np.uint64(self.SHIFT)) & self.mask).view(np.int64)])
+        again = sh.mixed(keys[found])
+        for shift in self.MIXED:
+            held = self.table[((again >> np.uint64(shift)) & self.mask).view(np.int64)]
+            found, again = found[held], again[held]
+        return found
 
 
-def bloom_words(keys: DataFrame, column: str, count: int) -> np.ndarray:
-    """The 64-bit words of a filter with about 16 bits a key, 2^``MOST_BITS`` at most.
+def bloom_words(keys: DataFrame, column: str, mixed: str, count: int) -> np.ndarray:
+    """The 64-bit words of a filter with about 64 bits a key, 2^``MOST_BITS`` at most.
 
-    The words are put together by Spark; the driver gets at most 2^18 pairs of numbers.
+    ``mixed`` is ``column`` mixed anew. The words are put together by Spark; the driver gets at most
+    2^18 pairs of numbers.
     """
-    bits = 1 << min(MOST_BITS, max(16, (16 * max(1, count)).bit_length()))
-    spots = F.array(
-        *[F.shiftrightunsigned(column, s).bitwiseAND(F.lit(bits - 1)) for s in (3, 35)]
-    )
+    bits = 1 << min(MOST_BITS, max(16, (64 * max(1, count)).bit_length()))
+    probes = [(column, Filter.SHIFT), *[(mixed, shift) for shift in Filter.MIXED]]
+    spots = F.array(*[F.shiftrightunsigned(c, s).bitwiseAND(F.lit(bits - 1)) for c, s in probes])
     rows = (
         keys.select(F.explode(spots).alias("spot"))
         .groupBy(F.shiftright("spot", 6).alias("word"))
@@ -68,9 +79,14 @@ def bloom_words(keys: DataFrame, column: str, count: int) -> np.ndarray:
 
 
 def item_signatures(items: DataFrame) -> DataFrame:
-    """(item, level, key, hash) rows: a key per hash function, and every shingle's hash."""
+    """``items`` with ``sign``: a key per hash function and every shingle's hash, each with itself mixed anew."""
+    pair = "array<struct<own:long,mixed:long>>"
+
+    def pairs(values: np.ndarray) -> list[dict[str, int]]:
+        both = zip(values.view(np.int64).tolist(), sh.mixed(values).view(np.int64).tolist(), strict=True)
+        return [{"own": own, "mixed": mixed} for own, mixed in both]
 
-    @F.pandas_udf("struct<level:int,keys:array<long>,hashes:array<long>>")
+    @F.pandas_udf(f"struct<level:int,keys:{pair},hashes:{pair}>")
     def sign(hashed: pd.Series) -> pd.DataFrame:
         out = []
         for values in hashed:
@@ -80,7 +96,7 @@ def item_signatures(items: DataFrame) -> DataFrame:
             keys = [
                 (found * c).min() ^ salt(level, k) for k, c in enumerate(sh.constants(HASHES, 21))
             ]
-            out.append((level, np.array(keys, dtype=np.uint64).view(np.int64), found.view(np.int64)))
+            out.append((level, pairs(np.array(keys, dtype=np.uint64)), pairs(found)))
         return pd.DataFrame(out, columns=["level", "keys", "hashes"])
 
     return items.withColumn("sign", sign(F.transform("words", lambda w: F.xxhash64(w))))
@@ -147,8 +163,8 @@ def find(
         .dropDuplicates(["item"])
     )
     signed = stored(item_signatures(items))
-    item_keys = signed.select("item", F.explode("sign.keys").alias("key"))
-    hashes = signed.select(F.explode("sign.hashes").alias("hash"))
+    item_keys = signed.select("item", F.inline("sign.keys")).withColumnRenamed("own", "key")
+    hashes = signed.select(F.inline("sign.hashes"))
     last = F.greatest(F.size("words") - sh.WIDTH, F.lit(0))
     item_shingles = signed.select(
         "item", "item_id",
@@ -159,7 +175,7 @@ def find(
     size = signed.agg(F.count("*"), F.sum(F.size("sign.hashes"))).first()
     context = df.sparkSession.sparkContext
     shared = context.broadcast((
-        bloom_words(item_keys, "key", HASHES * size[0]), bloom_words(hashes, "hash", size[1] or 0),
+        bloom_words(item_keys, "key", "mixed", HASHES * size[0]), bloom_words(hashes, "own", "mixed", size[1] or 0),
     ))
 
     @F.pandas_udf("struct<keys:array<long>,at:array<int>>")
@@ -197,25 +213,29 @@ def find(
             low = high
         return pd.DataFrame({"keys": keys_out, "at": at_out})
 
+    # The text goes past the search, not its words: few rows need them again.
     rows = df.select(
-        F.col(doc_id).alias("doc_id"), row_key(F.col(doc_id), F.col(text)).alias("row"), tokens(F.col(text)).alias("words")
+        F.col(doc_id).alias("doc_id"), row_key(F.col(doc_id), F.col(text)).alias("row"), F.col(text).alias("text")
     )
-    searched = rows.withColumn("hit", search(F.transform("words", lambda w: F.xxhash64(w))))
+    searched = rows.withColumn("hit", search(F.transform(tokens(F.col("text")), lambda w: F.xxhash64(w))))
     hit = searched.where(F.size("hit.keys") > 0).select(
-        "doc_id", "row", "hit.keys",
-        F.array_distinct(F.transform("hit.at", lambda i: shingle_at(F.col("words"), i))).alias("held"),
+        "doc_id", "row", "hit.keys", "hit.at", tokens(F.col("text")).alias("words")
+    ).select(
+        "doc_id", "row", "keys",
+        F.array_distinct(F.transform("at", lambda i: shingle_at(F.col("words"), i))).alias("held"),
     )
     hit = stored(hit)
     candidates = (
-        hit.select("row", F.explode("keys").alias("key")).join(item_keys, "key").select("row", "item").distinct()
+        hit.select("row", F.explode("keys").alias("key")).join(item_keys.select("item", "key"), "key").select("row", "item").distinct()
     )
     held = hit.select("doc_id", "row", F.explode("held").alias("shingle")).distinct()
-    shares = held.join(item_shingles, "shingle").groupBy("row", "item").agg(
+    # Candidates come first: a shingle of many items and documents meets only pairs of these.
+    pairs = candidates.join(held, "row").join(item_shingles, ["item", "shingle"])
+    shares = pairs.groupBy("row", "item").agg(
         F.first("doc_id").alias("doc_id"), F.first("item_id").alias("item_id"),
         F.first("n_shingles").alias("n_shingles"), F.count("*").alias("n_found"),
     )
-    enough = shares.where(F.col("n_found") >= F.lit(threshold) * F.col("n_shingles") - 1e-9)
-    return enough.join(candidates, ["row", "item"], "left_semi").select(
+    return shares.where(F.col("n_found") >= F.lit(threshold) * F.col("n_shingles") - 1e-9).select(
         "row", "doc_id", "item_id", "n_shingles", "n_found",
         (F.col("n_found") / F.col("n_shingles")).alias("containment"),
     )
