@@ -22,6 +22,7 @@ CAPACITY = 2048
 CACHE = 800_000
 PART_BYTES = 64
 RUN_CHARS = 500_000
+TOGETHER = 4096
 # ASCII punctuation but the apostrophe, which begins parts of words such as 's.
 MARKS = string.punctuation.replace("'", "").encode()
 
@@ -65,11 +66,17 @@ class WordIds:
         return low.replace(b"\n", b" ").split(b" ")
 
     def encode(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Each part by itself."""
-        for low in range(0, len(parts), 512):
-            some = parts[low : low + 512]
+        """Each part by itself, a bounded number of bytes at a time: codes are large."""
+        low = 0
+        while low < len(parts):
+            high, size = low, 0
+            while high < len(parts) and (high == low or size + len(parts[high]) <= TOGETHER):
+                size += len(parts[high])
+                high += 1
+            some = parts[low:high]
             codes = self.tokenizer.encode_batch_fast([part.decode() for part in some], add_special_tokens=False)
-            yield from ((part, np.asarray(code.ids, dtype="<u4").tobytes()) for part, code in zip(some, codes, strict=True))
+            yield from [(part, np.asarray(code.ids, dtype="<u4").tobytes()) for part, code in zip(some, codes, strict=True)]
+            low = high
 
     def learn(self, parts: set[bytes]) -> list[bytes]:
         """Put all ``parts`` into the table; returns the long ones."""
