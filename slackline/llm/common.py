@@ -11,7 +11,8 @@ from slackline.functions.joins import lookup_join
 from slackline.session import stored
 
 __all__ = [
-    "SPACE", "digest", "let", "numbered", "row_key", "running", "sampled", "spans_text", "stored", "word_count", "words",
+    "SPACE", "chunks", "digest", "earlier_max", "let", "numbered", "piece", "row_key", "running", "sampled", "spans_text",
+    "stored", "word_count", "words",
 ]
 
 # White space between words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -36,6 +37,47 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+CHUNK = 512
+
+
+def chunks(text: Column) -> Column:
+    """The text in chunks of ``CHUNK`` code points, the last of which may be shorter.
+
+    For ``piece``: a substring counts code points from the start of its text, so that many of one
+    very long text take time with the square of its length; those of a chunk do not.
+    """
+    return F.regexp_extract_all(text, F.lit(r"(?s).{1,%d}+" % CHUNK), F.lit(0))
+
+
+def piece(parts: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` (exclusive, at least ``start``) of a text cut by ``chunks``."""
+    first = F.floor(start / CHUNK).cast("int")
+    count = F.floor(end / CHUNK).cast("int") - first + 1
+    return F.substring(F.array_join(F.slice(parts, first + 1, count), ""), start - first * CHUNK + 1, end - start)
+
+
+def earlier_max(values: Column) -> Column:
+    """For each of an array of integers the greatest of those before it; 0 for the first, and at least 0.
+
+    Taken over blocks of ``BLOCK`` first and then inside each, so that a long array stays cheap.
+    """
+    none = F.array().cast("array<int>")
+
+    def inside(block: Column, start: Column) -> Column:
+        def step(a: Column, x: Column) -> Column:
+            return F.struct(F.greatest(a["top"], x).alias("top"), F.concat(a["out"], F.array(a["top"])).alias("out"))
+
+        return F.aggregate(block, F.struct(start.alias("top"), none.alias("out")), step, lambda a: a["out"])
+
+    def of_blocks(blocks: Column) -> Column:
+        starts = inside(F.transform(blocks, lambda b: F.array_max(b)), F.lit(0))
+        return F.flatten(F.zip_with(blocks, starts, inside))
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int"))
+    cut = F.transform(numbers, lambda n: F.slice(values, n * BLOCK + 1, F.lit(BLOCK)))
+    return F.when(F.size(values) == 0, none).otherwise(let(cut, of_blocks))
+
+
 def digest(text: Column) -> Column:
     """16 bytes that name a text; null for null."""
     return F.unhex(F.md5(text.cast("binary")))
