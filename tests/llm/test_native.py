@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -12,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from slackline.llm import pii, quality, queries, secrets
-from slackline.llm.common import found_spans, numbered, sampled, spans_text
+from slackline.llm.common import SPAN, chunks, earlier_max, found_spans, numbered, piece, sampled, spans_text
 from tests.llm import edge
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -337,3 +338,66 @@ def test_sample_is_even_and_all_of_small_tables(spark):
     assert 0.4 < sum(n < 10_000 for n in some) / len(some) < 0.6
     assert sampled(df, 20_000).count() == 20_000
     assert sampled(df.where("n < 0"), 10).count() == 0
+
+
+def test_earlier_maxima_and_pieces_match_plain_python(spark):
+    rng = random.Random(11)
+    numbers = [[rng.randint(0, 5000) for _ in range(n)] for n in (0, 1, 255, 256, 257, 1500)]
+    df = spark.createDataFrame([(v,) for v in numbers], "v array<int>")
+    for r in df.select("v", earlier_max(F.col("v")).alias("m")).collect():
+        assert r["m"] == [max(r["v"][:i], default=0) for i in range(len(r["v"]))]
+    text = "".join(rng.choice("aé😀\n ") for _ in range(3000))
+    cuts = sorted((rng.randint(0, 3000), rng.randint(0, 3100)) for _ in range(300))
+    rows = [(text, min(c), max(c)) for c in [*cuts, (0, 0), (512, 512), (511, 513), (3000, 3000), (0, 3000)]]
+    df = spark.createDataFrame(rows, "t string, a int, b int")
+    for r in df.select("*", piece(chunks(F.col("t")), F.col("a"), F.col("b")).alias("p")).collect():
+        assert r["p"] == r["t"][r["a"] : r["b"]]
+
+
+def test_spans_that_overlap_match_plain_python(spark):
+    rng = random.Random(3)
+
+    def spans(n):
+        starts = [rng.randint(0, 900) for _ in range(n)]
+        return [("number", s, s + rng.randint(1, 12), "x") for s in starts]
+
+    rows = [(i, spans(rng.choice([0, 1, 40, 600])), spans(rng.choice([0, 1, 40, 600]))) for i in range(12)]
+    df = spark.createDataFrame(rows, f"id int, base array<{SPAN}>, loose array<{SPAN}>")
+    for r in df.select("base", "loose", pii._meeting("base", "loose").alias("m")).collect():
+        assert [m["span"] for m in r["m"]] == r["loose"]
+        assert [m["met"] for m in r["m"]] == [
+            any(b["start"] < c["end"] and c["start"] < b["end"] for b in r["base"]) for c in r["loose"]
+        ]
+
+
+def test_very_many_personal_spans_in_one_text(spark):
+    one = "m{0}@mail.org DE89 3704 0044 0532 0130 00 or x{0} (at) mail (dot) com, "
+    text = "".join(one.format(i) for i in range(9000))
+    df = spark.createDataFrame([(1, text), (2, "call " * 100_000)], "doc_id long, text string")
+    began = time.perf_counter()
+    got = {r["doc_id"]: r["text"] for r in pii.redact(df, selector=pii.Selector()).collect()}
+    assert time.perf_counter() - began < 30
+    assert got == {1: "[EMAIL] [ACCOUNT] or [EMAIL], " * 9000, 2: "call " * 100_000}
+
+
+def test_rule_costs_come_from_one_job_and_rank_by_work(spark):
+    df = spark.createDataFrame([(f"w{i} " * 300,) for i in range(200)], "text string")
+    rules = [
+        quality.Rule("dear", lambda t: F.size(F.array_distinct(F.split(F.repeat(t, 20), " "))) > 0),
+        quality.Rule("cheap", lambda t: F.length(t) > 0),
+    ]
+    for _ in range(2):
+        assert [r.name for r, _, _ in quality.order_rules(df, rules)] == ["cheap", "dear"]
+    _, cost, share = quality.order_rules(df, rules)[0]
+    assert cost > 0 and share == 1.0
+
+
+def test_words_are_not_split_before_a_rule_needs_them(spark):
+    df = spark.createDataFrame([("a b",), (None,)], "text string")
+    rules = [
+        quality.Rule("short", lambda t: F.coalesce(F.length(t), F.lit(0)) < 5),
+        quality.Rule("boom", lambda t, w: F.raise_error(F.lit("computed")).cast("boolean"), of_words=True),
+    ]
+    assert [r["v"] for r in df.select(quality.verdict(rules, F.col("text")).alias("v")).collect()] == ["short", "short"]
+    few = [quality.Rule("few", lambda t, w: F.size(w) < 2, of_words=True)]
+    assert [r["v"] for r in df.select(quality.verdict(few, F.col("text")).alias("v")).collect()] == [None, "few"]
