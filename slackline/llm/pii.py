@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from dataclasses import dataclass, field
@@ -11,7 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slackline.llm.common import SPAN, chunks, earlier_max, found_spans, let, piece, sampled, spans_text, stored
+from slackline.llm.common import SPAN, chunks, earlier_max, found_spans, let, piece, spans_text, stored
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -330,59 +331,100 @@ def _nearby(parts: Column, span: Column) -> Column:
     return F.struct(piece(parts, start, span["end"] + 1).alias("text"), moved.alias("span"))
 
 
-def _judged(rows: DataFrame, known: Column | None) -> DataFrame:
-    """(kind, label, real, fit, features) of all candidates of ``rows`` (text[, label]).
+#: What a row's candidates are kept as: ``fit`` says whether one fits the trees or sets the thresholds.
+SEEN = f"struct<met:boolean,fit:boolean,span:{SPAN},values:struct<{','.join(f'{n}:double' for n in [*FEATURES, 'evidence'])}>>"
+
+
+def _seen(text: Column, marked: Column) -> Column:
+    """array<``SEEN``>: the spans of ``_meeting`` with their features, each taken once, however many nodes look at it."""
+
+    def one(parts: Column, m: Column) -> Column:
+        def looked(near: Column) -> Column:
+            values = F.struct(*[value.alias(name) for name, value in features(near["text"], near["span"]).items()])
+            fit = F.pmod(F.xxhash64(near["text"]), F.lit(10)) < 7
+            return F.struct(m["met"].alias("met"), fit.alias("fit"), m["span"].alias("span"), values.alias("values"))
+
+        return let(_nearby(parts, m["span"]), looked)
+
+    def each(found: Column) -> Column:
+        seen = let(chunks(text), lambda parts: F.transform(found, lambda m: one(parts, m)))
+        return F.when(F.size(found) == 0, F.array().cast(f"array<{SEEN}>")).otherwise(seen)
+
+    return let(marked, each)
+
+
+def _searched(df: DataFrame, text: str, keep: list[str], met: bool = True) -> DataFrame:
+    """(_row, _pii, base, seen): columns ``keep``, the text, its base spans and its candidates, without ``met`` only those that meet no base span."""
+    t = F.coalesce(F.col("_pii.text"), F.lit(""))
+    held = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row") if keep else F.lit(None).cast("boolean").alias("_row"),
+        F.struct(F.col(text).alias("text")).alias("_pii"),
+    )
+    found = held.select("_row", "_pii", base_spans(t).alias("base"), candidates(t).alias("loose"))
+    marked = _meeting("base", "loose")
+    marked = marked if met else F.filter(marked, lambda m: ~m["met"])
+    none = F.array().cast(f"array<{SEEN}>")
+    return found.select("_row", "_pii", "base", F.when(F.size("loose") == 0, none).otherwise(_seen(t, marked)).alias("seen"))
+
+
+def _judged(found: DataFrame, known: Column | None) -> DataFrame:
+    """(kind, label, real, sure, fit, features) of all candidates of ``found`` (see ``_searched``).
 
     Those of documents are personal data if they meet a base span or prove themselves. Those of
     sentences have their sentence's label, and the ones that need no tree are left out.
     """
-    t = F.coalesce(F.col("text"), F.lit(""))
-    found = rows.select("*", base_spans(t).alias("base"), candidates(t).alias("loose"))
-    placed = let(chunks(t), lambda parts: F.transform(_meeting("base", "loose"), lambda m: F.struct(
-        m["met"].alias("met"), _nearby(parts, m["span"]).alias("near")
-    )))
-    found = found.where(F.size("loose") > 0).select("*", F.explode(placed).alias("c"))
-    found = found.select(
-        "*", F.col("c.met").alias("met"), (F.pmod(F.xxhash64("c.near.text"), F.lit(10)) < 7).alias("fit"),
-        *[v.alias(n) for n, v in features(F.col("c.near.text"), F.col("c.near.span")).items()],
-    )
-    sure = F.col("met") | (F.col("evidence") > 0)
+    each = found.select("_row", F.explode("seen").alias("c"))
+    sure = F.col("c.met") | (F.col("c.values.evidence") > 0)
     label = sure.cast("double") if known is None else known
     if known is not None:
-        found = found.where(~sure)
-    return found.select(
-        F.col("c.near.span.kind").alias("kind"), label.alias("label"), F.lit(known is None).alias("real"), sure.alias("sure"), "fit", *FEATURES
-    )
+        each = each.where(~sure)
+    return each.select(
+        F.col("c.span.kind").alias("kind"), label.alias("label"), F.lit(known is None).alias("real"), sure.alias("sure"),
+        F.col("c.fit").alias("fit"), *[F.col(f"c.values.{n}").alias(n) for n in FEATURES],
+    )
+
 
+def fit_selector(df: DataFrame, text: str = "text", **params) -> Selector:
+    """The selector that ``fit_found`` learns from the candidates of all rows of ``df``."""
+    return fit_found(stored(_searched(df, text, []).drop("_pii")), **params)
 
-def fit_selector(
-    df: DataFrame,
-    text: str = "text",
-    sample_rows: int = 20_000,
+
+def fit_found(
+    found: DataFrame,
     sentences: int = 6_000,
+    share_rows: int = 20_000,
     trees: int = 20,
     depth: int = 4,
     precision: float = 0.95,
     mistakes: float = 0.01,
     seed: int = 17,
 ) -> Selector:
-    """Boosted trees on the candidates of about ``sample_rows`` rows and of ``sentences`` examples.
+    """Boosted trees on the candidates of all rows of ``found`` (see ``_searched``, stored) and of ``sentences`` examples.
 
     Candidates of the documents are labelled by base spans and ``evidence``, those of the examples by
     the pattern that made them (``PERSONAL``, ``OTHER``), none of which the trees see; so they learn
     how personal data looks and what stands before it, without the marks that prove it.
+    Equal candidates are counted and weigh their number. Beyond ``share_rows`` rows an example weighs
+    rows / ``share_rows`` candidates, so that the examples keep their share however many rows there are.
     Seven of ten candidates, chosen by a hash of what stands around them, fit the trees. The others that nothing proves set for
     each kind the smallest guess at and above which (hits + 1) / (all + 2) reaches ``precision`` and
     at most ``mistakes`` of the documents' own candidates lie, which all count as mistakes. A
     kind that reaches it nowhere gets no threshold and adds only spans that prove themselves.
     """
-    real = _judged(sampled(df.select(F.col(text).alias("text")), sample_rows), None)
-    made = df.sparkSession.createDataFrame(examples(sentences, seed), "text string, label double")
-    rows = stored(real.unionByName(_judged(made, F.col("label"))))
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(rows.where("fit"))
+    spark = found.sparkSession
+    made = _searched(spark.createDataFrame(examples(sentences, seed), "text string, label double"), "text", ["label"])
+    both = _judged(found, None).unionByName(_judged(made, F.col("_row.label")))
+    share = max(1.0, found.count() / share_rows)
+    weight = F.count("*") * F.when(F.col("real"), F.lit(1.0)).otherwise(F.lit(share))
+    rows = stored(both.groupBy(*both.columns).agg(weight.alias("weight")))
+    learned = rows.where("fit")
+    # With so many bins MLlib looks at every row for its split points, not at a part of them.
+    bins = max(32, math.isqrt(learned.count()) + 1)
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(learned)
     model = GBTClassifier(
-        featuresCol="vector", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed
-    ).fit(vectors.select("vector", "label"))
+        featuresCol="vector", labelCol="label", weightCol="weight", maxIter=trees, maxDepth=depth, maxBins=bins,
+        stepSize=0.3, seed=seed,
+    ).fit(vectors.select("vector", "label", "weight"))
     selector = Selector(
         [_tree(tree._java_obj.rootNode()) for tree in model.trees], list(model.treeWeights)
     )
@@ -390,7 +432,10 @@ def fit_selector(
     cells = (
         rows.where("NOT fit AND NOT sure")
         .groupBy("kind", F.floor(selector.guess(values) * 100).alias("cell"))
-        .agg(F.sum("label").alias("hits"), F.count("*").alias("n"), F.count_if("real").alias("own"))
+        .agg(
+            F.sum(F.col("label") * F.col("weight")).alias("hits"), F.sum("weight").alias("n"),
+            F.sum(F.when(F.col("real"), F.col("weight")).otherwise(F.lit(0.0))).alias("own"),
+        )
         .collect()
     )
     for kind in LOOSE:
@@ -406,8 +451,8 @@ def fit_selector(
     return selector
 
 
-def added_spans(text: Column, base: Column, loose: Column, selector: Selector) -> Column:
-    """Candidates that meet no base span and prove themselves or reach the threshold of their
+def added_spans(seen: Column, selector: Selector) -> Column:
+    """Candidates (see ``_seen``) that meet no base span and prove themselves or reach the threshold of their
     kind; of overlapping ones the likeliest, then the leftmost, stays.
 
     Candidates that hang together by overlaps are chosen among themselves, so a text with very many
@@ -415,14 +460,9 @@ def added_spans(text: Column, base: Column, loose: Column, selector: Selector) -
     """
     none = F.array().cast(f"array<{SPAN}>")
 
-    def judged(parts: Column, c: Column) -> Column:
-        def scored(near: Column) -> Column:
-            # Every feature once, however many nodes of the trees look at it.
-            seen = F.struct(*[value.alias(name) for name, value in features(near["text"], near["span"]).items()])
-            return let(seen, lambda f: selector.probability({n: f[n] for n in [*FEATURES, "evidence"]}))
-
-        p = let(_nearby(parts, c), scored)
-        return F.struct(c["start"].alias("at"), c["end"].alias("end"), (-p).alias("p"), c.alias("span"))
+    def judged(c: Column) -> Column:
+        p = selector.probability({n: c["values"][n] for n in [*FEATURES, "evidence"]})
+        return F.struct(c["span"]["start"].alias("at"), c["span"]["end"].alias("end"), (-p).alias("p"), c["span"].alias("span"))
 
     def enough(s: Column) -> Column:
         bar = F.lit(1.0)
@@ -448,15 +488,11 @@ def added_spans(text: Column, base: Column, loose: Column, selector: Selector) -
 
         return F.flatten(F.transform(let(heads, groups), likeliest))
 
-    def chosen(free: Column) -> Column:
-        scored = let(chunks(text), lambda parts: F.transform(free, lambda c: judged(parts, c)))
-        ranked = F.sort_array(F.filter(scored, enough))
-        return F.when(F.size(free) == 0, none).otherwise(
-            let(ranked, lambda r: F.when(F.size(r) == 0, none).otherwise(picked(r)))
-        )
-
-    free = F.transform(F.filter(_meeting(base, loose), lambda m: ~m["met"]), lambda m: m["span"])
-    return F.when(F.size(loose) == 0, none).otherwise(let(free, chosen))
+    free = F.filter(seen, lambda c: ~c["met"])
+    ranked = F.sort_array(F.filter(F.transform(free, judged), enough))
+    return F.when(F.size(seen) == 0, none).otherwise(
+        let(ranked, lambda r: F.when(F.size(r) == 0, none).otherwise(picked(r)))
+    )
 
 
 def find(
@@ -465,20 +501,16 @@ def find(
     """(columns ``keep``, ``text``, ``base``, ``spans``): the base spans, and base plus added
     spans, of every row. Null and empty texts have none. Rows are judged alone; repeated
     rows get equal spans, an empty table none. A text is searched whole, in time that grows with its
-    length and number of spans (times its logarithm). Spans are sorted by kind (base kinds as listed, then ``number``,
+    length and number of spans (times its logarithm). Without a ``selector`` one is learned from all
+    rows, which are searched once and stored as Parquet with what was found. Spans are sorted by kind (base kinds as listed, then ``number``,
     ``account``), then start; ends are exclusive; positions are code points.
     """
-    selector = fit_selector(df, text) if selector is None else selector
     keep = [c for c in df.columns if c != text] if keep is None else keep
-    t = F.coalesce(F.col("_pii.text"), F.lit(""))
-    held = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row") if keep else F.lit(None).alias("_row"),
-        F.struct(F.col(text).alias("text")).alias("_pii"),
-    )
-    found = held.select("_row", "_pii", base_spans(t).alias("base"), candidates(t).alias("loose"))
-    added = found.select(
-        "_row", "_pii", "base", added_spans(t, F.col("base"), F.col("loose"), selector).alias("added")
-    )
+    found = _searched(df, text, keep, met=selector is None)
+    if selector is None:
+        found = stored(found)
+        selector = fit_found(found)
+    added = found.select("_row", "_pii", "base", added_spans(F.col("seen"), selector).alias("added"))
     order = F.array(*[F.lit(k) for k in [*KINDS, "number", "account"]])
     merged = F.transform(
         F.sort_array(

@@ -242,6 +242,30 @@ def test_numbers_of_the_documents_are_left_alone(spark):
         assert r["spans"] == r["base"]
 
 
+def test_selector_learns_from_every_row(spark):
+    """One candidate in 100,000 rows is a mistake that the threshold must not admit."""
+    texts = [(f"my number is 415-555-2{i:03d}",) for i in range(40)]
+    rare = spark.createDataFrame(texts, "text string").where("pmod(xxhash64(text), 10) >= 7").orderBy("text").limit(1)
+    rare = rare.collect()[0]["text"]
+    plain = F.concat(F.lit("plain words of row "), F.char(F.lit(97) + F.col("id") % 26))
+    df = spark.range(0, 100_000, 1, 8).select(F.when(F.col("id") == 77_777, rare).otherwise(plain).alias("text"))
+    selector, t = pii.fit_selector(df, mistakes=0.0), F.col("text")
+    one = df.where(F.col("text") == rare).select("text", F.explode(pii.candidates(t)).alias("c"))
+    guess = one.select(selector.guess(pii.features(t, F.col("c"))).alias("p")).first()["p"]
+    assert guess < selector.thresholds.get("number", 1.01)
+
+
+def test_examples_keep_their_share_of_more_rows(spark):
+    df = prose_with_numbers(spark)
+    once = pii.fit_selector(df, share_rows=400)
+    thrice = pii.fit_selector(df.union(df).union(df), share_rows=400)
+    rows = spark.createDataFrame([(t,) for t, _ in BY_TREES], "text string")
+    seen = rows.select("text", F.explode(pii.candidates(F.col("text"))).alias("c"))
+    values = pii.features(F.col("text"), F.col("c"))
+    pairs = seen.select(once.guess(values).alias("a"), thrice.guess(values).alias("b")).collect()
+    assert [r["a"] for r in pairs] == pytest.approx([r["b"] for r in pairs], abs=1e-6)
+
+
 def test_examples_repeat_themselves_and_have_both_classes():
     one = pii.examples(500, 1)
     assert one == pii.examples(500, 1) != pii.examples(500, 2)
