@@ -12,6 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from slackline.llm import pii, quality, queries, secrets
 from slackline.llm.common import SPAN, chunks, earlier_max, found_spans, numbered, piece, sampled, spans_text
 from tests.llm import edge
@@ -242,19 +243,32 @@ def test_numbers_of_the_documents_are_left_alone(spark):
         assert r["spans"] == r["base"]
 
 
-def test_selector_learns_from_every_row(spark):
-    """One candidate in 100,000 rows is a mistake that the threshold must not admit."""
+def one_candidate_in_many_rows(spark):
+    """100,000 rows, one of which holds a number that nothing proves and that does not fit the trees; its text."""
     texts = [(f"my number is 415-555-2{i:03d}",) for i in range(40)]
     rare = spark.createDataFrame(texts, "text string").where("pmod(xxhash64(text), 10) >= 7").orderBy("text").limit(1)
     rare = rare.collect()[0]["text"]
     plain = F.concat(F.lit("plain words of row "), F.char(F.lit(97) + F.col("id") % 26))
     df = spark.range(0, 100_000, 1, 8).select(F.when(F.col("id") == 77_777, rare).otherwise(plain).alias("text"))
+    return df, rare
+
+
+def test_selector_learns_from_every_row(spark):
+    """A mistake in 100,000 rows is one that the threshold must not admit."""
+    df, rare = one_candidate_in_many_rows(spark)
     selector, t = pii.fit_selector(df, mistakes=0.0), F.col("text")
     one = df.where(F.col("text") == rare).select("text", F.explode(pii.candidates(t)).alias("c"))
     guess = one.select(selector.guess(pii.features(t, F.col("c"))).alias("p")).first()["p"]
     assert guess < selector.thresholds.get("number", 1.01)
 
 
+def test_pipeline_redacts_by_what_every_row_teaches(spark):
+    df, rare = one_candidate_in_many_rows(spark)
+    out = corpus_pipeline.personal_data(spark, df, "")
+    assert out.where(F.col("text") == rare).count() == 1
+    assert out.where(F.col("text").startswith("plain words")).count() == 99_999
+
+
 def test_examples_keep_their_share_of_more_rows(spark):
     df = prose_with_numbers(spark)
     once = pii.fit_selector(df, share_rows=400)
