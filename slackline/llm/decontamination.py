@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from slackline.llm import shingles as sh
 from slackline.llm.common import row_key, stored
+from slackline.session import small_batches
 
 THRESHOLD = 0.8
 HASHES = 48
@@ -217,14 +218,18 @@ def find(
     rows = df.select(
         F.col(doc_id).alias("doc_id"), row_key(F.col(doc_id), F.col(text)).alias("row"), F.col(text).alias("text")
     )
-    searched = rows.withColumn("hit", search(F.transform(tokens(F.col("text")), lambda w: F.xxhash64(w))))
+    # Spark would search a deterministic hit twice, once for the filter and once for the columns, in
+    # two Python workers a task.
+    once = search.asNondeterministic()
+    searched = rows.withColumn("hit", once(F.transform(tokens(F.col("text")), lambda w: F.xxhash64(w))))
     hit = searched.where(F.size("hit.keys") > 0).select(
         "doc_id", "row", "hit.keys", "hit.at", tokens(F.col("text")).alias("words")
     ).select(
         "doc_id", "row", "keys",
         F.array_distinct(F.transform("at", lambda i: shingle_at(F.col("words"), i))).alias("held"),
     )
-    hit = stored(hit)
+    with small_batches(df.sparkSession):
+        hit = stored(hit)
     candidates = (
         hit.select("row", F.explode("keys").alias("key")).join(item_keys.select("item", "key"), "key").select("row", "item").distinct()
     )

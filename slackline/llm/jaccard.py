@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from slackline.llm import shingles as sh
 from slackline.llm.common import digest, row_key, stored, words
+from slackline.session import small_batches
 
 THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
@@ -98,7 +99,8 @@ def buckets(rows: DataFrame) -> DataFrame:
     Buckets with one text need no comparison. Of buckets with the same texts the one of the
     lowest band stands for all: it compares every pair the others would.
     """
-    every = stored(bucket_rows(rows))
+    with small_batches(rows.sparkSession):
+        every = stored(bucket_rows(rows))
     h = F.xxhash64("tid")
     sizes = every.groupBy("bucket", "band").agg(
         F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 20)).alias("s")
@@ -222,7 +224,8 @@ def links(rows: DataFrame, reps: DataFrame) -> DataFrame:
         .otherwise(F.pmod(F.xxhash64("bucket"), F.lit(groups))).alias("group"),
     )
     found = full.groupBy("group").applyInPandas(_links, "tid binary, n_links long, root binary")
-    return stored(found)
+    with small_batches(rows.sparkSession):
+        return stored(found)
 
 
 def components(edges: DataFrame) -> DataFrame:

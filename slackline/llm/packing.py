@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slackline.llm.common import numbered, row_key, stored
+from slackline.session import small_batches
 
 CAPACITY = 2048
 CACHE = 800_000
@@ -348,5 +349,7 @@ def pack_documents(
     """
     pieces = cut_pieces(df, tokenizer, doc_id, text, capacity, with_ids=with_ids)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    packed = pack(stored(pieces if with_ids else pieces.drop("ids")), capacity)
+    with small_batches(df.sparkSession):
+        pieces = stored(pieces if with_ids else pieces.drop("ids"))
+    packed = pack(pieces, capacity)
     return packed.select(*columns, *["ids"] * with_ids)

@@ -7,6 +7,7 @@ import random
 import re
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -412,7 +413,10 @@ def fit_found(
     kind that reaches it nowhere gets no threshold and adds only spans that prove themselves.
     """
     spark = found.sparkSession
-    made = _searched(spark.createDataFrame(examples(sentences, seed), "text string, label double"), "text", ["label"])
+    # As an Arrow table: rows of Python objects would start Python workers of their own, which stay.
+    texts, labels = zip(*examples(sentences, seed), strict=True)
+    table = pa.table([pa.array(texts, pa.string()), pa.array(labels, pa.float64())], ["text", "label"])
+    made = _searched(spark.createDataFrame(table), "text", ["label"])
     both = _judged(found, None).unionByName(_judged(made, F.col("_row.label")))
     share = max(1.0, found.count() / share_rows)
     weight = F.count("*") * F.when(F.col("real"), F.lit(1.0)).otherwise(F.lit(share))

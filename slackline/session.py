@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,6 +90,26 @@ def stored(df: DataFrame) -> DataFrame:
     return back
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """What runs inside hands Python at most ``rows`` rows at a time.
+
+    For whole texts or their words: at Spark's 10,000 rows a batch of them takes tens of MB, as
+    Arrow's buffers double while they grow, in the JVM and again in each Python worker, and neither
+    gives them back. Only the size of a batch changes, never which rows come.
+    """
+    before = spark.conf.get(BATCH_ROWS)
+    few = int(before) <= 0 or int(before) > rows  # 0 and less: no limit
+    try:
+        spark.conf.set(BATCH_ROWS, str(rows) if few else before)
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def forget(df: DataFrame) -> None:
     """Remove what ``stored`` wrote for ``df``; nothing for other frames."""
     path = getattr(df, "_stored_at", None)

@@ -269,6 +269,22 @@ def test_pipeline_redacts_by_what_every_row_teaches(spark):
     assert out.where(F.col("text").startswith("plain words")).count() == 99_999
 
 
+def test_examples_start_no_python_workers(spark, monkeypatch):
+    """Rows made of Python objects come from Python workers, which stay beside those of other stages."""
+    plans = []
+
+    def watched(df, keep=pii.stored):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df)
+
+    df = prose_with_numbers(spark, 40).select("text").localCheckpoint()
+    found = pii.stored(pii._searched(df, "text", []))
+    monkeypatch.setattr(pii, "stored", watched)
+    pii.fit_found(found)
+    assert any("LocalTableScan" in p for p in plans)
+    assert not any("ExistingRDD" in p for p in plans)
+
+
 def test_examples_keep_their_share_of_more_rows(spark):
     df = prose_with_numbers(spark)
     once = pii.fit_selector(df, share_rows=400)

@@ -6,12 +6,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from slackline.llm import decontamination as deco
 from slackline.llm import jaccard, packing, queries, sharding
 from slackline.llm import shingles as sh
+from slackline.session import BATCH_ROWS, small_batches
 from tests.llm import edge
 
 
@@ -157,6 +159,47 @@ def test_items_match_brute_force(spark):
     assert kept == Counter(i for i, _ in docs if i not in bad)
 
 
+def test_documents_are_searched_once(spark, monkeypatch):
+    """One Python operator a task: every further one is a further worker with its own memory."""
+    plans = []
+
+    def watched(df, keep=deco.stored):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df)
+
+    monkeypatch.setattr(deco, "stored", watched)
+    items = spark.createDataFrame([(1, edge.PROSE)], "item_id long, text string")
+    assert deco.find(edge.documents(spark), items).count() > 0
+    assert [p.count("ArrowEvalPython") for p in plans] == [1, 1]
+
+
+def test_python_gets_few_texts_at_a_time(spark, monkeypatch, conf):
+    """Whole texts and their words reach Python in batches of at most 1000 rows; the setting stays the user's."""
+    seen = []
+
+    def watched(df, keep=deco.stored):
+        if "Arrow" in df._jdf.queryExecution().executedPlan().toString():
+            seen.append(int(spark.conf.get(BATCH_ROWS)))
+        return keep(df)
+
+    for module in (deco, jaccard, packing):
+        monkeypatch.setattr(module, "stored", watched)
+    docs, items = edge.documents(spark), spark.createDataFrame([(1, edge.PROSE)], "item_id long, text string")
+    size = spark.conf.get(BATCH_ROWS)
+    deco.find(docs, items)
+    jaccard.classes(docs)
+    packing.pack_documents(docs, queries.tokenizer())
+    assert seen[1:] == [1000] * 4 and spark.conf.get(BATCH_ROWS) == size  # first, the items' signatures
+    conf(BATCH_ROWS, "10")
+    rows = spark.range(0, 50, 1, 1)
+    count = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in batches)
+    with small_batches(spark, 20):
+        assert [r["n"] for r in rows.mapInArrow(count, "n long").collect()] == [10] * 5
+    with small_batches(spark, 5):
+        assert [r["n"] for r in rows.mapInArrow(count, "n long").collect()] == [5] * 10
+    assert spark.conf.get(BATCH_ROWS) == "10"
+
+
 def test_no_items(spark):
     df = edge.documents(spark)
     none = spark.createDataFrame([], "item_id long, text string")
